@@ -1 +1,50 @@
-"""sinks."""
+"""Sinks: layer tables (full recompute) and append streams."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                table: str | None = None, comment: str | None = None) -> DataFrame:
+    """Full recompute of a layer: overwrite the folder (optionally register
+    it as ``table`` with a comment) and return a DataFrame reading it back.
+
+    Writing a layer cuts the lineage: later layers read files, so a lost
+    executor only recomputes work from the last written layer."""
+    writer = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    spark = df.sparkSession
+    if table:
+        writer.option("path", path).saveAsTable(table)
+        if comment:
+            set_comment(spark, table, comment)
+        return spark.table(table)
+    writer.save(path)
+    return spark.read.parquet(path)
+
+
+def set_comment(spark: SparkSession, table: str, comment: str) -> None:
+    text = comment.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"COMMENT ON TABLE {table} IS '{text}'")
+
+
+def write_stream_append(stream_df: DataFrame, sink_dir: str, checkpoint_dir: str,
+                        timeout_s: float | None = 600, query_name: str | None = None):
+    """Append a stream to a parquet folder, processing everything available
+    now (in bounded micro-batches) and then stopping. The checkpoint makes a
+    re-run pick up only new input; a failed run resumes where it stopped."""
+    w = (stream_df.writeStream.format("parquet").outputMode("append")
+                  .option("checkpointLocation", checkpoint_dir)
+                  .trigger(availableNow=True))
+    if query_name:
+        w = w.queryName(query_name)
+    q = w.start(sink_dir)
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    if finished is False:
+        q.stop()
+        raise TimeoutError(f"stream into {sink_dir} did not finish in {timeout_s}s")
+    if q.exception() is not None:
+        raise q.exception()
+    return q
