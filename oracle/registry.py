@@ -10,7 +10,7 @@ from __future__ import annotations
 from oracle.duckdb_sql import STEP_NAMES, gold, round_half_up, with_chain
 
 K100, K50 = 100, 50
-SLICE_COUNTRY, SLICE_YEARS = "NATION_7", (1992, 1994)
+SLICE_COUNTRY, SLICE_YEARS = "NATION_7", (1995, 2020)
 PROBE_EVENT, PROBE_TEXT = "Trail Classic (C07)", "C07"
 
 # Raw feed names (snake name, raw name, Spark type name) in file order.

@@ -36,7 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # the marts at 100 athletes; at the small test scales no country has that
 # many, so each mart-based query is also registered at 50 (suffix _min50).
 SMALL_SCALE_MIN_ATHLETES = 50
-SLICE_COUNTRY, SLICE_YEARS = "NATION_7", (1992, 1994)
+SLICE_COUNTRY, SLICE_YEARS = "NATION_7", (1995, 2020)
 PROBE_EVENT, PROBE_TEXT = "Trail Classic (C07)", "C07"
 HASH_KEYS = ["event_id", "result_id"]
 
