@@ -95,6 +95,10 @@ def _star(fact: DataFrame, events: DataFrame, athletes: DataFrame) -> DataFrame:
 
 
 def _countries_with_athletes(df: DataFrame, athletes: DataFrame, min_athletes: int) -> DataFrame:
+    """``country_name IN (countries with >= min_athletes athletes)``.
+
+    Applied to the athlete dimension before it meets the fact, so the big
+    fact-athlete join only sees athletes that can reach the mart."""
     return semi_join_on_group_count(df, athletes, "country_name", min_athletes)
 
 
@@ -103,7 +107,8 @@ def mart_distance_events(fact: DataFrame, events: DataFrame, athletes: DataFrame
                          natural_keys: bool = False) -> DataFrame:
     """Distance results with event and athlete attributes, for countries
     with at least ``min_athletes`` athletes."""
-    star = _star(fact, events, athletes).filter(F.col("e.event_type") == "distance")
+    kept = _countries_with_athletes(athletes, athletes, min_athletes)
+    star = _star(fact, events, kept).filter(F.col("e.event_type") == "distance")
     cols = ([] if natural_keys else [F.col("f.result_id")]) + [
         F.col("f.performance_seconds"),
         (F.col("f.performance_seconds") / F.lit(3600.0)).alias("performance_hours"),
@@ -113,7 +118,7 @@ def mart_distance_events(fact: DataFrame, events: DataFrame, athletes: DataFrame
         F.col("a.athlete_id"), F.col("a.gender"), F.col("a.country_name"),
         F.col("a.birth_year"),
     ]
-    return _countries_with_athletes(star.select(*cols), athletes, min_athletes)
+    return star.select(*cols)
 
 
 def mart_time_events(fact: DataFrame, events: DataFrame, athletes: DataFrame,
@@ -121,7 +126,8 @@ def mart_time_events(fact: DataFrame, events: DataFrame, athletes: DataFrame,
                      natural_keys: bool = False) -> DataFrame:
     """Time results (km covered) with event and athlete attributes, for
     countries with at least ``min_athletes`` athletes."""
-    star = _star(fact, events, athletes).filter(F.col("e.event_type") == "time")
+    kept = _countries_with_athletes(athletes, athletes, min_athletes)
+    star = _star(fact, events, kept).filter(F.col("e.event_type") == "time")
     cols = ([] if natural_keys else [F.col("f.result_id")]) + [
         F.col("f.performance_km"), F.col("f.average_speed"), F.col("f.age_category"),
         F.col("e.event_name"), F.col("e.distance"), F.col("e.start_date"),
@@ -129,7 +135,7 @@ def mart_time_events(fact: DataFrame, events: DataFrame, athletes: DataFrame,
         F.col("a.athlete_id"), F.col("a.gender"), F.col("a.country_name"),
         F.col("a.birth_year"),
     ]
-    return _countries_with_athletes(star.select(*cols), athletes, min_athletes)
+    return star.select(*cols)
 
 
 def mart_overview(fact: DataFrame, events: DataFrame, athletes: DataFrame,

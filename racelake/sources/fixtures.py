@@ -67,7 +67,11 @@ def main_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
-    j = li.join(athletes_with_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
+    # lineitem and orders are both fact-sized: shuffle both on the order key
+    # (sort-merge, spill-safe). Left to itself the planner broadcasts
+    # lineitem at small scales, which runs the whole feed in one task.
+    j = li.join(athletes_with_orders(spark, sf_dir).hint("merge"),
+                F.col("l_orderkey") == F.col("o_orderkey"))
 
     ship = F.col("l_shipdate")
     nxt = ship + F.expr("INTERVAL 1 DAY")
