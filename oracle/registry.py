@@ -1,8 +1,8 @@
 """Oracle SQL per registered query (DuckDB dialect).
 
 Queries without an entry get a rows-only check: ``src_infer_schema`` (the
-inferred types are Spark's own) and ``meta_list_files`` (file names are
-chosen by the writer).
+inferred types are Spark's own), ``meta_list_files`` (file names are chosen
+by the writer) and ``profile_quartiles`` (approximate by design).
 """
 
 from __future__ import annotations
@@ -57,12 +57,19 @@ def _oracle() -> dict[str, str]:
     o["src_stream_csv"] = _raw("SELECT * FROM raw_main")
     o["src_batch_csv"] = _raw("SELECT * FROM raw_main")
     o["src_table_scan"] = _raw("SELECT * FROM raw_main")
-    o["meta_catalog_tables"] = gold(
-        "SELECT 'racelake_gold' AS database, 'fct_results' AS table_name, 'Fact table - gold layer' AS comment, "
-        "COUNT(*) AS num_rows FROM fact UNION ALL "
-        "SELECT 'racelake_gold', 'dim_event', 'Dim event - gold layer', COUNT(*) FROM dim_event UNION ALL "
-        "SELECT 'racelake_gold', 'dim_athlete', 'Dim athlete - gold layer', COUNT(*) FROM dim_athlete UNION ALL "
-        "SELECT 'racelake_gold', 'dim_date', 'Dim date - gold layer', COUNT(*) FROM dim_date")
+    inventory = [
+        ("racelake_bronze", "raw_results", "Raw results feed - bronze layer", "feed_main"),
+        ("racelake_bronze", "second_feed", "Second results feed - bronze layer", "feed_second"),
+        ("racelake_bronze", "country_codes", "Country code lookup - bronze layer", "country_lookup"),
+        ("racelake_silver", "results", "Cleaned and validated one big table - silver layer", "silver"),
+        ("racelake_gold", "fct_results", "Fact table - gold layer", "fact"),
+        ("racelake_gold", "dim_event", "Dim event - gold layer", "dim_event"),
+        ("racelake_gold", "dim_athlete", "Dim athlete - gold layer", "dim_athlete"),
+        ("racelake_gold", "dim_date", "Dim date - gold layer", "dim_date"),
+    ]
+    o["meta_catalog_tables"] = gold(" UNION ALL ".join(
+        f"SELECT {_sql_str(db)} AS database, {_sql_str(t)} AS table_name, {_sql_str(c)} AS comment, "
+        f"COUNT(*) AS num_rows FROM {src}" for db, t, c, src in inventory))
 
     # Shaping and set operations
     o["shape_snake_case"] = with_chain("SELECT * FROM feed_main", "filter_fill_unknown")

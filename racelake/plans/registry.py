@@ -24,7 +24,7 @@ from racelake.plans import silver as S
 from racelake.plans.context import Layers
 from racelake.plans.gold import MIN_ATHLETES_PER_COUNTRY, fct_results
 from racelake.session import scratch_path
-from racelake.sinks import set_comment, write_layer
+from racelake.sinks import write_layer
 from racelake.sources import csv as csv_src
 from racelake.sources import tables
 from racelake.streaming import ingest_landing_root, stream_fact_results
@@ -154,29 +154,46 @@ def meta_list_files(spark, d) -> DataFrame:
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length")
 
 
-# Fixed comments of the gold tables.
-GOLD_COMMENTS = {
-    "fct_results": "Fact table - gold layer",
-    "dim_event": "Dim event - gold layer",
-    "dim_athlete": "Dim athlete - gold layer",
-    "dim_date": "Dim date - gold layer",
+# Fixed table comments of the layer databases.
+LAYER_COMMENTS = {
+    ("racelake_bronze", "raw_results"): "Raw results feed - bronze layer",
+    ("racelake_bronze", "second_feed"): "Second results feed - bronze layer",
+    ("racelake_bronze", "country_codes"): "Country code lookup - bronze layer",
+    ("racelake_silver", "results"): "Cleaned and validated one big table - silver layer",
+    ("racelake_gold", "fct_results"): "Fact table - gold layer",
+    ("racelake_gold", "dim_event"): "Dim event - gold layer",
+    ("racelake_gold", "dim_athlete"): "Dim athlete - gold layer",
+    ("racelake_gold", "dim_date"): "Dim date - gold layer",
 }
-GOLD_DATABASE = "racelake_gold"
+LAYER_DATABASES = ["racelake_bronze", "racelake_silver", "racelake_gold"]
 
 
 def meta_catalog_tables(spark, d) -> DataFrame:
-    """Create the layer databases, write the gold tables with
-    comments, and list them with their row counts."""
+    """Create the layer databases, write each layer's tables
+    into them with a comment, and list every table with its row count."""
     root = scratch_path(spark, "warehouse")
-    tables.ensure_databases(spark, ["racelake_bronze", "racelake_silver", GOLD_DATABASE], root)
-    g = _gold(spark, d)
-    for name, df in (("fct_results", g.fact), ("dim_event", g.dim_event),
-                     ("dim_athlete", g.dim_athlete), ("dim_date", g.dim_date)):
-        full = f"{GOLD_DATABASE}.{name}"
+    tables.ensure_databases(spark, LAYER_DATABASES, root)
+    lay = Layers(spark, d)
+    g = lay.gold
+    frames = {
+        ("racelake_bronze", "raw_results"): lay.main_raw,
+        ("racelake_bronze", "second_feed"): lay.second_raw,
+        ("racelake_bronze", "country_codes"): lay.lookup,
+        ("racelake_silver", "results"): lay.silver_table,
+        ("racelake_gold", "fct_results"): g.fact,
+        ("racelake_gold", "dim_event"): g.dim_event,
+        ("racelake_gold", "dim_athlete"): g.dim_athlete,
+        ("racelake_gold", "dim_date"): g.dim_date,
+    }
+    for (db, name), df in frames.items():
+        full = f"{db}.{name}"
         spark.sql(f"DROP TABLE IF EXISTS {full}")
-        write_layer(df, f"{root}/{GOLD_DATABASE}.db/{name}", table=full)
-        set_comment(spark, full, GOLD_COMMENTS[name])
-    return tables.table_inventory(spark, GOLD_DATABASE)
+        write_layer(df, f"{root}/{db}.db/{name}", table=full, comment=LAYER_COMMENTS[(db, name)])
+    out = None
+    for db in LAYER_DATABASES:
+        inv = tables.table_inventory(spark, db)
+        out = inv if out is None else out.unionByName(inv)
+    return out
 
 
 def _raw_main(spark, d) -> DataFrame:
@@ -272,6 +289,7 @@ def _queries() -> dict[str, Query]:
     q["profile_distinct_counts"] = lambda s, d: P.distinct_counts(_raw_main(s, d))
     q["profile_distinct_values"] = lambda s, d: P.distinct_values(_raw_main(s, d), "Event name")
     q["profile_numeric_summary"] = lambda s, d: P.numeric_summary(_raw_main(s, d))
+    q["profile_quartiles"] = lambda s, d: P.numeric_quartiles(_raw_main(s, d))
     q["agg_count_by_key"] = lambda s, d: P.count_by_key(_raw_main(s, d), "Athlete age category")
     q["topk_countries"] = lambda s, d: P.top_keys(_raw_main(s, d), "Athlete country", 20)
     return q

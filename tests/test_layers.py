@@ -87,3 +87,19 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["gender", "avg_speed"]
     assert df.count() == 2
+
+
+def test_quartiles_equal_exact_percentiles_on_small_fixture(layers):
+    """percentile_approx at accuracy 10000 is exact on a 6,000-row table:
+    compare with numpy's inverted-CDF percentiles computed by brute force."""
+    import numpy as np
+
+    from racelake.plans.profile import numeric_quartiles
+
+    raw = layers.main_raw
+    got = {r.column_name: (r.p25, r.p50, r.p75) for r in numeric_quartiles(raw).collect()}
+    pdf = raw.select(*[F.col(f"`{c}`") for c in got]).toPandas()
+    for c, qs in got.items():
+        x = pdf[c].dropna().astype(float).to_numpy()
+        want = tuple(float(np.percentile(x, p, method="inverted_cdf")) for p in (25, 50, 75))
+        assert qs == want, c
