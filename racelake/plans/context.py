@@ -54,4 +54,7 @@ class Layers:
 
     @cached_property
     def gold(self) -> Gold:
-        return Gold(self.silver_table)
+        """Gold over the written silver, with the fact and dimensions
+        written too (marts join written tables, see ``Gold``)."""
+        root = scratch_path(self.spark, "gold")
+        return Gold(self.silver_table, persist=lambda df, name: write_layer(df, f"{root}/{name}"))

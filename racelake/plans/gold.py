@@ -5,10 +5,10 @@ Scale notes (the fact is the only table that grows with every result):
 * Dimensions are keyed aggregates over silver. ``groupBy`` runs a partial
   aggregate before the shuffle, so a hot key (an athlete or event holding a
   third of all rows) costs one row per map task, not one per result.
-* ``dim_athlete`` grows with the athletes and is never broadcast; its
-  aggregate output is already hash-partitioned on ``athlete_id``, so the
-  fact is the only side shuffled for that join. AQE splits a skewed
-  athlete partition if one appears.
+* ``dim_athlete`` grows with the athletes and is never broadcast. Marts
+  should join written fact / dimension tables (``Gold(persist=...)``):
+  both sides are then plain shuffles, which AQE's skew join can split when
+  one athlete or event holds a large share of the results.
 * ``dim_event`` and ``dim_date`` are small in practice but have no proven
   bound, so no broadcast hint is given: AQE broadcasts them from the
   measured shuffle size, or keeps a sort-merge join when they are big.
@@ -18,6 +18,7 @@ Scale notes (the fact is the only table that grows with every result):
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -157,20 +158,32 @@ def mart_overview(fact: DataFrame, events: DataFrame, athletes: DataFrame,
 
 @dataclass
 class Gold:
-    """The gold tables over one silver DataFrame (lazy; nothing runs until
-    an action). Marts are built on demand with a given country threshold."""
+    """The gold tables over one silver DataFrame. Marts are built on demand
+    with a given country threshold.
+
+    Without ``persist`` everything is lazy. With it (``persist(df, name) ->
+    DataFrame``, e.g. a layer writer) the fact and the dimensions are
+    materialized first, as the reference's materialized views are, and the
+    marts join the written tables. That is the path to use at scale: both
+    sides of the fact-dimension joins are then plain scans, so AQE can split
+    the partition of a hot key (its skew-join rule needs a shuffle directly
+    under each side; a lazy aggregate's output partitioning removes it from
+    the dimension side and leaves the hot partition to one task).
+    """
 
     silver: DataFrame
+    persist: Callable[[DataFrame, str], DataFrame] | None = None
     fact: DataFrame = field(init=False)
     dim_event: DataFrame = field(init=False)
     dim_athlete: DataFrame = field(init=False)
     dim_date: DataFrame = field(init=False)
 
     def __post_init__(self):
-        self.fact = fct_results(self.silver)
-        self.dim_event = dim_event(self.silver)
-        self.dim_athlete = dim_athlete(self.silver)
-        self.dim_date = dim_date(self.silver)
+        keep = self.persist or (lambda df, _name: df)
+        self.fact = keep(fct_results(self.silver), "fct_results")
+        self.dim_event = keep(dim_event(self.silver), "dim_event")
+        self.dim_athlete = keep(dim_athlete(self.silver), "dim_athlete")
+        self.dim_date = keep(dim_date(self.silver), "dim_date")
 
     def mart_distance(self, min_athletes: int = MIN_ATHLETES_PER_COUNTRY, natural_keys=False):
         return mart_distance_events(self.fact, self.dim_event, self.dim_athlete,

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from racelake.plans import silver as S
+from racelake.plans import gold as G
 from racelake.plans.gold import MIN_ATHLETES_PER_COUNTRY, Gold
 from racelake.sinks import write_layer
 from racelake.sources import fixtures as fx
@@ -51,12 +52,13 @@ def build_layers(spark: SparkSession, sf_dir: str, out_root: str,
     combined = S.combine_feeds(t["bronze/raw_results"], t["bronze/second_feed"])
     t["silver/results"] = _timed(timings, "silver_results", lambda: w(
         S.clean_results(combined, t["bronze/country_codes"]), "silver/results"))
-    g = Gold(t["silver/results"])
-    for name, df in (("fct_results", g.fact), ("dim_event", g.dim_event),
-                     ("dim_athlete", g.dim_athlete), ("dim_date", g.dim_date)):
-        t[f"gold/{name}"] = _timed(timings, f"gold_{name}", lambda df=df, name=name: w(df, f"gold/{name}"))
-    fact, ev, ath, dt = (t[f"gold/{n}"] for n in ("fct_results", "dim_event", "dim_athlete", "dim_date"))
-    from racelake.plans import gold as G
+
+    def persist(df: DataFrame, name: str) -> DataFrame:
+        t[f"gold/{name}"] = _timed(timings, f"gold_{name}", lambda: w(df, f"gold/{name}"))
+        return t[f"gold/{name}"]
+
+    g = Gold(t["silver/results"], persist=persist)
+    fact, ev, ath, dt = g.fact, g.dim_event, g.dim_athlete, g.dim_date
     t["gold/mart_distance_events"] = _timed(timings, "gold_mart_distance_events", lambda: w(
         G.mart_distance_events(fact, ev, ath, min_athletes), "gold/mart_distance_events"))
     t["gold/mart_time_events"] = _timed(timings, "gold_mart_time_events", lambda: w(
