@@ -216,9 +216,9 @@ def _oracle() -> dict[str, str]:
     n = len(RAW)
     values = ", ".join(f"({_sql_str(r)}, {i + 1}, {_sql_str(t)})" for i, (_, r, t) in enumerate(RAW))
     o["profile_shape"] = _raw(
-        f"SELECT c.num_rows, {n} AS num_columns, v.column_name, v.ordinal, v.data_type "
-        f"FROM (SELECT COUNT(*) AS num_rows FROM raw_main) c, "
-        f"(VALUES {values}) v(column_name, ordinal, data_type)")
+        f"SELECT (SELECT COUNT(*) FROM raw_main) AS num_rows, {n} AS num_columns, "
+        f"v.column_name, v.ordinal, v.data_type "
+        f"FROM (VALUES {values}) v(column_name, ordinal, data_type)")
     nulls = " UNION ALL ".join(
         f"SELECT {_sql_str(r)} AS column_name, {i + 1} AS ordinal, "
         f'COUNT(*) FILTER (WHERE "{r}" IS NULL) AS nulls FROM raw_main' for i, (_, r, _t) in enumerate(RAW))
