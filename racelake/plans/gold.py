@@ -19,7 +19,7 @@ Scale notes (the fact is the only table that grows with every result):
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -156,34 +156,44 @@ def mart_overview(fact: DataFrame, events: DataFrame, athletes: DataFrame,
     return star.select(*cols)
 
 
-@dataclass
 class Gold:
     """The gold tables over one silver DataFrame. Marts are built on demand
     with a given country threshold.
 
     Without ``persist`` everything is lazy. With it (``persist(df, name) ->
-    DataFrame``, e.g. a layer writer) the fact and the dimensions are
-    materialized first, as the reference's materialized views are, and the
-    marts join the written tables. That is the path to use at scale: both
-    sides of the fact-dimension joins are then plain scans, so AQE can split
-    the partition of a hot key (its skew-join rule needs a shuffle directly
-    under each side; a lazy aggregate's output partitioning removes it from
-    the dimension side and leaves the hot partition to one task).
+    DataFrame``, e.g. a layer writer) each of the fact and the dimensions is
+    materialized the first time it is used, as the reference's materialized
+    views are, and the marts join the written tables. That is the path to use
+    at scale: both sides of the fact-dimension joins are then plain scans, so
+    AQE can split the partition of a hot key (its skew-join rule needs a
+    shuffle directly under each side; a lazy aggregate's output partitioning
+    removes it from the dimension side and leaves the hot partition to one
+    task).
     """
 
-    silver: DataFrame
-    persist: Callable[[DataFrame, str], DataFrame] | None = None
-    fact: DataFrame = field(init=False)
-    dim_event: DataFrame = field(init=False)
-    dim_athlete: DataFrame = field(init=False)
-    dim_date: DataFrame = field(init=False)
-
-    def __post_init__(self):
-        keep = self.persist or (lambda df, _name: df)
-        self.fact = keep(fct_results(self.silver), "fct_results")
-        self.dim_event = keep(dim_event(self.silver), "dim_event")
-        self.dim_athlete = keep(dim_athlete(self.silver), "dim_athlete")
-        self.dim_date = keep(dim_date(self.silver), "dim_date")
+    def __init__(self, silver: DataFrame,
+                 persist: Callable[[DataFrame, str], DataFrame] | None = None):
+        self.silver = silver
+        self.persist = persist
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return self.persist(df, name) if self.persist else df
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._keep(fct_results(self.silver), "fct_results")
+
+    @cached_property
+    def dim_event(self) -> DataFrame:
+        return self._keep(dim_event(self.silver), "dim_event")
+
+    @cached_property
+    def dim_athlete(self) -> DataFrame:
+        return self._keep(dim_athlete(self.silver), "dim_athlete")
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self._keep(dim_date(self.silver), "dim_date")
 
     def mart_distance(self, min_athletes: int = MIN_ATHLETES_PER_COUNTRY, natural_keys=False):
         return mart_distance_events(self.fact, self.dim_event, self.dim_athlete,
