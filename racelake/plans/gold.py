@@ -49,27 +49,44 @@ def fct_results(silver: DataFrame, natural_keys: bool = False) -> DataFrame:
 
 def dim_athlete(silver: DataFrame) -> DataFrame:
     """One row per athlete; every attribute is its own MIN, so values may
-    come from different rows of a person."""
-    return silver.groupBy("athlete_id").agg(
+    come from different rows of a person.
+
+    Spark cannot hash-aggregate MIN over strings (its buffer is not
+    fixed-width) and would sort every result row by athlete instead. So the
+    string attributes are first grouping keys of a hash aggregate (one row
+    per athlete and attribute variant, map-side combined), and the string
+    MINs then run over that dimension-sized remainder. MIN of MINs is the
+    MIN, so the result is the same."""
+    variants = silver.groupBy("athlete_id", "athlete_country", "country_name", "athlete_gender").agg(
+        F.min("athlete_year_of_birth").alias("birth_year"))
+    return variants.groupBy("athlete_id").agg(
         F.min("athlete_country").alias("country_code"),
         F.min("country_name").alias("country_name"),
-        F.min("athlete_year_of_birth").alias("birth_year"),
+        F.min("birth_year").alias("birth_year"),
         F.min("athlete_gender").alias("gender"),
     )
 
 
 def dim_event(silver: DataFrame, natural_keys: bool = False) -> DataFrame:
     """One row per event id (= per event name, all editions together): the
-    first year and dates, the largest number of finishers."""
-    out = silver.groupBy("event_id").agg(
-        F.min("event_name").alias("event_name"),
-        F.min("event_type").alias("event_type"),
+    first year and dates, the largest number of finishers. Aggregated in two
+    steps for the same reason as ``dim_athlete``."""
+    length = F.col("`event_distance/length`")
+    variants = silver.groupBy("event_id", "event_name", "event_type", length.alias("distance")).agg(
         F.min("year_of_event").alias("event_year"),
         F.min("event_start_date").alias("start_date"),
         F.min("event_end_date").alias("end_date"),
-        F.min(F.col("`event_distance/length`")).alias("distance"),
         F.max("event_number_of_finishers").alias("number_finishers"),
     )
+    out = variants.groupBy("event_id").agg(
+        F.min("event_name").alias("event_name"),
+        F.min("event_type").alias("event_type"),
+        F.min("event_year").alias("event_year"),
+        F.min("start_date").alias("start_date"),
+        F.min("end_date").alias("end_date"),
+        F.min("distance").alias("distance"),
+        F.max("number_finishers").alias("number_finishers"),
+    )
     return out.drop("event_id") if natural_keys else out
 
 
