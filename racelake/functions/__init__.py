@@ -11,6 +11,7 @@ from racelake.functions.race import (
     event_end_date,
     event_start_date,
     event_type,
+    is_km_performance,
     is_realistic_performance,
     normalized_age_category,
     performance_km,
@@ -18,6 +19,7 @@ from racelake.functions.race import (
     positive_hash,
     speed_as_double,
     unit_verdict,
+    year_as_int,
 )
 
 __all__ = [
@@ -27,6 +29,7 @@ __all__ = [
     "event_end_date",
     "event_start_date",
     "event_type",
+    "is_km_performance",
     "is_realistic_performance",
     "normalized_age_category",
     "performance_km",
@@ -34,8 +37,5 @@ __all__ = [
     "positive_hash",
     "speed_as_double",
     "unit_verdict",
+    "year_as_int",
 ]
-
-from racelake.functions.race import is_km_performance, year_as_int  # noqa: E402
-
-__all__ += ["is_km_performance", "year_as_int"]

@@ -31,11 +31,19 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_csv_stream(spark: SparkSession, folder: str, schema: StructType,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of a growing folder of CSV files."""
+                    max_files_per_trigger: int | None = None,
+                    archive_dir: str | None = None) -> DataFrame:
+    """Streaming scan of a growing folder of CSV files.
+
+    ``max_files_per_trigger`` bounds each micro-batch. With ``archive_dir``
+    processed files are moved there after their batch commits
+    (``cleanSource=archive``), so the folder listing done on every trigger
+    stays proportional to the new files rather than to the whole history."""
     reader = spark.readStream.options(**CSV_OPTIONS).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.csv(folder)
 
 

@@ -18,10 +18,11 @@ LOOKUP_DIR = "country_codes"
 def ingest_csv_stream(spark: SparkSession, src_dir: str, schema: StructType,
                       sink_dir: str, checkpoint_dir: str,
                       max_files_per_trigger: int | None = None,
-                      timeout_s: float | None = 600):
+                      timeout_s: float | None = 600, archive_dir: str | None = None):
     """Append every new CSV file of ``src_dir`` to the parquet folder
-    ``sink_dir``; returns the finished StreamingQuery."""
-    stream = read_csv_stream(spark, src_dir, schema, max_files_per_trigger)
+    ``sink_dir``; returns the finished StreamingQuery. ``archive_dir`` moves
+    ingested files out of the landing folder (off by default)."""
+    stream = read_csv_stream(spark, src_dir, schema, max_files_per_trigger, archive_dir)
     return write_stream_append(stream, sink_dir, checkpoint_dir, timeout_s)
 
 

@@ -103,3 +103,20 @@ def test_quartiles_equal_exact_percentiles_on_small_fixture(layers):
         x = pdf[c].dropna().astype(float).to_numpy()
         want = tuple(float(np.percentile(x, p, method="inverted_cdf")) for p in (25, 50, 75))
         assert qs == want, c
+
+
+def test_ingest_archives_processed_files(spark, layers):
+    import glob
+
+    from racelake import schemas
+    from racelake.sources.csv import write_csv
+    from racelake.streaming import ingest_csv_stream
+
+    src = scratch_path(spark, "t-land")
+    write_csv(layers.main_raw, src, files=3)
+    sink, ckpt, arch = (scratch_path(spark, n) for n in ("t-sink2", "t-ckpt2", "t-arch"))
+    ingest_csv_stream(spark, src, schemas.MAIN_FEED, sink, ckpt, max_files_per_trigger=1,
+                      archive_dir=arch)
+    assert spark.read.parquet(sink).count() == 6000
+    # Files of the last batch are archived by the next one; earlier ones are gone.
+    assert len(glob.glob(f"{src}/*.csv")) < 3

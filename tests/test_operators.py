@@ -163,11 +163,21 @@ def test_join_lookup_broadcast_only_when_small(spark):
     lk = spark.createDataFrame([("0", "zero"), ("1", "one")], "k string, name string")
     assert bounded_count(lk, 5) == 2 and bounded_count(spark.range(10), 5) is None
     small = join_lookup(big, lk, "k")
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in _explained(small)
     assert small.count() == 67
     assert join_lookup(big, lk, "k", max_broadcast_rows=1).count() == 67
 
 
+def _explained(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 def test_semi_join_on_group_count(spark):
     df = spark.createDataFrame([("A",), ("A",), ("B",)], "c string")
     assert [r.c for r in semi_join_on_group_count(df, df, "c", 2).collect()] == ["A", "A"]
