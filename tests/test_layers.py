@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from racelake.plans import reports as R
 from racelake.plans import silver as S
 from racelake.plans.context import Layers
+from racelake.plans.gold import fct_results
 from racelake.session import scratch_path
 from racelake.streaming import stream_fact_results
 
@@ -120,3 +121,13 @@ def test_ingest_archives_processed_files(spark, layers):
     assert spark.read.parquet(sink).count() == 6000
     # Files of the last batch are archived by the next one; earlier ones are gone.
     assert len(glob.glob(f"{src}/*.csv")) < 3
+
+
+def test_streamed_fact_equals_batch_fact(spark, layers):
+    silver_dir = scratch_path(spark, "t-silver-eq")
+    layers.silver.write.parquet(silver_dir)
+    sink, ckpt = scratch_path(spark, "t-sink-eq"), scratch_path(spark, "t-ckpt-eq")
+    stream_fact_results(spark, silver_dir, sink, ckpt, max_files_per_trigger=2)
+    streamed = spark.read.parquet(sink)
+    batch = fct_results(spark.read.parquet(silver_dir))
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
