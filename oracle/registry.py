@@ -86,6 +86,7 @@ def _oracle() -> dict[str, str]:
         "FROM s_enrich_surrogate_keys", "enrich_surrogate_keys")
     o["join_country_lookup"] = with_chain("SELECT * FROM silver")
     o["silver_obt"] = with_chain("SELECT * FROM silver")
+    o["silver_stream"] = with_chain("SELECT * FROM silver")
     verdict = _unit_verdict('"Event distance/length"', '"Athlete performance"')
     o["audit_unit_validity"] = _raw(
         f"SELECT {verdict} AS is_valid, COUNT(*) AS count FROM raw_main GROUP BY 1")

@@ -27,7 +27,8 @@ from racelake.session import scratch_path
 from racelake.sinks import write_layer
 from racelake.sources import csv as csv_src
 from racelake.sources import tables
-from racelake.streaming import ingest_landing_root, stream_fact_results
+from racelake.streaming import (ingest_landing_root, stream_fact_results,
+                                stream_silver_results)
 from racelake.streaming.ingest import LOOKUP_DIR, SECOND_FEED_DIR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +111,20 @@ def fct_results_stream(spark, d) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def silver_stream(spark, d) -> DataFrame:
+    """Silver built incrementally: bronze folders are streamed through the
+    cleaning chain (here in two runs, the second feed arriving later)."""
+    lay = Layers(spark, d)
+    main_dir, second_dir = scratch_path(spark, "bronze-main"), scratch_path(spark, "bronze-second")
+    lay.main_raw.write.parquet(main_dir)
+    lay.second_raw.limit(0).write.parquet(second_dir)
+    sink, ckpt = scratch_path(spark, "silver-sink"), scratch_path(spark, "silver-ckpt")
+    stream_silver_results(spark, [main_dir, second_dir], lay.lookup, sink, ckpt)
+    lay.second_raw.write.mode("append").parquet(second_dir)
+    stream_silver_results(spark, [main_dir, second_dir], lay.lookup, sink, ckpt)
+    return _without_hash_keys(spark.read.parquet(sink))
+
+
 def _landing(spark, d, files: int = 4) -> str:
     """A landing root with the three feeds as CSV: the main feed's files in
     the root, the other two in sub-folders."""
@@ -221,6 +236,7 @@ def _queries() -> dict[str, Query]:
         q[name] = surrogate_key_counts if name == "enrich_surrogate_keys" else _step(name)
     q["join_country_lookup"] = lambda s, d: _without_hash_keys(Layers(s, d).silver)
     q["silver_obt"] = silver_obt
+    q["silver_stream"] = silver_stream
     q["audit_unit_validity"] = lambda s, d: clean.unit_validity_audit(
         _raw_main(s, d), "Event distance/length", "Athlete performance")
     q["audit_rejected_units"] = lambda s, d: clean.rejected_unit_rows(

@@ -1,7 +1,7 @@
-"""Structured Streaming jobs: incremental CSV ingest (bronze) and the
-append-only fact stream (gold).
+"""Structured Streaming jobs: incremental CSV ingest (bronze), incremental
+cleaning (silver) and the append-only fact stream (gold).
 
-Both are stateless appends: every run processes the files / rows that
+All three are stateless appends: every run processes the files / rows that
 arrived since the last checkpoint (``trigger(availableNow=True)``) and
 stops. No watermark or state store is needed because nothing is
 aggregated across micro-batches.
@@ -9,5 +9,7 @@ aggregated across micro-batches.
 
 from racelake.streaming.ingest import ingest_csv_stream, ingest_landing_root
 from racelake.streaming.fact import stream_fact_results
+from racelake.streaming.silver import stream_silver_results
 
-__all__ = ["ingest_csv_stream", "ingest_landing_root", "stream_fact_results"]
+__all__ = ["ingest_csv_stream", "ingest_landing_root", "stream_fact_results",
+           "stream_silver_results"]

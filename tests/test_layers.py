@@ -131,3 +131,19 @@ def test_streamed_fact_equals_batch_fact(spark, layers):
     streamed = spark.read.parquet(sink)
     batch = fct_results(spark.read.parquet(silver_dir))
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_streamed_silver_equals_batch_silver(spark, layers):
+    from racelake.streaming import stream_silver_results
+
+    main_dir, second_dir = scratch_path(spark, "t-bm"), scratch_path(spark, "t-bs")
+    layers.main_raw.write.parquet(main_dir)
+    layers.second_raw.write.parquet(second_dir)
+    sink, ckpt = scratch_path(spark, "t-ss"), scratch_path(spark, "t-sc")
+    stream_silver_results(spark, [main_dir, second_dir], layers.lookup, sink, ckpt, max_files_per_trigger=2)
+    streamed = spark.read.parquet(sink)
+    batch = layers.silver.select(*streamed.columns)
+    assert streamed.count() == 1468
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+    stream_silver_results(spark, [main_dir, second_dir], layers.lookup, sink, ckpt)
+    assert spark.read.parquet(sink).count() == 1468
