@@ -81,7 +81,11 @@ def main() -> None:
         make().write.format("noop").mode("overwrite").save()
         timings[name] = round(time.time() - t0, 3)
     total = round(sum(timings.values()), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_text = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_text)
+    except ValueError:
+        sf = sf_text
     print(json.dumps({"metric": "layers_build_plus_reports_total", "value": total,
                       "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus}))
 
