@@ -34,9 +34,14 @@ def _timed(timings: dict | None, name: str, fn: Callable[[], DataFrame]) -> Data
 
 def build_layers(spark: SparkSession, sf_dir: str, out_root: str,
                  min_athletes: int = MIN_ATHLETES_PER_COUNTRY,
-                 timings: dict | None = None) -> dict[str, DataFrame]:
+                 timings: dict | None = None,
+                 waterfall: dict | None = None) -> dict[str, DataFrame]:
     """Write all layers under ``out_root`` and return readers for them.
 
+    ``timings`` receives seconds per written table; ``waterfall`` receives
+    the silver row count after each cleaning step (observed while silver is
+    written, no extra job).
+
     Bronze comes from the driver tables (``fixtures``); in production the
     bronze folders are filled by ``racelake.streaming.ingest_landing_root``.
     """
@@ -50,8 +55,11 @@ def build_layers(spark: SparkSession, sf_dir: str, out_root: str,
     t["bronze/country_codes"] = _timed(timings, "bronze_country_codes",
                                        lambda: w(fx.country_lookup(spark, sf_dir), "bronze/country_codes"))
     combined = S.combine_feeds(t["bronze/raw_results"], t["bronze/second_feed"])
+    observed: dict = {} if waterfall is not None else None
     t["silver/results"] = _timed(timings, "silver_results", lambda: w(
-        S.clean_results(combined, t["bronze/country_codes"]), "silver/results"))
+        S.clean_results(combined, t["bronze/country_codes"], observations=observed), "silver/results"))
+    if waterfall is not None:
+        waterfall.update({k: v.get["rows"] for k, v in observed.items()})
 
     def persist(df: DataFrame, name: str) -> DataFrame:
         t[f"gold/{name}"] = _timed(timings, f"gold_{name}", lambda: w(df, f"gold/{name}"))

@@ -9,20 +9,22 @@ small. Nothing shuffles the results themselves.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from racelake.operators import clean, enrich, parse, shape
 from racelake.operators.joins import join_lookup
 
-# Columns whose NULL makes a result useless (dropped after the speed step).
+# The columns whose NULL makes a result useless (dropped after
+# the speed step), and those where NULL means "not known" (kept as Unknown).
 REQUIRED_COLUMNS = [
     "athlete_performance", "athlete_id", "athlete_gender",
     "athlete_age_category", "event_distance/length", "event_start_date",
     "athlete_year_of_birth",
 ]
-# Columns where NULL means "not known" and is kept as the text Unknown.
 UNKNOWN_FILLED = ["athlete_club", "athlete_country"]
 LOOKUP_KEY = "athlete_country"
 
@@ -57,19 +59,36 @@ silver_steps: list[Step] = [
 STEP_NAMES = [n for n, _ in silver_steps]
 
 
-def clean_until(df: DataFrame, last_step: str | None = None) -> DataFrame:
+def _counted(df: DataFrame, name: str, observations: dict | None) -> DataFrame:
+    if observations is None:
+        return df
+    obs = Observation(f"rows_after_{name}_{uuid.uuid4().hex[:8]}")
+    observations[name] = obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+
+def clean_until(df: DataFrame, last_step: str | None = None,
+                observations: dict | None = None) -> DataFrame:
     """Apply the cleaning chain up to and including ``last_step`` (all
-    steps when None)."""
+    steps when None).
+
+    With an ``observations`` dict, each step's output row count is observed
+    under the step name (``observations[name].get["rows"]`` after an action):
+    the whole cleaning waterfall from the one pass that writes silver, instead
+    of one counting job per step."""
     if last_step is not None and last_step not in STEP_NAMES:
         raise KeyError(last_step)
     for name, step in silver_steps:
-        df = df.transform(step)
+        df = _counted(df.transform(step), name, observations)
         if name == last_step:
             break
     return df
 
 
-def clean_results(combined: DataFrame, lookup: DataFrame) -> DataFrame:
+def clean_results(combined: DataFrame, lookup: DataFrame,
+                  observations: dict | None = None) -> DataFrame:
     """The full silver table: cleaning chain, then the inner lookup join
     (rows whose country is not in the lookup are dropped)."""
-    return join_lookup(clean_until(combined), lookup, on=LOOKUP_KEY, how="inner")
+    out = join_lookup(clean_until(combined, observations=observations), lookup,
+                      on=LOOKUP_KEY, how="inner")
+    return _counted(out, "join_country_lookup", observations)

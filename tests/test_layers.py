@@ -147,3 +147,11 @@ def test_streamed_silver_equals_batch_silver(spark, layers):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     stream_silver_results(spark, [main_dir, second_dir], layers.lookup, sink, ckpt)
     assert spark.read.parquet(sink).count() == 1468
+
+
+def test_waterfall_from_one_pass(layers):
+    obs = {}
+    S.clean_results(layers.combined, layers.lookup, observations=obs).write.format("noop").mode("overwrite").save()
+    got = {k: v.get["rows"] for k, v in obs.items()}
+    assert {k: got[k] for k in WATERFALL} == WATERFALL
+    assert got["join_country_lookup"] == 1468
