@@ -238,6 +238,11 @@ def _oracle() -> dict[str, str]:
         f'CAST(MIN("{r}") AS DOUBLE) AS min, CAST(MAX("{r}") AS DOUBLE) AS max FROM raw_main'
         for j, (_i, r) in enumerate(numeric))
     o["profile_numeric_summary"] = _raw(summary)
+    o["profile_preview"] = _raw(
+        'SELECT * FROM raw_main ORDER BY "Athlete ID" NULLS FIRST, "Event name" NULLS FIRST, '
+        '"Event dates" NULLS FIRST, "Athlete performance" NULLS FIRST, '
+        '"Athlete average speed" NULLS FIRST, "Athlete age category" NULLS FIRST, '
+        '"Event number of finishers" NULLS FIRST LIMIT 10')
     o["agg_count_by_key"] = _raw(
         'SELECT "Athlete age category", COUNT(*) AS count FROM raw_main GROUP BY 1')
     o["topk_countries"] = _raw(

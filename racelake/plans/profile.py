@@ -110,6 +110,14 @@ def numeric_quartiles(df: DataFrame, type_prefixes=NUMERIC_TYPE_PREFIXES,
     return _unpivot(num.agg(*stats), names, ["p25", "p50", "p75"], "double")
 
 
+def preview(df: DataFrame, n: int = 10, order_by: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows in the given order (all columns by default,
+    so the preview is the same on every run). Planned as a top-k: each task
+    keeps its best ``n`` rows and only those are merged."""
+    cols = order_by or df.columns
+    return df.orderBy(*[F.col(_q(c)).asc_nulls_first() for c in cols]).limit(n)
+
+
 def count_by_key(df: DataFrame, key: str, name: str = "count") -> DataFrame:
     """A3: rows per key value (NULL is a key of its own)."""
     return df.groupBy(F.col(_q(key)).alias(key)).agg(F.count(F.lit(1)).alias(name))

@@ -306,6 +306,10 @@ def _queries() -> dict[str, Query]:
     q["profile_distinct_values"] = lambda s, d: P.distinct_values(_raw_main(s, d), "Event name")
     q["profile_numeric_summary"] = lambda s, d: P.numeric_summary(_raw_main(s, d))
     q["profile_quartiles"] = lambda s, d: P.numeric_quartiles(_raw_main(s, d))
+    q["profile_preview"] = lambda s, d: P.preview(
+        _raw_main(s, d), 10, ["Athlete ID", "Event name", "Event dates", "Athlete performance",
+                              "Athlete average speed", "Athlete age category",
+                              "Event number of finishers"])
     q["agg_count_by_key"] = lambda s, d: P.count_by_key(_raw_main(s, d), "Athlete age category")
     q["topk_countries"] = lambda s, d: P.top_keys(_raw_main(s, d), "Athlete country", 20)
     return q
