@@ -81,13 +81,19 @@ def main() -> None:
         make().write.format("noop").mode("overwrite").save()
         timings[name] = round(time.time() - t0, 3)
     total = round(sum(timings.values()), 3)
+    # Table sizes (parquet footers; not timed) to read the timings against.
+    rows = {name.split("/")[-1]: t[name].count() for name in
+            ("bronze/raw_results", "silver/results", "gold/fct_results", "gold/dim_athlete",
+             "gold/dim_event", "gold/mart_overview")}
     sf_text = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     try:
         sf = float(sf_text)
     except ValueError:
         sf = sf_text
+    silver_rate = round(rows["raw_results"] / max(build.get("silver_results", 0), 1e-9))
     print(json.dumps({"metric": "layers_build_plus_reports_total", "value": total,
-                      "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus}))
+                      "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus,
+                      "rows": rows, "silver_raw_rows_per_sec": silver_rate}))
 
 
 if __name__ == "__main__":

@@ -200,10 +200,17 @@ def meta_catalog_tables(spark, d) -> DataFrame:
         ("racelake_gold", "dim_athlete"): g.dim_athlete,
         ("racelake_gold", "dim_date"): g.dim_date,
     }
-    for (db, name), df in frames.items():
-        full = f"{db}.{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {full}")
-        write_layer(df, f"{root}/{db}.db/{name}", table=full, comment=LAYER_COMMENTS[(db, name)])
+    for db in LAYER_DATABASES:
+        previous = tables.use_database(spark, db)  # names below are unqualified
+        try:
+            for (table_db, name), df in frames.items():
+                if table_db != db:
+                    continue
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+                write_layer(df, f"{root}/{db}.db/{name}", table=name,
+                            comment=LAYER_COMMENTS[(db, name)])
+        finally:
+            tables.use_database(spark, previous)
     out = None
     for db in LAYER_DATABASES:
         inv = tables.table_inventory(spark, db)

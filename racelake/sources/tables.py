@@ -28,6 +28,14 @@ def ensure_databases(spark: SparkSession, names, location_root: str | None = Non
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {n}{loc}")
 
 
+def use_database(spark: SparkSession, name: str) -> str:
+    """``USE name``; returns the previous current database so callers can
+    switch back."""
+    previous = spark.catalog.currentDatabase()
+    spark.sql(f"USE {name}")
+    return previous
+
+
 def list_databases(spark: SparkSession, pattern: str = "*") -> DataFrame:
     """``SHOW DATABASES LIKE pattern`` as a DataFrame."""
     return spark.sql(f"SHOW DATABASES LIKE '{pattern}'")
