@@ -1,8 +1,9 @@
 """Filters and null handling for result rows.
 
-Filters are expressed as single predicates so that Catalyst can merge the
-whole chain into one Filter, push the null checks into the parquet scan,
-and keep everything inside one codegen stage.
+Each filter is one predicate of built-in expressions, so Catalyst can
+combine adjacent filters, push plain null / comparison checks into the
+parquet scan when they sit directly above it, and compile them with the
+surrounding projections.
 """
 
 from __future__ import annotations

@@ -1,10 +1,11 @@
 """Silver layer: the cleaned one-big-table of race results.
 
 ``silver_steps`` lists the cleaning chain in its fixed order; ``clean_results``
-applies it. The whole chain is narrow (Project / Filter only), so Catalyst
-fuses it into one codegen stage directly on top of the scan; the only
-exchange is the lookup join, which is a broadcast when the lookup is proven
-small. Nothing shuffles the results themselves.
+applies it. The whole chain is narrow (Project / Filter only) and runs in
+the scan's tasks, as a few codegen stages split at the parse steps' row
+count observations (see ``operators.parse``); the only exchange is the
+lookup join, a broadcast when the lookup is proven small. Nothing shuffles
+the results themselves.
 """
 
 from __future__ import annotations
