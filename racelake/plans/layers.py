@@ -61,11 +61,24 @@ def build_layers(spark: SparkSession, sf_dir: str, out_root: str,
     if waterfall is not None:
         waterfall.update({k: v.get["rows"] for k, v in observed.items()})
 
+    t.update(build_gold(t["silver/results"], root, min_athletes, timings))
+    return t
+
+
+def build_gold(silver: DataFrame, out_root: str,
+               min_athletes: int = MIN_ATHLETES_PER_COUNTRY,
+               timings: dict | None = None) -> dict[str, DataFrame]:
+    """Recompute the gold tables and marts from a silver table and write
+    them under ``out_root/gold``; returns readers keyed ``gold/<table>``."""
+    root = out_root.rstrip("/")
+    w = lambda df, name: write_layer(df, f"{root}/{name}")
+    t: dict[str, DataFrame] = {}
+
     def persist(df: DataFrame, name: str) -> DataFrame:
         t[f"gold/{name}"] = _timed(timings, f"gold_{name}", lambda: w(df, f"gold/{name}"))
         return t[f"gold/{name}"]
 
-    g = Gold(t["silver/results"], persist=persist)
+    g = Gold(silver, persist=persist)
     fact, ev, ath, dt = g.fact, g.dim_event, g.dim_athlete, g.dim_date
     t["gold/mart_distance_events"] = _timed(timings, "gold_mart_distance_events", lambda: w(
         G.mart_distance_events(fact, ev, ath, min_athletes), "gold/mart_distance_events"))
@@ -74,3 +87,30 @@ def build_layers(spark: SparkSession, sf_dir: str, out_root: str,
     t["gold/mart_overview"] = _timed(timings, "gold_mart_overview", lambda: w(
         G.mart_overview(fact, ev, ath, dt), "gold/mart_overview"))
     return t
+
+
+def refresh_layers(spark: SparkSession, landing_root: str, out_root: str,
+                   min_athletes: int = MIN_ATHLETES_PER_COUNTRY,
+                   timeout_s: float | None = 3600) -> dict[str, DataFrame]:
+    """One refresh from a CSV landing root (main feed in the root, the other
+    two feeds in sub-folders), as the reference's layered tables do:
+
+    1. bronze: new CSV files are appended by three file streams;
+    2. silver: only the new bronze rows are cleaned and appended (stream);
+    3. gold: fact, dimensions and marts are recomputed from silver.
+
+    Checkpoints live in ``out_root/_checkpoints``; a second call with no new
+    files adds nothing to bronze and silver. Returns readers of all tables.
+    """
+    from racelake.streaming import ingest_landing_root, stream_silver_results
+
+    root = out_root.rstrip("/")
+    ckpt = f"{root}/_checkpoints"
+    bronze = ingest_landing_root(spark, landing_root, f"{root}/bronze", f"{ckpt}/bronze", timeout_s)
+    lookup = spark.read.parquet(bronze["country_codes"])
+    stream_silver_results(spark, [bronze["raw_results"], bronze["second_feed"]], lookup,
+                          f"{root}/silver/results", f"{ckpt}/silver", timeout_s=timeout_s)
+    t = {f"bronze/{k}": spark.read.parquet(v) for k, v in bronze.items()}
+    t["silver/results"] = spark.read.parquet(f"{root}/silver/results")
+    t.update(build_gold(t["silver/results"], root, min_athletes))
+    return t

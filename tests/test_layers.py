@@ -155,3 +155,17 @@ def test_waterfall_from_one_pass(layers):
     got = {k: v.get["rows"] for k, v in obs.items()}
     assert {k: got[k] for k in WATERFALL} == WATERFALL
     assert got["join_country_lookup"] == 1468
+
+
+def test_refresh_from_csv_landing(spark, layers):
+    from racelake.plans.layers import refresh_layers
+    from racelake.plans.registry import _landing
+
+    landing, out = _landing(spark, SF0001), scratch_path(spark, "t-refresh")
+    t = refresh_layers(spark, landing, out, min_athletes=5)
+    assert t["silver/results"].count() == 1468
+    assert t["gold/mart_overview"].count() == 1468
+    assert t["gold/mart_distance_events"].count() == 613
+    t2 = refresh_layers(spark, landing, out, min_athletes=5)  # no new files
+    assert t2["bronze/raw_results"].count() == 6000
+    assert t2["silver/results"].count() == 1468
