@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from racelake.operators import fill_unknown, generate_ids, join_lookup
 from racelake.plans import gold as G
