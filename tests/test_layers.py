@@ -175,3 +175,21 @@ def test_refresh_from_csv_landing(spark, layers):
     t2 = refresh_layers(spark, landing, out, min_athletes=5)  # no new files
     assert t2["bronze/raw_results"].count() == 6000
     assert t2["silver/results"].count() == 1468
+
+
+def test_sf01_layers_match_fixture_numbers(spark):
+    """FIXTURES.md §4, sf0.1 column: the marts at the reference's threshold
+    of 100 athletes per country, dimension sizes, silver checksums."""
+    from racelake.plans.layers import build_layers
+
+    t = build_layers(spark, "/root/testdata/sf0.1", scratch_path(spark, "t-sf01"))
+    r = t["silver/results"].agg(F.count(F.lit(1)).alias("n"), F.sum("performance_seconds").alias("s"),
+                                F.sum("performance_km").alias("k"),
+                                F.sum("athlete_average_speed").alias("v")).collect()[0]
+    assert (r.n, r.s, r.k, r.v) == (165822, 10477460577, 17728575.0, 1126445.5)
+    assert t["gold/dim_event"].count() == 351
+    assert t["gold/dim_athlete"].count() == 11624
+    assert t["gold/dim_date"].count() == 2500
+    assert t["gold/mart_distance_events"].count() == 96358
+    assert t["gold/mart_time_events"].count() == 69464
+    assert t["gold/mart_overview"].count() == 165822
