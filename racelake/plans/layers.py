@@ -91,7 +91,7 @@ def build_gold(silver: DataFrame, out_root: str,
 
 def refresh_layers(spark: SparkSession, landing_root: str, out_root: str,
                    min_athletes: int = MIN_ATHLETES_PER_COUNTRY,
-                   timeout_s: float | None = 3600) -> dict[str, DataFrame]:
+                   timeout_s: float | None = None) -> dict[str, DataFrame]:
     """One refresh from a CSV landing root (main feed in the root, the other
     two feeds in sub-folders), as the reference's layered tables do:
 

@@ -40,6 +40,8 @@ SMALL_SCALE_MIN_ATHLETES = 50
 SLICE_COUNTRY, SLICE_YEARS = "NATION_7", (1995, 2020)
 PROBE_EVENT, PROBE_TEXT = "Trail Classic (C07)", "C07"
 HASH_KEYS = ["event_id", "result_id"]
+# Checking runs bound their streams; the library waits for completion.
+STREAM_TIMEOUT_S = 900
 
 
 def _without_hash_keys(df: DataFrame) -> DataFrame:
@@ -107,7 +109,8 @@ def fct_results_stream(spark, d) -> DataFrame:
     silver_dir = scratch_path(spark, "silver-append")
     Layers(spark, d).silver.write.mode("append").parquet(silver_dir)
     sink, ckpt = scratch_path(spark, "fact-sink"), scratch_path(spark, "fact-ckpt")
-    stream_fact_results(spark, silver_dir, sink, ckpt, natural_keys=True)
+    stream_fact_results(spark, silver_dir, sink, ckpt, natural_keys=True,
+                        timeout_s=STREAM_TIMEOUT_S)
     return spark.read.parquet(sink)
 
 
@@ -119,9 +122,11 @@ def silver_stream(spark, d) -> DataFrame:
     lay.main_raw.write.parquet(main_dir)
     lay.second_raw.limit(0).write.parquet(second_dir)
     sink, ckpt = scratch_path(spark, "silver-sink"), scratch_path(spark, "silver-ckpt")
-    stream_silver_results(spark, [main_dir, second_dir], lay.lookup, sink, ckpt)
+    stream_silver_results(spark, [main_dir, second_dir], lay.lookup, sink, ckpt,
+                          timeout_s=STREAM_TIMEOUT_S)
     lay.second_raw.write.mode("append").parquet(second_dir)
-    stream_silver_results(spark, [main_dir, second_dir], lay.lookup, sink, ckpt)
+    stream_silver_results(spark, [main_dir, second_dir], lay.lookup, sink, ckpt,
+                          timeout_s=STREAM_TIMEOUT_S)
     return _without_hash_keys(spark.read.parquet(sink))
 
 
@@ -140,7 +145,7 @@ def src_stream_csv(spark, d) -> DataFrame:
     """S2 + K1: incremental ingest of the landing root into bronze."""
     root = _landing(spark, d)
     out = ingest_landing_root(spark, root, scratch_path(spark, "bronze"),
-                              scratch_path(spark, "bronze-ckpt"))
+                              scratch_path(spark, "bronze-ckpt"), timeout_s=STREAM_TIMEOUT_S)
     return spark.read.parquet(out["raw_results"])
 
 

@@ -31,7 +31,7 @@ def set_comment(spark: SparkSession, table: str, comment: str) -> None:
 
 
 def write_stream_append(stream_df: DataFrame, sink_dir: str, checkpoint_dir: str,
-                        timeout_s: float | None = 600, query_name: str | None = None):
+                        timeout_s: float | None = None, query_name: str | None = None):
     """Append a stream to a parquet folder, processing everything available
     now (in bounded micro-batches) and then stopping. The checkpoint makes a
     re-run pick up only new input; a failed run resumes where it stopped."""

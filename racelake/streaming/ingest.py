@@ -9,6 +9,11 @@ from racelake import schemas
 from racelake.sinks import write_stream_append
 from racelake.sources.csv import read_csv_stream
 
+# Files per micro-batch. A first run over a large existing folder then
+# commits progress every batch instead of reading everything as one batch
+# that a failure would have to redo in full.
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+
 # Sub-folders of the landing root that hold the other two feeds; the main
 # feed's files sit directly in the root.
 SECOND_FEED_DIR = "second_feed"
@@ -17,8 +22,8 @@ LOOKUP_DIR = "country_codes"
 
 def ingest_csv_stream(spark: SparkSession, src_dir: str, schema: StructType,
                       sink_dir: str, checkpoint_dir: str,
-                      max_files_per_trigger: int | None = None,
-                      timeout_s: float | None = 600, archive_dir: str | None = None):
+                      max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+                      timeout_s: float | None = None, archive_dir: str | None = None):
     """Append every new CSV file of ``src_dir`` to the parquet folder
     ``sink_dir``; returns the finished StreamingQuery. ``archive_dir`` moves
     ingested files out of the landing folder (off by default)."""
@@ -27,7 +32,7 @@ def ingest_csv_stream(spark: SparkSession, src_dir: str, schema: StructType,
 
 
 def ingest_landing_root(spark: SparkSession, landing_root: str, bronze_root: str,
-                        checkpoint_root: str, timeout_s: float | None = 600) -> dict[str, str]:
+                        checkpoint_root: str, timeout_s: float | None = None) -> dict[str, str]:
     """Ingest the three feeds of a landing root into three bronze folders.
 
     Returns ``{table: sink folder}``."""

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from racelake.plans import silver as S
 from racelake.sinks import write_stream_append
+from racelake.streaming.ingest import DEFAULT_MAX_FILES_PER_TRIGGER
 
 
 def _stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None) -> DataFrame:
@@ -25,8 +26,8 @@ def _stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None)
 
 def stream_silver_results(spark: SparkSession, bronze_dirs: list[str], lookup: DataFrame,
                           sink_dir: str, checkpoint_dir: str,
-                          max_files_per_trigger: int | None = None,
-                          timeout_s: float | None = 600):
+                          max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+                          timeout_s: float | None = None):
     """Clean the new rows of the bronze folders (main feed first) and append
     them to ``sink_dir``. ``lookup`` is read as a static table."""
     feeds = [_stream(spark, d, max_files_per_trigger) for d in bronze_dirs]
