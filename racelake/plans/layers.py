@@ -67,9 +67,12 @@ def build_layers(spark: SparkSession, sf_dir: str, out_root: str,
 
 def build_gold(silver: DataFrame, out_root: str,
                min_athletes: int = MIN_ATHLETES_PER_COUNTRY,
-               timings: dict | None = None) -> dict[str, DataFrame]:
+               timings: dict | None = None,
+               fact: DataFrame | None = None) -> dict[str, DataFrame]:
     """Recompute the gold tables and marts from a silver table and write
-    them under ``out_root/gold``; returns readers keyed ``gold/<table>``."""
+    them under ``out_root/gold``; returns readers keyed ``gold/<table>``.
+    A ``fact`` that is maintained elsewhere (the fact stream) is used as it
+    is instead of being recomputed."""
     root = out_root.rstrip("/")
     w = lambda df, name: write_layer(df, f"{root}/{name}")
     t: dict[str, DataFrame] = {}
@@ -78,7 +81,9 @@ def build_gold(silver: DataFrame, out_root: str,
         t[f"gold/{name}"] = _timed(timings, f"gold_{name}", lambda: w(df, f"gold/{name}"))
         return t[f"gold/{name}"]
 
-    g = Gold(silver, persist=persist)
+    g = Gold(silver, persist=persist, fact=fact)
+    if fact is not None:
+        t["gold/fct_results"] = fact
     fact, ev, ath, dt = g.fact, g.dim_event, g.dim_athlete, g.dim_date
     t["gold/mart_distance_events"] = _timed(timings, "gold_mart_distance_events", lambda: w(
         G.mart_distance_events(fact, ev, ath, min_athletes), "gold/mart_distance_events"))
@@ -97,12 +102,15 @@ def refresh_layers(spark: SparkSession, landing_root: str, out_root: str,
 
     1. bronze: new CSV files are appended by three file streams;
     2. silver: only the new bronze rows are cleaned and appended (stream);
-    3. gold: fact, dimensions and marts are recomputed from silver.
+    3. gold: the fact, a projection of silver, is appended by a stream too;
+       dimensions and marts (MIN / MAX over all editions, joins) are
+       recomputed.
 
     Checkpoints live in ``out_root/_checkpoints``; a second call with no new
     files adds nothing to bronze and silver. Returns readers of all tables.
     """
-    from racelake.streaming import ingest_landing_root, stream_silver_results
+    from racelake.streaming import (ingest_landing_root, stream_fact_results,
+                                    stream_silver_results)
 
     root = out_root.rstrip("/")
     ckpt = f"{root}/_checkpoints"
@@ -110,7 +118,10 @@ def refresh_layers(spark: SparkSession, landing_root: str, out_root: str,
     lookup = spark.read.parquet(bronze["country_codes"])
     stream_silver_results(spark, [bronze["raw_results"], bronze["second_feed"]], lookup,
                           f"{root}/silver/results", f"{ckpt}/silver", timeout_s=timeout_s)
+    stream_fact_results(spark, f"{root}/silver/results", f"{root}/gold/fct_results",
+                        f"{ckpt}/fact", timeout_s=timeout_s)
     t = {f"bronze/{k}": spark.read.parquet(v) for k, v in bronze.items()}
     t["silver/results"] = spark.read.parquet(f"{root}/silver/results")
-    t.update(build_gold(t["silver/results"], root, min_athletes))
+    fact = spark.read.parquet(f"{root}/gold/fct_results")
+    t.update(build_gold(t["silver/results"], root, min_athletes, fact=fact))
     return t

@@ -172,9 +172,28 @@ def test_refresh_from_csv_landing(spark, layers):
     assert t["silver/results"].count() == 1468
     assert t["gold/mart_overview"].count() == 1468
     assert t["gold/mart_distance_events"].count() == 613
+    assert t["gold/fct_results"].count() == 1468
     t2 = refresh_layers(spark, landing, out, min_athletes=5)  # no new files
     assert t2["bronze/raw_results"].count() == 6000
     assert t2["silver/results"].count() == 1468
+    assert t2["gold/fct_results"].count() == 1468
+    # A new file in the landing root: only its rows flow through.
+    from racelake.sources.csv import write_csv
+
+    extra = scratch_path(spark, "t-extra")
+    write_csv(layers.main_raw.orderBy("Athlete ID", "Event name", "Event dates").limit(500), extra, files=1)
+    import glob
+    import shutil
+
+    new_file = glob.glob(f"{extra}/*.csv")[0]
+    shutil.copy(new_file, f"{landing}/part-extra.csv")
+    t3 = refresh_layers(spark, landing, out, min_athletes=5)
+    added = S.clean_results(S.combine_feeds(spark.read.option("header", True).schema(
+        t3["bronze/raw_results"].schema).csv(new_file)), layers.lookup).count()
+    assert t3["bronze/raw_results"].count() == 6500
+    assert t3["silver/results"].count() == 1468 + added
+    assert t3["gold/fct_results"].count() == 1468 + added
+    assert t3["gold/mart_overview"].count() == 1468 + added
 
 
 def test_sf01_layers_match_fixture_numbers(spark):
