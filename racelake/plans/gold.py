@@ -106,71 +106,73 @@ def dim_date(silver: DataFrame) -> DataFrame:
                           F.date_format(d, "EEEE").alias("day_name")))
 
 
-def _star(fact: DataFrame, events: DataFrame, athletes: DataFrame) -> DataFrame:
+def star_results(fact: DataFrame, events: DataFrame, athletes: DataFrame) -> DataFrame:
+    """Every result with the event and athlete attributes the marts use.
+
+    The three marts share this join; when it is materialized once (see
+    ``Gold``), the fact is shuffled for the athlete join once instead of once
+    per mart, and each mart is a filter, a broadcast semi join on a handful
+    of countries, or a join with the small date dimension."""
     f, e, a = fact.alias("f"), events.alias("e"), athletes.alias("a")
     return (f.join(e, F.col("f.event_id") == F.col("e.event_id"))
-             .join(a, F.col("f.athlete_id") == F.col("a.athlete_id")))
+             .join(a, F.col("f.athlete_id") == F.col("a.athlete_id"))
+             .select("f.result_id", "f.performance_seconds", "f.performance_km",
+                     "f.average_speed", "f.age_category", "e.event_name", "e.event_type",
+                     "e.distance", "e.start_date", "e.end_date", "e.event_year",
+                     "e.number_finishers", "a.athlete_id", "a.gender", "a.country_name",
+                     "a.birth_year"))
 
 
 def _countries_with_athletes(df: DataFrame, athletes: DataFrame, min_athletes: int) -> DataFrame:
-    """``country_name IN (countries with >= min_athletes athletes)``.
-
-    Applied to the athlete dimension before it meets the fact, so the big
-    fact-athlete join only sees athletes that can reach the mart."""
+    """``country_name IN (countries with >= min_athletes athletes)``: a semi
+    join with the qualifying countries (one row per country, broadcast)."""
     return semi_join_on_group_count(df, athletes, "country_name", min_athletes)
 
 
+def _key(natural_keys: bool) -> list:
+    return [] if natural_keys else ["result_id"]
+
+
 def mart_distance_events(fact: DataFrame, events: DataFrame, athletes: DataFrame,
                          min_athletes: int = MIN_ATHLETES_PER_COUNTRY,
-                         natural_keys: bool = False) -> DataFrame:
+                         natural_keys: bool = False, star: DataFrame | None = None) -> DataFrame:
     """Distance results with event and athlete attributes, for countries
-    with at least ``min_athletes`` athletes."""
-    kept = _countries_with_athletes(athletes, athletes, min_athletes)
-    star = _star(fact, events, kept).filter(F.col("e.event_type") == "distance")
-    cols = ([] if natural_keys else [F.col("f.result_id")]) + [
-        F.col("f.performance_seconds"),
-        (F.col("f.performance_seconds") / F.lit(3600.0)).alias("performance_hours"),
-        F.col("f.average_speed"), F.col("f.age_category"),
-        F.col("e.event_name"), F.col("e.distance"), F.col("e.start_date"),
-        F.col("e.end_date"), F.col("e.event_year"), F.col("e.number_finishers"),
-        F.col("a.athlete_id"), F.col("a.gender"), F.col("a.country_name"),
-        F.col("a.birth_year"),
-    ]
-    return star.select(*cols)
+    with at least ``min_athletes`` athletes. ``star`` is a materialized
+    ``star_results`` to reuse (built from the tables when None)."""
+    s = star if star is not None else star_results(fact, events, athletes)
+    s = _countries_with_athletes(s.filter(F.col("event_type") == "distance"), athletes, min_athletes)
+    return s.select(
+        *_key(natural_keys), "performance_seconds",
+        (F.col("performance_seconds") / F.lit(3600.0)).alias("performance_hours"),
+        "average_speed", "age_category", "event_name", "distance", "start_date", "end_date",
+        "event_year", "number_finishers", "athlete_id", "gender", "country_name", "birth_year")
 
 
 def mart_time_events(fact: DataFrame, events: DataFrame, athletes: DataFrame,
                      min_athletes: int = MIN_ATHLETES_PER_COUNTRY,
-                     natural_keys: bool = False) -> DataFrame:
+                     natural_keys: bool = False, star: DataFrame | None = None) -> DataFrame:
     """Time results (km covered) with event and athlete attributes, for
     countries with at least ``min_athletes`` athletes."""
-    kept = _countries_with_athletes(athletes, athletes, min_athletes)
-    star = _star(fact, events, kept).filter(F.col("e.event_type") == "time")
-    cols = ([] if natural_keys else [F.col("f.result_id")]) + [
-        F.col("f.performance_km"), F.col("f.average_speed"), F.col("f.age_category"),
-        F.col("e.event_name"), F.col("e.distance"), F.col("e.start_date"),
-        F.col("e.event_year"), F.col("e.number_finishers"),
-        F.col("a.athlete_id"), F.col("a.gender"), F.col("a.country_name"),
-        F.col("a.birth_year"),
-    ]
-    return star.select(*cols)
+    s = star if star is not None else star_results(fact, events, athletes)
+    s = _countries_with_athletes(s.filter(F.col("event_type") == "time"), athletes, min_athletes)
+    return s.select(
+        *_key(natural_keys), "performance_km", "average_speed", "age_category", "event_name",
+        "distance", "start_date", "event_year", "number_finishers", "athlete_id", "gender",
+        "country_name", "birth_year")
 
 
 def mart_overview(fact: DataFrame, events: DataFrame, athletes: DataFrame,
-                  dates: DataFrame, natural_keys: bool = False) -> DataFrame:
+                  dates: DataFrame, natural_keys: bool = False,
+                  star: DataFrame | None = None) -> DataFrame:
     """All results with event, athlete and calendar attributes."""
+    s = (star if star is not None else star_results(fact, events, athletes)).alias("s")
     d = dates.alias("d")
-    star = _star(fact, events, athletes).join(d, F.col("e.start_date") == F.col("d.date"))
-    cols = ([] if natural_keys else [F.col("f.result_id")]) + [
-        F.col("e.event_name"), F.col("e.event_type"), F.col("e.start_date"),
-        F.col("e.event_year"), F.col("e.distance"), F.col("e.number_finishers"),
-        F.col("f.performance_seconds"), F.col("f.performance_km"),
-        F.col("f.average_speed"), F.col("f.age_category"),
-        F.col("a.athlete_id"), F.col("a.gender"), F.col("a.country_name"),
-        F.col("a.birth_year"),
-        F.col("d.month_name"), F.col("d.quarter"), F.col("d.day_name"),
-    ]
-    return star.select(*cols)
+    return (s.join(d, F.col("s.start_date") == F.col("d.date"))
+             .select(*[f"s.{c}" for c in _key(natural_keys)],
+                     "s.event_name", "s.event_type", "s.start_date", "s.event_year", "s.distance",
+                     "s.number_finishers", "s.performance_seconds", "s.performance_km",
+                     "s.average_speed", "s.age_category", "s.athlete_id", "s.gender",
+                     "s.country_name", "s.birth_year", "d.month_name", "d.quarter", "d.day_name"))
 
 
 class Gold:
@@ -215,14 +217,19 @@ class Gold:
     def dim_date(self) -> DataFrame:
         return self._keep(dim_date(self.silver), "dim_date")
 
+    @cached_property
+    def star(self) -> DataFrame:
+        """The join the marts share, materialized with ``persist``."""
+        return self._keep(star_results(self.fact, self.dim_event, self.dim_athlete), "star_results")
+
     def mart_distance(self, min_athletes: int = MIN_ATHLETES_PER_COUNTRY, natural_keys=False):
         return mart_distance_events(self.fact, self.dim_event, self.dim_athlete,
-                                    min_athletes, natural_keys)
+                                    min_athletes, natural_keys, star=self.star)
 
     def mart_time(self, min_athletes: int = MIN_ATHLETES_PER_COUNTRY, natural_keys=False):
         return mart_time_events(self.fact, self.dim_event, self.dim_athlete,
-                                min_athletes, natural_keys)
+                                min_athletes, natural_keys, star=self.star)
 
     def mart_overview(self, natural_keys=False):
         return mart_overview(self.fact, self.dim_event, self.dim_athlete,
-                             self.dim_date, natural_keys)
+                             self.dim_date, natural_keys, star=self.star)
