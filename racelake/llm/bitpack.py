@@ -12,6 +12,7 @@ holds each document's start and length in the stream.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +71,7 @@ class LibraryEncoder:
         self.special = set(special)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.pretokens = regex.compile(PATTERN).findall
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
 
     def split(self, text: str) -> list[str]:
         if not any(s in text for s in self.special):
@@ -88,10 +89,10 @@ class LibraryEncoder:
         new = [w for w in distinct if w not in self.known]
         for i in range(0, len(new), 20_000):
             part = new[i:i + 20_000]
-            self.known.update(zip(part, (e.ids for e in self.library.encode_batch_fast(
+            self.known.update(zip(part, (array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(
                 part, add_special_tokens=False))))
-        known = self.known
-        return [np.array([i for w in words for i in known[w]], np.uint32) for words in split]
+        known = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(known, words)), "<u4") for words in split]
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
