@@ -20,7 +20,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Bytes of text whose words are hashed in one numpy step, and bytes of text
 # whose results are gathered before rows are emitted.
 STEP_BYTES = 1 << 20
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 _M64 = (1 << 64) - 1
 _R = 0x9E3779B97F4A7C15 | 1

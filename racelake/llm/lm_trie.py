@@ -35,7 +35,7 @@ from racelake.llm.common import mix, ship_package, stored, text_bytes, text_chun
 END, BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 MASS = 8.0  # M: context counts that weigh as much as the unigram
 STEP = 1 / 2048  # quantum of stored log10 values (16 bits: up to 32)
-SHARD_TEXT_BYTES = 24 << 20
+SHARD_TEXT_BYTES = 8 << 20
 
 
 # --- Elias-Fano ------------------------------------------------------------

@@ -23,7 +23,7 @@ from racelake.llm.common import id_and_text, mix, ranges, stored, text_bytes, te
 MIN_WORDS = 35
 ANCHOR_WORDS = 8
 # Text bytes whose windows one reference block indexes on average.
-BLOCK_TEXT_BYTES = 12 << 20
+BLOCK_TEXT_BYTES = 4 << 20
 
 _ROW = "block int, doc_id bigint, th bigint, payload binary"
 _FACTORS = "doc_id bigint, th bigint, factors binary"
@@ -127,7 +127,8 @@ def _factorise(anchor, window, owner, place):
     n = len(window)
     if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    order = np.lexsort((place, owner, anchor, window))
+    # Stable, and windows come by passage and place: entries are in order.
+    order = np.argsort(window ^ mix(anchor), kind="stable")
     w, a = window[order], anchor[order]
     same = (w[1:] == w[:-1]) & (a[1:] == a[:-1])
     new = np.append(True, ~same)
