@@ -178,7 +178,8 @@ def _route(blocks: int, length: int, anchor_words: int, spread):
                 yield _batch([-1 - int(ths[d] % blocks)], [_id(ids, nulls, d)], [ths[d]], [f.tobytes()])
             # One copy of every distinct passage, by block.
             which.sort()
-            key = np.where(wide[head[which]], window[head[which]], anchor[head[which]])
+            # Anchors are minima and crowd near 0: mixed before they are dealt.
+            key = mix(np.where(wide[head[which]], window[head[which]], anchor[head[which]]))
             block = (key >> np.uint64(33)).astype(np.int64) * blocks >> 31
             order = np.argsort(block, kind="stable")
             which, block = which[order], block[order]
