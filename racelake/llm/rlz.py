@@ -25,7 +25,7 @@ ANCHOR_WORDS = 8
 # Text bytes whose windows one reference block indexes on average.
 BLOCK_TEXT_BYTES = 4 << 20
 
-_ROW = "block int, doc_id bigint, th bigint, payload binary"
+_ROW = "block int, payload binary"
 _FACTORS = "doc_id bigint, th bigint, factors binary"
 _FACTOR = np.dtype([("start", "<i4"), ("words", "<i4")])
 
@@ -172,10 +172,16 @@ def _route(blocks: int, length: int, anchor_words: int, spread):
             _, which, inverse, times = np.unique(print_, return_index=True, return_inverse=True, return_counts=True)
             repeated = times[inverse] > 1
             known = np.flatnonzero(repeated)
-            for d, at in _by(doc[head[known]], known):
+            lists = list(_by(doc[head[known]], known))
+            for lo in range(0, len(lists), 512):  # dealt evenly, whatever the documents
+                part = lists[lo:lo + 512]
+                at = np.concatenate([x for _, x in part])
                 f = np.empty(len(at), _FACTOR)
                 f["start"], f["words"] = place[head[at]], size[at] + length - 1
-                yield _batch([-1 - int(ths[d] % blocks)], [_id(ids, nulls, d)], [ths[d]], [f.tobytes()])
+                d = np.array([x for x, _ in part])
+                turn = mix(np.array([int(ths[d].astype(np.uint64).sum() & np.uint64(2**63 - 1)) + lo], np.uint64))[0]
+                yield _batch([-1 - int(turn % np.uint64(blocks))], [_pack_known(
+                    ids, nulls, ths, d, np.array([len(x) for _, x in part]), f)])
             # One copy of every distinct passage, by block.
             which.sort()
             # Anchors are minima and crowd near 0: mixed before they are dealt.
@@ -187,17 +193,13 @@ def _route(blocks: int, length: int, anchor_words: int, spread):
             rows = []
             for lo, hi in zip(edges, edges[1:]):
                 mine = which[lo:hi]
-                rows.append((int(block[lo]), None, 0, _pack(
+                rows.append((int(block[lo]), _pack(
                     ids, nulls, ths, doc[head[mine]], place[head[mine]], anchor[head[mine]],
                     size[mine], window[ranges(head[mine], size[mine])], repeated[mine])))
             yield _batch(*zip(*rows))
     return run
 
 
-def _id(ids, nulls, d):
-    return None if nulls[d] else int(ids[d])
-
-
 def _by(keys: np.ndarray, values: np.ndarray):
     order = np.argsort(keys, kind="stable")
     keys, values = keys[order], values[order]
@@ -206,10 +208,30 @@ def _by(keys: np.ndarray, values: np.ndarray):
         yield int(keys[lo]), values[lo:hi]
 
 
-def _batch(block, doc_id, th, payload) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(block, pa.int32()), pa.array(doc_id, pa.int64()), pa.array(th, pa.int64()),
-         pa.array(payload, pa.binary())], ["block", "doc_id", "th", "payload"])
+def _batch(block, payload) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(payload, pa.binary())],
+                                      ["block", "payload"])
+
+
+def _pack_known(ids, nulls, ths, d, counts, factors) -> bytes:
+    known = np.where(nulls[d], 0, np.nan_to_num(ids[d])).astype("<i8")
+    return b"".join([np.array([len(d)], "<i8").tobytes(), known.tobytes(), ths[d].astype("<i8").tobytes(),
+                     counts.astype("<i8").tobytes(), nulls[d].astype("u1").tobytes(), factors.tobytes()])
+
+
+def _known_rows(raw: bytes):
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    ids, ths, counts = (np.frombuffer(raw, "<i8", n, 8 + 8 * n * k) for k in range(3))
+    nulls = np.frombuffer(raw, "u1", n, 8 + 24 * n)
+    at = 8 + 25 * n
+    for i, th, c, null in zip(ids.tolist(), ths.tolist(), counts.tolist(), nulls.tolist()):
+        yield None if null else i, th, raw[at:at + c * _FACTOR.itemsize]
+        at += c * _FACTOR.itemsize
+
+
+def _rows(out) -> pd.DataFrame:
+    return pd.DataFrame({"doc_id": pd.array([x[0] for x in out], "Int64"),
+                         "th": np.array([x[1] for x in out], np.int64), "factors": [x[2] for x in out]})
 
 
 def _pack(ids, nulls, ths, doc, start, anchor, size, windows, repeated) -> bytes:
@@ -237,7 +259,7 @@ def _parse_block(length: int):
     """The factors of one reference block's passages, by document."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         if int(rows["block"].iloc[0]) < 0:  # factors known before: passed on
-            return pd.DataFrame({"doc_id": rows["doc_id"], "th": rows["th"], "factors": rows["payload"]})
+            return _rows([x for p in rows["payload"] for x in _known_rows(p)])
         parts = [_unpack(p) for p in rows["payload"]]
         docs = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])])
         ids, nulls, ths = (np.concatenate([p[i] for p in parts]) for i in range(3))
@@ -264,9 +286,7 @@ def _parse_block(length: int):
             f["start"] = start[whose[at]] + place[begin[at]]
             f["words"] = count[at] + length - 1
             out.append((None if nulls[d] else int(ids[d]), int(ths[d]), f.tobytes()))
-        return pd.DataFrame({"doc_id": pd.array([x[0] for x in out], "Int64"),
-                             "th": np.array([x[1] for x in out], np.int64),
-                             "factors": [x[2] for x in out]})
+        return _rows(out)
     return run
 
 
