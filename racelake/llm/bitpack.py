@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from racelake.llm.bpe import PATTERN, text_groups
+from racelake.llm.bpe import pretokens, text_groups
 from racelake.llm.common import id_and_text, stored
 
 BLOCK_IDS = 1 << 16
@@ -52,47 +52,51 @@ def unpack(payload, n: int, bits: int, first: int = 0) -> np.ndarray:
         return np.frombuffer(payload, "<u2", n, 2 * first).astype(np.uint32)
     at = (first + np.arange(n, dtype=np.int64)) * bits
     raw = np.frombuffer(bytes(payload) + b"\0" * 8, np.uint8)
-    words = np.ndarray((len(raw) - 7,), "<u8", raw.data, strides=(1,))
-    return ((words[at >> 3] >> (at & 7).astype(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.uint32)
+    words = raw[(at >> 3)[:, None] + np.arange(8)].view("<u8")[:, 0]
+    return ((words >> (at & 7).astype(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.uint32)
+
+
+class _Known(dict):
+    """Ids (little-endian 32-bit) of pre-tokens, asked of the tokenizers
+    library's model when first seen."""
+
+    def __init__(self, library):
+        from racelake.llm.bpe import byte_symbols
+
+        super().__init__()
+        self.model = library.model
+        self.letters = {b: c for c, b in byte_symbols().items()}
+
+    def __missing__(self, word: str) -> bytes:
+        spelt = word.encode().decode("latin-1").translate(self.letters)
+        self[word] = ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        return ids
 
 
 class LibraryEncoder:
-    """Whole texts to ids through the tokenizers library: the library encodes
-    each distinct pre-token once per worker (a pre-token's ids do not depend
-    on its neighbours), texts then look their pre-tokens up."""
+    """Whole texts to ids through the tokenizers library: its model encodes
+    each distinct pre-token once (a pre-token's ids do not depend on its
+    neighbours), texts then look their pre-tokens up. At most CACHE_WORDS
+    are kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = set(special)
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-        self.pretokens = regex.compile(PATTERN).findall
-        self.known: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
-
-    def split(self, text: str) -> list[str]:
+        added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.special = {text: array("I", [i]).tobytes() for text, i in added.items()}
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
+        self.known = _Known(self.library)
+
+    def encode(self, text: str) -> np.ndarray:
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        get = self.known.__getitem__
         if not any(s in text for s in self.special):
-            return self.pretokens(text)
-        out: list[str] = []
-        for part in self.cut.split(text):
-            out += [part] if part in self.special else self.pretokens(part)
-        return out
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split(t) for t in texts]
-        distinct = set().union(*split)
-        if len(self.known) + len(distinct) > CACHE_WORDS:
-            self.known = {}
-        new = [w for w in distinct if w not in self.known]
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            self.known.update(zip(part, (array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(
-                part, add_special_tokens=False))))
-        known = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(known, words)), "<u4") for words in split]
+            return np.frombuffer(b"".join(map(get, pretokens(text))), "<u4")
+        parts = [self.special[p] if p in self.special else b"".join(map(get, pretokens(p)))
+                 for p in self.cut.split(text)]
+        return np.frombuffer(b"".join(parts), "<u4")
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
@@ -122,7 +126,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for b in batches:
             texts = b.column(1).to_pylist()
             for lo, hi in text_groups(texts):
-                ids = [np.append(x, np.uint32(END_ID)) for x in enc.encode(texts[lo:hi])]
+                ids = [np.append(enc.encode(t), np.uint32(END_ID)) for t in texts[lo:hi]]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array([len(x) for x in ids], pa.int64()),
                      pa.array([pack(x, bits) for x in ids], pa.binary())],
@@ -135,20 +139,35 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
     """Encodes ``docs`` and writes ``folder/blocks`` and ``folder/index`` in
     ascending doc_id order (NULL ids first; equal ids by their packed ids).
 
-    Texts are encoded once and stay where they are; only packed ids are
-    ranged, by doc_id and a hash of the ids, so that many rows of one id
-    still spread. The driver sees one id count per partition."""
+    Texts are encoded once and stay where they are; packed ids are shuffled
+    once, by ranges of (doc_id, hash of the ids). The ranges' bounds are
+    quantiles of doc_id; an id that spans several ranges is dealt over them by
+    its hash. The driver sees the bounds and one id count per range."""
     bits = width(vocabulary_size(path))
-    encoded = stored(encode(docs, path, id_col, text_col).withColumn("h", F.xxhash64("ids")), "packed")
+    encoded = stored(encode(docs, path, id_col, text_col).select(
+        "*", F.xxhash64("ids").alias("h"), F.coalesce("doc_id", F.lit(-1 << 63)).alias("k")), "packed", "zstd")
     total = encoded.agg(F.sum("n_tokens")).first()[0] or 0
     parts = max(1, -(-total // ids_per_part))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
-    ranged = stored(encoded.repartitionByRange(parts, *order)
-                    .withColumn("part", F.spark_partition_id()), "packed-ranged")
+    cuts = encoded.agg(F.percentile_approx("k", [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else []
+    bounds = np.array(cuts or [], np.int64)
+
+    def place(batches):
+        for b in batches:
+            k, h = b.column("k").to_numpy(), b.column("h").to_numpy()
+            lo, hi = np.searchsorted(bounds, k, "left"), np.searchsorted(bounds, k, "right")
+            part = lo + ((h / 2.0 ** 64 + 0.5) * (hi - lo + 1)).astype(np.int64).clip(0, hi - lo)
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *b.columns], ["part", *b.schema.names])
+
+    def ranged(columns):
+        schema = "part int, " + ", ".join(f"{c} {dict(encoded.dtypes)[c]}" for c in columns)
+        return encoded.select(*columns).mapInArrow(place, schema)
+
+    small = ["doc_id", "n_tokens", "h", "k"]
     base, at = {}, 0
-    for part, n in sorted(ranged.groupBy("part").agg(F.sum("n_tokens")).collect()):  # a row per partition
+    for part, n in sorted(ranged(small).groupBy("part").agg(F.sum("n_tokens")).collect()):  # a row per range
         base[part], at = at, at + n
-    placed = ranged.repartition(parts, "part").sortWithinPartitions("part", *order, "ids")
+    placed = lambda columns: ranged(columns).repartition(parts, "part").sortWithinPartitions(
+        "part", F.col("doc_id").asc_nulls_first(), "h")
 
     def index(batches):
         at, now = 0, None
@@ -196,9 +215,9 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
         if held:
             yield _blocks(cut(True))
 
-    placed.select("part", "doc_id", "n_tokens", "ids").mapInArrow(blocks, BLOCK_SCHEMA) \
-        .write.parquet(f"{folder}/blocks")
-    placed.select("part", "doc_id", "n_tokens", "ids").mapInArrow(
+    placed([*small, "ids"]).select("part", "n_tokens", "ids").mapInArrow(blocks, BLOCK_SCHEMA) \
+        .write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    placed(small).select("part", "doc_id", "n_tokens").mapInArrow(
         index, "doc_id bigint, start bigint, n_tokens bigint").write.parquet(f"{folder}/index")
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -26,6 +27,17 @@ from racelake.llm.common import id_and_text
 # spelt out because the regex library's \s also takes \x1c-\x1f.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+# The same pre-tokens by the faster standard library, for texts without the
+# characters the two libraries class differently.
+_PLAIN = re.compile(r" ?[^\W\d_]+|'s|'t|'re|'ve|'m|'ll|'d| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
+_FULL = regex.compile(PATTERN).findall
+_OTHER = re.compile("[\x1c-\x1f²³¹¼½¾\u0250-\U0010ffff]").search
+
+
+def pretokens(text: str) -> list[str]:
+    return _FULL(text) if _OTHER(text) else _PLAIN(text)
+
+
 # Distinct pre-tokens merged in one index, and kept encoded per worker.
 INDEX_WORDS = 100_000
 CACHE_WORDS = 400_000
@@ -59,19 +71,18 @@ class Vocabulary:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[vocab[a], vocab[b]] = rank, vocab[a + b]
         self.pair_of = [p for p, _ in sorted(self.merges.items(), key=lambda x: x[1][0])]
-        self.pretokens = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     def split(self, text: str) -> list[str]:
         """Pre-tokens in order; a special string is one item."""
         if self.cut is None or not any(s in text for s in self.special):
-            return self.pretokens(text)
+            return pretokens(text)
         out: list[str] = []
         for part in self.cut.split(text):
             if part in self.special:
                 out.append(part)
             elif part:
-                out += self.pretokens(part)
+                out += pretokens(part)
         return out
 
 

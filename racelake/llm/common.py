@@ -27,11 +27,11 @@ _R = 0x9E3779B97F4A7C15 | 1
 _R_INV = pow(_R, -1, 1 << 64)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written below the shared checkpoint folder and read back: cuts
     the lineage at files every executor can reach."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
