@@ -46,8 +46,7 @@ class EliasFano:
 
     def __init__(self, raw):
         self.n, self.low_bits, low_bytes, high_bytes = (int(x) for x in np.frombuffer(raw, "<i8", 4))
-        low = np.frombuffer(raw, np.uint8, low_bytes, 32)
-        self.words = np.ndarray((max(0, low_bytes - 7),), "<u8", low.data, strides=(1,))
+        self.low = np.frombuffer(raw, np.uint8, low_bytes, 32)
         self.high = np.frombuffer(raw, np.uint8, high_bytes, 32 + low_bytes)
         # Rank directory: the upper part of every value, by its unary place.
         self.upper = np.flatnonzero(np.unpackbits(self.high, bitorder="little")) - np.arange(self.n)
@@ -74,7 +73,8 @@ class EliasFano:
         if not self.low_bits:
             return np.zeros(len(i), np.uint64)
         at = i * self.low_bits
-        return (self.words[at >> 3] >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.low_bits) - 1)
+        words = self.low[(at >> 3)[:, None] + np.arange(8)].view("<u8")[:, 0]
+        return (words >> (at & 7).astype(np.uint64)) & np.uint64((1 << self.low_bits) - 1)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         return (self.upper[i].astype(np.uint64) << np.uint64(self.low_bits)) | self._low(i)
@@ -236,23 +236,40 @@ def _grouped(sorted_: np.ndarray):
     return sorted_[at], np.diff(np.append(at, len(sorted_)))
 
 
-def _join(*arrays: np.ndarray) -> bytes:
-    head = np.array([len(arrays), *(a.nbytes for a in arrays)], "<i8").tobytes()
-    return head + b"".join(a.tobytes() for a in arrays)
+_KINDS = ("u1", "<u2", "<u4", "<u8", "<i8", "<f8")
 
 
-def _split(raw: bytes, *kinds: str) -> list[np.ndarray]:
-    sizes = np.frombuffer(raw, "<i8", len(kinds) + 1)[1:]
-    at, out = 8 * (len(kinds) + 1), []
-    for size, kind in zip(sizes, kinds):
-        out.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
-        at += int(size)
+def _join(*arrays: np.ndarray) -> bytes:
+    """Arrays as bytes; counts and indices in the narrowest type that fits."""
+    parts = []
+    for x in arrays:
+        if x.dtype == np.uint32:
+            top = int(x.max()) if len(x) else 0
+            x = x.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4")
+        parts.append(x)
+    kinds = [_KINDS.index(x.dtype.str.replace("|", "").replace("=", "<")) for x in parts]
+    head = np.array([len(parts), *kinds, *(x.nbytes for x in parts)], "<i8").tobytes()
+    return head + b"".join(x.tobytes() for x in parts)
+
+
+def _arrays(raw: bytes) -> int:
+    return int(np.frombuffer(raw, "<i8", 1)[0])
+
+
+def _split(raw: bytes) -> list[np.ndarray]:
+    n = _arrays(raw)
+    kinds, sizes = (np.frombuffer(raw, "<i8", n, 8 + 8 * n * i) for i in (0, 1))
+    at, out = 8 + 16 * n, []
+    for size, kind in zip(sizes.tolist(), kinds.tolist()):
+        kind = np.dtype(_KINDS[kind])
+        out.append(np.frombuffer(raw, kind, size // kind.itemsize, at))
+        at += size
     return out
 
 
 def _build_shard(total: int, once: float, mass: float, common):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [_split(p, "<u8", "<u4", "<u4", "<u4") for p in rows["payload"]]
+        parts = [_split(p) for p in rows["payload"]]
         w = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
         ctx, n = (np.concatenate([p[i] for p in parts]) for i in (2, 3))
         del parts
@@ -353,18 +370,13 @@ def _queries(shards: int, common):
             known = ids.fill_null(0).to_numpy().astype("<i8")
             out.append((-1 - chunk % shards, chunk, _join(
                 known, np.asarray(ids.is_null()).astype("u1"), np.asarray(batch.column("train")).astype("u1"),
-                np.bincount(np.repeat(np.arange(len(bounds) - 1), _sizes(doc, times, len(bounds) - 1)),
-                            minlength=len(bounds) - 1).astype("<i8"))))
+                np.bincount(doc, weights=times, minlength=len(bounds) - 1).astype("<i8"), np.empty(0, "u1"))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int64()),
                  pa.array([x[2] for x in out], pa.binary())], ["shard", "chunk", "payload"])
     return run
 
 
-def _sizes(doc, times, n):
-    return np.bincount(doc, weights=times, minlength=n).astype(np.int64)
-
-
 def _answer(model_once: float, total: int, texts: int, mass: float, common):
     """Each chunk's part of one shard: per document the known tokens, the
     base sum of log10(c + 1) and the model's log10 sum."""
@@ -380,7 +392,7 @@ def _answer(model_once: float, total: int, texts: int, mass: float, common):
         spread, whole = common.value
         out = []
         for chunk, raw in zip(queries["chunk"], queries["payload"]):
-            words, per, ctx, docs_per, doc, times = _split(raw, "<u8", "<u4", "<u4", "<u4", "<u4", "<u4")
+            words, per, ctx, docs_per, doc, times = _split(raw)
             at = trie.lookup_words(words) if trie else np.full(len(words), -1)
             safe = np.maximum(at, 0)
             count = np.where(at >= 0, trie.counts[safe], 0) if trie else np.zeros(len(words), np.int64)
@@ -410,12 +422,12 @@ def _total(tokens: int, vocabulary: int):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         payloads = list(rows["payload"])
-        own = next(i for i, p in enumerate(payloads) if np.frombuffer(p, "<i8", 2)[1] % 8 == 0 and _is_docs(p))
-        ids, nulls, trained, sizes = _split(payloads.pop(own), "<i8", "u1", "u1", "<i8")
+        own = next(i for i, p in enumerate(payloads) if _arrays(p) == 5)  # the chunk's documents
+        ids, nulls, trained, sizes, _ = _split(payloads.pop(own))
         n = len(ids)
         known, base, score = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
         for raw in payloads:
-            doc, k, b, s = _split(raw, "<u4", "<u4", "<f8", "<f8")
+            doc, k, b, s = _split(raw)
             known[doc] += k
             base[doc] += b
             score[doc] += s
@@ -427,12 +439,6 @@ def _total(tokens: int, vocabulary: int):
     return run
 
 
-def _is_docs(raw: bytes) -> bool:
-    """A chunk's list of documents: 8 bytes an id, one byte each of two flags."""
-    _, a, b, c, d = (int(x) for x in np.frombuffer(raw, "<i8", 5))
-    return a == 8 * b == 8 * c == d
-
-
 SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
           "base_score double, score double")
 
