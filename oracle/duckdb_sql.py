@@ -20,7 +20,7 @@ feed_main AS (
    WHEN 2 THEN '31.04.'||CAST(year(l_shipdate) AS VARCHAR)
    WHEN 3 THEN NULL
    ELSE lpad(CAST(day(l_shipdate) AS VARCHAR),2,'0')||'.'||lpad(CAST(month(l_shipdate) AS VARCHAR),2,'0')||'.'||CAST(year(l_shipdate) AS VARCHAR) END AS event_dates,
-  'Ultra '||CAST(l_partkey % 400 AS VARCHAR)||' (C'||lpad(CAST(l_partkey % 25 AS VARCHAR),2,'0')||')' AS event_name,
+  'Ultra '||CAST(l_partkey AS VARCHAR)||' (C'||lpad(CAST(l_partkey % 25 AS VARCHAR),2,'0')||')' AS event_name,
   CASE l_partkey % 8 WHEN 0 THEN '50km' WHEN 1 THEN '100km' WHEN 2 THEN '50mi' WHEN 3 THEN '6h' WHEN 4 THEN '24h' WHEN 5 THEN '6d' WHEN 6 THEN '173km/2Etappen' ELSE '12h' END AS "event_distance/length",
   CAST(1 + (l_partkey * 7) % 900 AS INTEGER) AS event_number_of_finishers,
   CASE WHEN l_suppkey % 50 = 0 THEN NULL
@@ -50,7 +50,7 @@ feed_second AS (
   CASE WHEN c_custkey % 2 = 0 THEN 'F40' ELSE 'M40' END AS athlete_age_category,
   '7.5' AS athlete_average_speed, c_custkey AS athlete_id,
   DATE '2024-06-15' AS event_start_date, DATE '2024-06-15' AS event_end_date
- FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 100 = 0)"""
+ FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 LOOKUP = r"""
 country_lookup AS (

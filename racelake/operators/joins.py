@@ -1,10 +1,5 @@
-"""Joins with an explicit, checked broadcast decision.
-
-A broadcast hint is only given after the small side's row count has been
-bounded by a cheap ``limit(n + 1).count()`` job. Above the bound the join is
-left to the planner (sort-merge, or a broadcast that AQE picks from the
-measured shuffle size at run time), so a lookup that unexpectedly grows can
-never be shipped whole to every executor.
+"""Joins. No strategy is forced: Spark broadcasts a side by its real bytes,
+from file sizes before the job or from shuffle sizes while it runs.
 """
 
 from __future__ import annotations
@@ -12,28 +7,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A country lookup has a few hundred rows; 100k two-column rows stay far
-# below the broadcast size limit.
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
-
-
-def bounded_count(df: DataFrame, bound: int) -> int | None:
-    """Row count of ``df`` if it is at most ``bound``, else None.
-
-    Reads at most ``bound + 1`` rows per partition, so the check stays cheap
-    even when the answer is "too big".
-    """
-    n = df.limit(bound + 1).count()
-    return n if n <= bound else None
-
-
-def join_lookup(df: DataFrame, lookup: DataFrame, on, how: str = "inner",
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Equi-join ``df`` with a lookup table; broadcast it only when its size
-    is proven small. A duplicated lookup key multiplies rows, as a plain
-    join does."""
-    small = bounded_count(lookup, max_broadcast_rows) is not None
-    return df.join(F.broadcast(lookup) if small else lookup, on=on, how=how)
+def join_lookup(df: DataFrame, lookup: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Equi-join ``df`` with a lookup table. A duplicated lookup key
+    multiplies rows, as a plain join does."""
+    return df.join(lookup, on=on, how=how)
 
 
 def semi_join_on_group_count(df: DataFrame, groups: DataFrame, key: str,

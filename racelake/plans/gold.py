@@ -24,7 +24,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from racelake.operators.joins import semi_join_on_group_count
 
 # Fixed value: a country enters the distance / time marts when it has at
 # least this many athletes in dim_athlete.
@@ -111,22 +110,19 @@ def star_results(fact: DataFrame, events: DataFrame, athletes: DataFrame) -> Dat
 
     The three marts share this join; when it is materialized once (see
     ``Gold``), the fact is shuffled for the athlete join once instead of once
-    per mart, and each mart is a filter, a broadcast semi join on a handful
-    of countries, or a join with the small date dimension."""
-    f, e, a = fact.alias("f"), events.alias("e"), athletes.alias("a")
+    per mart, and each mart is a filter (``country_athletes`` counts the
+    athletes of the row's country) or a join with the small date dimension."""
+    per_country = athletes.groupBy("country_name").agg(F.count(F.lit(1)).alias("country_athletes"))
+    f, e = fact.alias("f"), events.alias("e")
+    # Counted and attached on the dimension: the fact never moves by country.
+    a = athletes.join(per_country, "country_name", "left").alias("a")
     return (f.join(e, F.col("f.event_id") == F.col("e.event_id"))
              .join(a, F.col("f.athlete_id") == F.col("a.athlete_id"))
              .select("f.result_id", "f.performance_seconds", "f.performance_km",
                      "f.average_speed", "f.age_category", "e.event_name", "e.event_type",
                      "e.distance", "e.start_date", "e.end_date", "e.event_year",
                      "e.number_finishers", "a.athlete_id", "a.gender", "a.country_name",
-                     "a.birth_year"))
-
-
-def _countries_with_athletes(df: DataFrame, athletes: DataFrame, min_athletes: int) -> DataFrame:
-    """``country_name IN (countries with >= min_athletes athletes)``: a semi
-    join with the qualifying countries (one row per country, broadcast)."""
-    return semi_join_on_group_count(df, athletes, "country_name", min_athletes)
+                     "a.country_athletes", "a.birth_year"))
 
 
 def _key(natural_keys: bool) -> list:
@@ -140,7 +136,7 @@ def mart_distance_events(fact: DataFrame, events: DataFrame, athletes: DataFrame
     with at least ``min_athletes`` athletes. ``star`` is a materialized
     ``star_results`` to reuse (built from the tables when None)."""
     s = star if star is not None else star_results(fact, events, athletes)
-    s = _countries_with_athletes(s.filter(F.col("event_type") == "distance"), athletes, min_athletes)
+    s = s.filter((F.col("event_type") == "distance") & (F.col("country_athletes") >= min_athletes))
     return s.select(
         *_key(natural_keys), "performance_seconds",
         (F.col("performance_seconds") / F.lit(3600.0)).alias("performance_hours"),
@@ -154,7 +150,7 @@ def mart_time_events(fact: DataFrame, events: DataFrame, athletes: DataFrame,
     """Time results (km covered) with event and athlete attributes, for
     countries with at least ``min_athletes`` athletes."""
     s = star if star is not None else star_results(fact, events, athletes)
-    s = _countries_with_athletes(s.filter(F.col("event_type") == "time"), athletes, min_athletes)
+    s = s.filter((F.col("event_type") == "time") & (F.col("country_athletes") >= min_athletes))
     return s.select(
         *_key(natural_keys), "performance_km", "average_speed", "age_category", "event_name",
         "distance", "start_date", "event_year", "number_finishers", "athlete_id", "gender",

@@ -102,26 +102,23 @@ def refresh_layers(spark: SparkSession, landing_root: str, out_root: str,
 
     1. bronze: new CSV files are appended by three file streams;
     2. silver: only the new bronze rows are cleaned and appended (stream);
-    3. gold: the fact, a projection of silver, is appended by a stream too;
-       dimensions and marts (MIN / MAX over all editions, joins) are
-       recomputed.
+       the table is then the join of all cleaned rows with the lookup as it
+       is now, so a code that arrives late brings its results back;
+    3. gold: fact, dimensions and marts are recomputed from silver.
 
     Checkpoints live in ``out_root/_checkpoints``; a second call with no new
     files adds nothing to bronze and silver. Returns readers of all tables.
     """
-    from racelake.streaming import (ingest_landing_root, stream_fact_results,
-                                    stream_silver_results)
+    from racelake.streaming import ingest_landing_root, silver_results, stream_cleaned_results
 
     root = out_root.rstrip("/")
     ckpt = f"{root}/_checkpoints"
     bronze = ingest_landing_root(spark, landing_root, f"{root}/bronze", f"{ckpt}/bronze", timeout_s)
     lookup = spark.read.parquet(bronze["country_codes"])
-    stream_silver_results(spark, [bronze["raw_results"], bronze["second_feed"]], lookup,
-                          f"{root}/silver/results", f"{ckpt}/silver", timeout_s=timeout_s)
-    stream_fact_results(spark, f"{root}/silver/results", f"{root}/gold/fct_results",
-                        f"{ckpt}/fact", timeout_s=timeout_s)
+    stream_cleaned_results(spark, [bronze["raw_results"], bronze["second_feed"]],
+                           f"{root}/silver/cleaned", f"{ckpt}/silver", timeout_s=timeout_s)
     t = {f"bronze/{k}": spark.read.parquet(v) for k, v in bronze.items()}
-    t["silver/results"] = spark.read.parquet(f"{root}/silver/results")
-    fact = spark.read.parquet(f"{root}/gold/fct_results")
-    t.update(build_gold(t["silver/results"], root, min_athletes, fact=fact))
+    t["silver/results"] = write_layer(silver_results(spark, f"{root}/silver/cleaned", lookup),
+                                      f"{root}/silver/results")
+    t.update(build_gold(t["silver/results"], root, min_athletes))
     return t

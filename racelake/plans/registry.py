@@ -9,6 +9,7 @@ are computed from instead, so other engines can reproduce the result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +28,8 @@ from racelake.session import scratch_path
 from racelake.sinks import write_layer
 from racelake.sources import csv as csv_src
 from racelake.sources import tables
-from racelake.streaming import (ingest_landing_root, stream_fact_results,
-                                stream_silver_results)
+from racelake.streaming import (ingest_landing_root, silver_results, stream_cleaned_results,
+                                stream_fact_results)
 from racelake.streaming.ingest import LOOKUP_DIR, SECOND_FEED_DIR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,28 +117,32 @@ def fct_results_stream(spark, d) -> DataFrame:
 
 def silver_stream(spark, d) -> DataFrame:
     """Silver built incrementally: bronze folders are streamed through the
-    cleaning chain (here in two runs, the second feed arriving later)."""
+    cleaning chain in two runs. The second feed arrives for the second run,
+    as does half of the lookup, which brings back rows cleaned before."""
     lay = Layers(spark, d)
     main_dir, second_dir = scratch_path(spark, "bronze-main"), scratch_path(spark, "bronze-second")
+    codes_dir = scratch_path(spark, "bronze-codes")
+    late = F.pmod(F.xxhash64("athlete_country"), F.lit(2)) == 1
     lay.main_raw.write.parquet(main_dir)
     lay.second_raw.limit(0).write.parquet(second_dir)
-    sink, ckpt = scratch_path(spark, "silver-sink"), scratch_path(spark, "silver-ckpt")
-    stream_silver_results(spark, [main_dir, second_dir], lay.lookup, sink, ckpt,
-                          timeout_s=STREAM_TIMEOUT_S)
+    lay.lookup.filter(~late).write.parquet(codes_dir)
+    sink, ckpt = scratch_path(spark, "silver-cleaned"), scratch_path(spark, "silver-ckpt")
+    stream_cleaned_results(spark, [main_dir, second_dir], sink, ckpt, timeout_s=STREAM_TIMEOUT_S)
+    write_layer(silver_results(spark, sink, spark.read.parquet(codes_dir)), scratch_path(spark, "silver"))
     lay.second_raw.write.mode("append").parquet(second_dir)
-    stream_silver_results(spark, [main_dir, second_dir], lay.lookup, sink, ckpt,
-                          timeout_s=STREAM_TIMEOUT_S)
-    return _without_hash_keys(spark.read.parquet(sink))
+    lay.lookup.filter(late).write.mode("append").parquet(codes_dir)
+    stream_cleaned_results(spark, [main_dir, second_dir], sink, ckpt, timeout_s=STREAM_TIMEOUT_S)
+    return _without_hash_keys(silver_results(spark, sink, spark.read.parquet(codes_dir)))
 
 
-def _landing(spark, d, files: int = 4) -> str:
+def _landing(spark, d) -> str:
     """A landing root with the three feeds as CSV: the main feed's files in
     the root, the other two in sub-folders."""
     lay = Layers(spark, d)
     root = scratch_path(spark, "landing")
-    csv_src.write_csv(lay.main_raw, root, files=files)
-    csv_src.write_csv(lay.second_raw, f"{root}/{SECOND_FEED_DIR}", files=1)
-    csv_src.write_csv(lay.lookup, f"{root}/{LOOKUP_DIR}", files=1)
+    csv_src.write_csv(lay.main_raw, root)
+    csv_src.write_csv(lay.second_raw, f"{root}/{SECOND_FEED_DIR}")
+    csv_src.write_csv(lay.lookup, f"{root}/{LOOKUP_DIR}")
     return root
 
 
@@ -190,9 +195,11 @@ LAYER_DATABASES = ["racelake_bronze", "racelake_silver", "racelake_gold"]
 
 def meta_catalog_tables(spark, d) -> DataFrame:
     """Create the layer databases, write each layer's tables
-    into them with a comment, and list every table with its row count."""
+    into them with a comment, and list every table with its row count. The
+    databases carry a suffix of this run, and only they are removed."""
     root = scratch_path(spark, "warehouse")
-    tables.ensure_databases(spark, LAYER_DATABASES, root)
+    run = "_run_" + uuid.uuid4().hex[:12]
+    tables.ensure_databases(spark, [db + run for db in LAYER_DATABASES], root)
     lay = Layers(spark, d)
     g = lay.gold
     frames = {
@@ -206,20 +213,22 @@ def meta_catalog_tables(spark, d) -> DataFrame:
         ("racelake_gold", "dim_date"): g.dim_date,
     }
     for db in LAYER_DATABASES:
-        previous = tables.use_database(spark, db)  # names below are unqualified
+        previous = tables.use_database(spark, db + run)  # names below are unqualified
         try:
             for (table_db, name), df in frames.items():
                 if table_db != db:
                     continue
-                spark.sql(f"DROP TABLE IF EXISTS {name}")
-                write_layer(df, f"{root}/{db}.db/{name}", table=name,
+                write_layer(df, f"{root}/{db}{run}.db/{name}", table=name,
                             comment=LAYER_COMMENTS[(db, name)])
         finally:
             tables.use_database(spark, previous)
     out = None
     for db in LAYER_DATABASES:
-        inv = tables.table_inventory(spark, db)
+        inv = tables.table_inventory(spark, db + run).withColumn("database", F.lit(db))
         out = inv if out is None else out.unionByName(inv)
+    out = write_layer(out, f"{root}/inventory")  # counted before the databases go
+    for db in LAYER_DATABASES:
+        spark.sql(f"DROP DATABASE {db}{run} CASCADE")
     return out
 
 

@@ -90,6 +90,10 @@ def clean_results(combined: DataFrame, lookup: DataFrame,
                   observations: dict | None = None) -> DataFrame:
     """The full silver table: cleaning chain, then the inner lookup join
     (rows whose country is not in the lookup are dropped)."""
-    out = join_lookup(clean_until(combined, observations=observations), lookup,
-                      on=LOOKUP_KEY, how="inner")
+    out = attach_lookup(clean_until(combined, observations=observations), lookup)
     return _counted(out, "join_country_lookup", observations)
+
+
+def attach_lookup(cleaned: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Cleaned rows with their country's name; rows of no known country go."""
+    return join_lookup(cleaned, lookup, on=LOOKUP_KEY, how="inner")

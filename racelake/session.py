@@ -54,13 +54,8 @@ def get_spark(
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    for k, v in SCALE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a running session
-            pass
-    return spark
+    running = SparkSession.getActiveSession()
+    return running if running is not None else builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -78,6 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="racelake-ckpt-")
         sc.setCheckpointDir(path)
         path = sc.getCheckpointDir() or path

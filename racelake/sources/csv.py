@@ -47,10 +47,7 @@ def read_csv_stream(spark: SparkSession, folder: str, schema: StructType,
     return reader.csv(folder)
 
 
-def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
+def write_csv(df: DataFrame, path: str) -> None:
     """Write ``df`` as header CSV files (a landing folder for tests and
-    demos). ``files`` spreads the rows over that many files by a hash of
-    all columns, without sorting."""
-    if files:
-        df = df.repartition(files, *[F.col(f"`{c}`") for c in df.columns])
+    demos), one per input partition."""
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)

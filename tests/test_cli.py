@@ -9,7 +9,7 @@ def test_build_and_report(spark, capsys):
 
     out = scratch_path(spark, "t-cli")
     main(["build-from-tables", SF0001, out, "--min-athletes", "5"])
-    assert "'silver/results': 1468" in capsys.readouterr().out
+    assert "'silver/results': 2866" in capsys.readouterr().out
     main(["report", out, "gender_share"])
     text = capsys.readouterr().out
-    assert "percentage" in text and "77.1" in text
+    assert "percentage" in text and "52.9" in text

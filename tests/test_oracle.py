@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB oracle at sf0.001 (the driver
 runs the same comparison at sf0.01)."""
 
+import re
+
 import pytest
 
 from conftest import ROOT, SF0001
@@ -19,7 +21,8 @@ def summary(spark):
 def test_all_queries_have_oracles_or_are_rows_only(summary):
     import __spark_entry__ as E
 
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = {k for k in set(E.queries()) - set(E.oracle_sql())
+                 if not re.match(r"op\d+_|pipeline$", k)}  # those have tests of their own
     assert rows_only == {"src_infer_schema", "meta_list_files", "profile_quartiles"}
     assert set(E.oracle_sql()) <= set(E.queries())
 
