@@ -35,7 +35,7 @@ _TRIGGER = re.compile(r"[0-9@]")
 WINDOW, STRIDE = 96, 48
 TRAIN_WINDOWS = 1_500  # at most; of the documents of least id hash
 TRAIN_DOCS = 4_000  # documents looked at for them, about
-EPOCHS, HIDDEN, EMBED = 8, 16, 12
+EPOCHS, HIDDEN, EMBED = 14, 16, 12
 CONFIDENCE = 0.95  # least posterior of every character of an added span
 
 
