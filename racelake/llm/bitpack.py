@@ -5,7 +5,9 @@ one block of up to BLOCK_IDS consecutive ids of the whole id stream, ``bits``
 wide each (the least width that holds the vocabulary), little-endian bit
 order, padded to a whole byte at the block's end only. ``first`` is the
 position of the block's first id in the stream, so any id range is found by
-the block offsets alone and unpacked with numpy. A second folder, ``index``,
+the block offsets alone and unpacked with numpy; ``starts`` are the positions
+at which the documents in the block begin (of the first, perhaps before it).
+A second folder, ``index``,
 holds each document's start and length in the stream.
 """
 
@@ -25,9 +27,9 @@ from racelake.llm.common import id_and_text, stored
 
 BLOCK_IDS = 1 << 16
 END_ID = 0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 ENCODED_SCHEMA = "doc_id bigint, n_tokens bigint, ids binary"
-BLOCK_SCHEMA = "part int, first bigint, n_ids int, bits int, payload binary"
+BLOCK_SCHEMA = "part int, first bigint, n_ids int, bits int, starts array<bigint>, payload binary"
 
 
 def width(vocabulary: int) -> int:
@@ -185,18 +187,21 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
                                              ["doc_id", "start", "n_tokens"])
 
     def blocks(batches):
-        now, first, held, size = None, 0, [], 0
+        now, first, held, size, starts, at = None, 0, [], 0, [], 0
 
         def cut(last):
-            nonlocal first, held, size
+            nonlocal first, held, size, starts
             ids = np.concatenate(held) if held else np.empty(0, np.uint32)
             full = len(ids) if last else len(ids) - len(ids) % BLOCK_IDS
-            rows = []
+            rows, begin = [], np.array(starts, np.int64)
             for i in range(0, full, BLOCK_IDS):
                 x = ids[i:min(i + BLOCK_IDS, full)]
-                rows.append((int(now), first, len(x), bits, pack(x, bits)))
+                lo = np.searchsorted(begin, first, "right") - 1
+                hi = np.searchsorted(begin, first + len(x), "left")
+                rows.append((int(now), first, len(x), bits, begin[lo:hi], pack(x, bits)))
                 first += len(x)
             held, size = ([ids[full:]] if full < len(ids) else []), len(ids) - full
+            starts = starts[max(0, int(np.searchsorted(begin, first, "right")) - 1):]
             return rows
 
         for b in batches:
@@ -207,8 +212,11 @@ def write(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id", text_
                     if now is not None and held:
                         yield _blocks(cut(True))
                     now = part[i]
-                    first = base[int(now)]
+                    first = at = base[int(now)]
+                    starts = []
                 held.append(unpack(ids[i].as_buffer(), int(n[i]), bits))
+                starts.append(at)
+                at += int(n[i])
                 size += int(n[i])
                 if size >= 16 * BLOCK_IDS:
                     yield _blocks(cut(False))
@@ -232,8 +240,9 @@ def _runs(x: np.ndarray):
 def _blocks(rows) -> pa.RecordBatch:
     cols = list(zip(*rows))
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
-        ["part", "first", "n_ids", "bits", "payload"])
+        [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.int32(),
+                                               pa.list_(pa.int64()), pa.binary()))],
+        ["part", "first", "n_ids", "bits", "starts", "payload"])
 
 
 def read_blocks(spark: SparkSession, folder: str) -> DataFrame:
@@ -258,43 +267,26 @@ def checksums(spark: SparkSession, folder: str) -> DataFrame:
     """Reads the files back: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32``
     (of the ids as little-endian unsigned 32-bit integers).
 
-    A block and the index rows of the documents that start in it meet by the
-    block's number; a document that spans several blocks gets one crc32 per
-    piece, and pieces are combined in order, so no task holds more than a
-    block of ids."""
-    blocks = read_blocks(spark, folder)
-    docs = read_index(spark, folder)
-    grain = BLOCK_IDS
-    # Equi-join on stream cells of BLOCK_IDS ids: a block lies in at most two.
-    cells = lambda lo, hi: F.explode(F.sequence(F.floor(lo / grain), F.floor((hi - 1) / grain)))
-    d = docs.withColumn("end", F.col("start") + F.col("n_tokens"))
-    d = d.withColumn("cell", cells(F.col("start"), F.col("end")))
-    b = blocks.withColumn("next", F.col("first") + F.col("n_ids")).withColumn(
-        "cell", cells(F.col("first"), F.col("next")))
-    b = b.withColumn("cell_lo", F.greatest("first", F.col("cell") * grain)) \
-        .withColumn("cell_hi", F.least("next", (F.col("cell") + 1) * grain))
-    wanted = d.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("start", "end", "doc_id"))).alias("docs"))
-    met = b.select("cell", "first", "cell_lo", "cell_hi", "n_ids", "bits", "payload").join(wanted, "cell")
-
+    Blocks are unpacked where they are read, and only one crc32 per piece of
+    a document (its part of a block) moves; pieces are combined in order and
+    meet the index by the document's start."""
     def run(batches):
         for t in batches:
             rows = []
-            for r in t.to_pylist():
-                lo, hi = r["cell_lo"], r["cell_hi"]
-                ids = unpack(r["payload"], hi - lo, r["bits"], lo - r["first"]).astype("<u4")
-                for x in r["docs"]:
-                    s, e = max(x["start"], lo), min(x["end"], hi)
-                    if s < e:
-                        rows.append((x["doc_id"], x["start"], x["end"] - x["start"], s, e - s,
-                                     zlib.crc32(ids[s - lo:e - lo].tobytes())))
+            for first, n, bits, starts, payload in zip(*(t.column(c) for c in ("first", "n_ids", "bits", "starts", "payload"))):
+                lo = first.as_py()
+                ids = unpack(payload.as_buffer(), n.as_py(), bits.as_py()).astype("<u4")
+                begin = starts.values.to_numpy()
+                edges = np.append(np.maximum(begin, lo), lo + len(ids)) - lo
+                rows += [(int(b), int(x) + lo, int(y - x), zlib.crc32(ids[x:y].data))
+                         for b, x, y in zip(begin, edges, edges[1:])]
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*rows)],
-                    ["doc_id", "start", "n_tokens", "at", "n", "crc"])
+                    [pa.array(c, pa.int64()) for c in zip(*rows)], ["start", "at", "n", "crc"])
 
-    pieces = met.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, at bigint, n bigint, crc bigint")
-    whole = pieces.groupBy("doc_id", "start", "n_tokens").agg(
-        F.sort_array(F.collect_list(F.struct("at", "n", "crc"))).alias("p"))
+    pieces = read_blocks(spark, folder).mapInArrow(run, "start bigint, at bigint, n bigint, crc bigint")
+    whole = pieces.groupBy("start").agg(F.sort_array(F.collect_list(F.struct("at", "n", "crc"))).alias("p"))
+    whole = read_index(spark, folder).join(whole, "start").select("doc_id", "start", "n_tokens", "p")
 
     def joined(batches):
         for t in batches:
