@@ -27,7 +27,7 @@ from racelake.llm.common import id_and_text, stored
 
 BLOCK_IDS = 1 << 16
 END_ID = 0
-CACHE_WORDS = 800_000
+CACHE_WORDS = 500_000
 ENCODED_SCHEMA = "doc_id bigint, n_tokens bigint, ids binary"
 BLOCK_SCHEMA = "part int, first bigint, n_ids int, bits int, starts array<bigint>, payload binary"
 
