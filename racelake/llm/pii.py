@@ -290,9 +290,9 @@ class Network:
 
 
 def _plausible(kind: int, text: str) -> bool:
-    digits = sum("0" <= c <= "9" for c in text)
-    return ("@" in text[1:-1] if kind == 0 else text.count(".") == 3 and digits >= 4 if kind == 1
-            else 13 <= digits <= 19 if kind == 2 else 9 <= digits <= 15)
+    digits = [c for c in text if "0" <= c <= "9"]
+    return ("@" in text[1:-1] if kind == 0 else text.count(".") == 3 and len(digits) >= 4 if kind == 1
+            else 13 <= len(digits) <= 19 and _luhn("".join(digits)) if kind == 2 else 9 <= len(digits) <= 15)
 
 
 def find_spans(texts: list[str], net: Network | None) -> list[list[tuple[int, int, int]]]:
