@@ -86,10 +86,14 @@ class EliasFano:
         end = np.searchsorted(self.upper, h, "right")
         if lo is not None:
             at, end = np.maximum(at, lo), np.minimum(end, hi)
+        # Binary search by the low bits among the values of one upper part: a
+        # common word has thousands of contexts there.
         todo = np.flatnonzero(at < end)
         while len(todo):
-            todo = todo[self._low(at[todo]) < low[todo]]
-            at[todo] += 1
+            mid = (at[todo] + end[todo]) >> 1
+            less = self._low(mid) < low[todo]
+            at[todo[less]] = mid[less] + 1
+            end[todo[~less]] = mid[~less]
             todo = todo[at[todo] < end[todo]]
         return at
 
