@@ -202,6 +202,9 @@ def _oracle() -> dict[str, str]:
         "FROM dim_athlete a JOIN fact f ON a.athlete_id = f.athlete_id GROUP BY f.age_category")
     o["filter_like_distinct"] = with_chain(
         f"SELECT DISTINCT event_name FROM silver WHERE event_name LIKE {_sql_str('%' + PROBE_TEXT + '%')}")
+    o["check_event_dim_row"] = gold(
+        "SELECT event_name, event_type, event_year, start_date, end_date, distance, number_finishers "
+        f"FROM dim_event WHERE event_name = {_sql_str(PROBE_EVENT)}")
     o["check_event_in_gold"] = gold(
         "SELECT f.athlete_id, f.performance_seconds, f.performance_km, f.average_speed, f.club, "
         "f.age_category, e.event_name, e.event_type, e.event_year, e.start_date, e.end_date, e.distance, "
@@ -226,8 +229,10 @@ def _oracle() -> dict[str, str]:
     o["profile_null_counts"] = _raw(f"SELECT * FROM ({nulls}) WHERE nulls > 0")
     distinct = " UNION ALL ".join(
         f"SELECT {i + 1} AS ordinal, {_sql_str(r)} AS column_name, "
-        f'COUNT(DISTINCT "{r}") AS num_distinct FROM raw_main' for i, (_, r, _t) in enumerate(RAW))
-    o["profile_distinct_counts"] = _raw(f"SELECT * FROM ({distinct}) WHERE num_distinct > 0")
+        f'COUNT(DISTINCT "{r}") AS num_distinct, COUNT(DISTINCT "{r}") + '
+        f'CAST(COUNT(*) > COUNT("{r}") AS BIGINT) AS num_distinct_with_null FROM raw_main'
+        for i, (_, r, _t) in enumerate(RAW))
+    o["profile_distinct_counts"] = _raw(distinct)
     o["profile_distinct_values"] = _raw('SELECT DISTINCT "Event name" FROM raw_main')
     numeric = [(i, r) for i, (_, r, t) in enumerate(RAW) if t in ("int", "bigint", "double")]
     summary = " UNION ALL ".join(

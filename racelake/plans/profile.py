@@ -57,19 +57,26 @@ def null_counts(df: DataFrame, only_with_nulls: bool = True) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
-    """D3: exact distinct (non-NULL) values per column.
+    """D3: exact distinct values per column, without NULL (``num_distinct``)
+    and with NULL as a value (``num_distinct_with_null``). Every column has a
+    row, also if it is all NULL or the table is empty (both counts 0 there).
 
     Written as an unpivot to (column, value) followed by two aggregations,
     so every column's distinct set is deduplicated map-side and spread over
     the shuffle by (column, value); a hot value costs one row per task."""
     names = df.columns
     pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i + 1).alias("ordinal"), F.lit(n).alias("column_name"),
+        F.struct(F.lit(i + 1).alias("ordinal"), F.lit(n).alias("column_name"), F.lit(1).alias("seen"),
                  F.col(_q(n)).cast("string").alias("value"))
+        for i, n in enumerate(names)])).alias("p")).select("p.*").distinct()
+    # One row per column that is no value of the table, so no column vanishes.
+    every = df.sparkSession.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(i + 1).alias("ordinal"), F.lit(n).alias("column_name"), F.lit(0).alias("seen"),
+                 F.lit(None).cast("string").alias("value"))
         for i, n in enumerate(names)])).alias("p")).select("p.*")
-    return (pairs.filter(F.col("value").isNotNull()).distinct()
-                 .groupBy("ordinal", "column_name")
-                 .agg(F.count(F.lit(1)).alias("num_distinct")))
+    return (pairs.unionAll(every).groupBy("ordinal", "column_name")
+                 .agg(F.count("value").alias("num_distinct"),
+                      F.sum("seen").alias("num_distinct_with_null")))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

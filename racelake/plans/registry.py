@@ -315,6 +315,7 @@ def _queries() -> dict[str, Query]:
     q["check_hours_by_age_category"] = _with_gold(lambda g: R.hours_by_age_category(
         g.fact, g.dim_athlete))
     q["filter_like_distinct"] = lambda s, d: R.event_names_like(Layers(s, d).silver, PROBE_TEXT)
+    q["check_event_dim_row"] = lambda s, d: R.event_row(_gold(s, d).dim_event, PROBE_EVENT)
     q["check_event_in_gold"] = _with_gold(lambda g: R.event_results_sample(
         g.fact, g.dim_event, PROBE_EVENT))
     q["check_duplicate_keys"] = lambda s, d: R.duplicate_keys(_gold(s, d).dim_athlete, "athlete_id")

@@ -178,6 +178,11 @@ def event_names_like(silver: DataFrame, text: str) -> DataFrame:
                   .select("event_name").distinct())
 
 
+def event_row(events: DataFrame, event_name: str) -> DataFrame:
+    """The dimension row of one event, without its hash key."""
+    return events.filter(F.col("event_name") == event_name).drop("event_id")
+
+
 def event_results_sample(fact: DataFrame, events: DataFrame, event_name: str,
                          n: int = 5) -> DataFrame:
     """First ``n`` results of one event (ordered so the sample is stable)."""

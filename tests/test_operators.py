@@ -15,6 +15,8 @@ from racelake.operators import (clean_club_names, drop_null_rows, fill_unknown,
                                 require_any_not_null, select_by_type,
                                 union_by_name, validate_performance_units)
 from racelake.operators.joins import semi_join_on_group_count
+from racelake.plans.profile import distinct_counts
+from racelake.plans.reports import event_row
 
 LEN = "event_distance/length"
 
@@ -178,3 +180,19 @@ def _explained(df) -> str:
 def test_semi_join_on_group_count(spark):
     df = spark.createDataFrame([("A",), ("A",), ("B",)], "c string")
     assert [r.c for r in semi_join_on_group_count(df, df, "c", 2).collect()] == ["A", "A"]
+
+
+def test_distinct_counts_keep_every_column(spark):
+    df = spark.createDataFrame([(1, "x", None), (1, None, None), (2, "x", None)], "a int, b string, c string")
+    rows = {r["column_name"]: (r["num_distinct"], r["num_distinct_with_null"])
+            for r in distinct_counts(df).collect()}
+    assert rows == {"a": (2, 2), "b": (1, 2), "c": (0, 1)}
+    empty = distinct_counts(df.limit(0)).collect()
+    assert sorted((r["column_name"], r["num_distinct"], r["num_distinct_with_null"]) for r in empty) == [
+        ("a", 0, 0), ("b", 0, 0), ("c", 0, 0)]
+
+
+def test_event_row_is_the_named_event(spark):
+    events = spark.createDataFrame([(1, "e", 2001), (2, "f", 2002)], "event_id bigint, event_name string, event_year int")
+    assert [tuple(r) for r in event_row(events, "f").collect()] == [("f", 2002)]
+    assert event_row(events, "g").collect() == []
