@@ -3,7 +3,8 @@
 A block of a document is compressed alone and again with each license
 template as a zstandard raw dictionary; the more bytes a template saves, the
 more of its wording the block shares. Templates are tried in the order of
-their savings, and a winner is confirmed by its exact differences in wording.
+their savings, and every place of a winner is confirmed by its exact
+differences in wording.
 
 Blocks are taken around the templates' tell-tale words. Those are chosen so
 that a notice without any of them could not be confirmed, so no notice is
@@ -13,7 +14,8 @@ lost by not compressing the rest of the text.
 from __future__ import annotations
 
 import re
-from difflib import SequenceMatcher
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,7 +70,7 @@ class Scanner:
         self.compress = [zstd.ZstdCompressor(level=LEVEL, dict_data=zstd.ZstdCompressionDict(
             " ".join(w).encode(), dict_type=raw), write_content_size=False) for w in self.words]
         self.plain = zstd.ZstdCompressor(level=LEVEL, write_content_size=False)
-        self.reach = max(map(len, self.words))
+        self.reach = int(max(map(len, self.words)) / share) + 1  # words of the longest place
         # Per template its rarest words over all templates, until fewer than
         # ``share`` of the template's words are left over.
         often: dict[str, int] = {}
@@ -112,45 +114,116 @@ class Scanner:
         saved = [(alone - len(c.compress(data)), k) for k, c in enumerate(self.compress)]
         return sorted(((s, k) for s, k in saved if s > 0), key=lambda x: (-x[0], x[1]))
 
-    def confirm(self, block: list[str], k: int):
-        """(first word, end, share of the template's words found in order,
-        differences) of template k's best place, or None."""
+    def places(self, block: list[str], k: int) -> list[tuple[int, int]]:
+        """(first word, end) of template k's places in a block. A place begins
+        and ends with words of the template and has ``share`` of the longer of
+        template and place as a common subsequence. Of all sets of places that
+        do not overlap: the most places, then the most words found, then the
+        shortest places."""
         want = self.words[k]
-        m = SequenceMatcher(None, want, block, autojunk=False).find_longest_match()
-        if not m.size:
-            return None
-        slack = 2 + len(want) // 5
-        lo = max(0, m.b - m.a - slack)
-        part = block[lo:m.b - m.a + len(want) + slack]
-        ops = SequenceMatcher(None, want, part, autojunk=False).get_opcodes()
-        same = [o for o in ops if o[0] == "equal"]
-        found = sum(o[2] - o[1] for o in same)
-        first, end = same[0][3], same[-1][4]
-        if found < self.share * max(len(want), end - first):
-            return None
-        notes = [f"{op}:{' '.join(want[a:b])}>{' '.join(part[c:d])}" for op, a, b, c, d in ops
-                 if op != "equal" and not (op == "insert" and (c >= end or d <= first))
-                 and not (op == "replace" and b <= a)]
-        return lo + first, lo + end, found / len(want), notes
+        least, longest = self.share * len(want), int(len(want) / self.share) + 1
+        at: dict[str, int] = {}
+        for i, w in enumerate(want):
+            at[w] = at.get(w, 0) | 1 << i
+        masks = [at.get(w, 0) for w in block]
+        known = [0, *accumulate(m > 0 for m in masks)]
+        full = (1 << len(want)) - 1
+        ends: dict[int, list[tuple[int, int]]] = {}  # end: (first, words found)
+        for first, m in enumerate(masks):
+            stop = min(first + longest, len(block))
+            if not m or known[stop] - known[first] < least:
+                continue
+            rest, found = full, 0  # bit-parallel: zero bits of rest are words found
+            for end in range(first + 1, stop + 1):
+                hit = rest & masks[end - 1]
+                rest = (rest + hit | rest - hit) & full
+                n = len(want) - rest.bit_count()
+                if n > found and n >= self.share * max(len(want), end - first):
+                    ends.setdefault(end, []).append((first, n))
+                found = n
+        # Best set up to each end that has a place.
+        cuts, best = [0], [((0, 0, 0), None)]
+        for end in sorted(ends):
+            top = best[-1]
+            for first, n in ends[end]:
+                before = bisect_right(cuts, first) - 1
+                x = best[before][0]
+                score = (x[0] + 1, x[1] + n, x[2] - (end - first))
+                if score > top[0]:
+                    top = score, (first, end, before)
+            if top is not best[-1]:
+                cuts.append(end)
+                best.append(top)
+        out, i = [], len(best) - 1
+        while i > 0:
+            first, end, i = best[i][1]
+            out.append((first, end))
+        return out[::-1]
+
+    def compare(self, part: list[str], k: int) -> tuple[float, list[str]]:
+        """Share of template k's words found in order in a place, and the
+        differences in wording."""
+        want = self.words[k]
+        if part == want:
+            return 1.0, []
+        size = [[0] * (len(part) + 1) for _ in range(len(want) + 1)]
+        for i in range(len(want) - 1, -1, -1):
+            for j in range(len(part) - 1, -1, -1):
+                size[i][j] = size[i + 1][j + 1] + 1 if want[i] == part[j] else max(size[i + 1][j], size[i][j + 1])
+        notes, i, j, a, b = [], 0, 0, 0, 0
+        while True:
+            done = i == len(want) and j == len(part)
+            if done or (i < len(want) and j < len(part) and want[i] == part[j]):
+                if i > a or j > b:
+                    op = "insert" if i == a else "delete" if j == b else "replace"
+                    notes.append(f"{op}:{' '.join(want[a:i])}>{' '.join(part[b:j])}")
+                if done:
+                    return size[0][0] / len(want), notes
+                i, j = i + 1, j + 1
+                a, b = i, j
+            elif j == len(part) or (i < len(want) and size[i + 1][j] >= size[i][j + 1]):
+                i += 1
+            else:
+                j += 1
 
     def scan(self, text: str) -> list[dict]:
         """Confirmed notices of a text, by place; of overlapping ones the
-        longer wording, then the larger saving."""
-        found = {}
-        for at, block in self.blocks(text):
-            for saved, k in self.savings(block):
-                hit = self.confirm(block, k)
-                if hit:
-                    a, b, share, notes = hit
-                    key = (at + a, at + b, k)
-                    if key not in found or saved > found[key]["saved"]:
-                        found[key] = {"license": self.names[k], "first": at + a, "end": at + b,
-                                      "saved": saved, "share": share, "differences": notes}
+        longer wording, then the larger saving. Where a template's place gives
+        way to another's, what is left on its sides is searched again."""
         out: list[dict] = []
-        for x in sorted(found.values(), key=lambda x: (-(x["end"] - x["first"]) * x["share"], -x["saved"], x["first"], x["license"])):
-            if all(x["end"] <= y["first"] or x["first"] >= y["end"] for y in out):
-                out.append(x)
-        return sorted(out, key=lambda x: x["first"])
+        tokens: list[str] = []
+        regions = [(at, block, self.savings(block)) for at, block in self.blocks(text)]
+        while regions:
+            found = {}
+            for at, block, savings in regions:
+                for saved, k in savings:
+                    for a, b in self.places(block, k):
+                        key = (at + a, at + b, k)
+                        if key not in found or saved > found[key]["saved"]:
+                            share, notes = self.compare(block[a:b], k)
+                            found[key] = {"license": self.names[k], "first": at + a, "end": at + b,
+                                          "saved": saved, "share": share, "differences": notes}
+            starts, ends, lost = [x["first"] for x in out], [x["end"] for x in out], []
+            for (first, end, k), x in sorted(found.items(), key=lambda x: (
+                    -(x[1]["end"] - x[1]["first"]) * x[1]["share"], -x[1]["saved"], x[1]["first"], x[1]["license"])):
+                i = bisect_left(starts, end)  # so many taken places begin before this one's end
+                if i and ends[i - 1] > first:
+                    lost.append((first, end, k, x["saved"]))
+                    continue
+                starts.insert(i, first)
+                ends.insert(i, end)
+                out.insert(i, x)
+            regions = []
+            for first, end, k, saved in lost:
+                tokens = tokens or words(text)
+                i, j = bisect_right(ends, first), bisect_left(starts, end)  # taken places across it
+                borders = [ends[i - 1] if i else 0, *(x for t in range(i, j) for x in (starts[t], ends[t])),
+                           starts[j] if j < len(starts) else len(tokens)]
+                for lo, hi in zip(borders[::2], borders[1::2]):
+                    lo, hi = max(lo, first - self.reach), min(hi, end + self.reach)
+                    if lo < hi:
+                        regions.append((lo, tokens[lo:hi], [(saved, k)]))
+        return out
 
 
 _SCANNERS: dict = {}

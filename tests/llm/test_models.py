@@ -140,6 +140,57 @@ def test_no_license_notice_without_a_telling_word():
         assert len(rest) < s.share * len(words)
 
 
+@pytest.mark.parametrize("gap", [0, 1, 6, 10, 40, 60])
+@pytest.mark.parametrize("filler", ["word", "license"])
+def test_repeated_notices(gap, filler):
+    s = licenses.Scanner()
+    for name, t in licenses.TEMPLATES.items():
+        n = len(licenses.words(t))
+        got = s.scan(f" {' '.join([filler] * gap)} ".join([t] * 4))
+        assert [(x["license"], x["first"], x["end"]) for x in got] == [
+            (name, i * (n + gap), i * (n + gap) + n) for i in range(4)], (name, gap)
+
+
+def test_notice_beside_a_longer_partial_run():
+    s = licenses.Scanner()
+    want = licenses.words(licenses.TEMPLATES["GPL-3.0-or-later"])
+    real = [f"new{i}" if i % 9 == 4 else w for i, w in enumerate(want)]  # no run over 8 words
+    for text in (want[:12] + ["and"] * 3 + real, real + ["and"] * 3 + want[:12]):
+        got = s.scan(" ".join(text))
+        assert [(x["license"], len(x["differences"])) for x in got] == [("GPL-3.0-or-later", 5)]
+
+
+def test_license_places_are_all_places():
+    """Against trying every set of places of short templates."""
+    s = licenses.Scanner({"a": "p q r s t", "b": "p q p r p s q t u v", "c": "x y z"})
+    rng = random.Random(1)
+
+    def common(a, b):
+        r = [0] * (len(b) + 1)
+        for x in a:
+            r = list(itertools.accumulate(range(len(b)), lambda last, j: r[j] + 1 if x == b[j] else max(r[j + 1], last), initial=0))
+        return r[-1]
+    for _ in range(200):
+        k = rng.randrange(3)
+        want, text = s.words[k], []
+        for _ in range(rng.randint(1, 4)):
+            y = list(want)
+            for _ in range(rng.randint(0, 3)):
+                i = rng.randrange(len(y) + 1)
+                y[i:i + rng.randint(0, 1)] = [rng.choice([*want, "n"])] * rng.randint(0, 1)
+            text += y + ["n"] * rng.randint(0, 2)
+        best = [(0, 0, 0)]
+        for e in range(1, len(text) + 1):
+            sizes = ((f, common(want, text[f:e])) for f in range(e) if {text[f], text[e - 1]} <= set(want))
+            best.append(max([best[-1], *((best[f][0] + 1, best[f][1] + n, best[f][2] - e + f) for f, n in sizes
+                                         if n >= s.share * max(len(want), e - f))]))
+        got = s.places(text, k)
+        assert all(x[1] <= y[0] for x, y in zip(got, got[1:]))
+        found = [common(want, text[f:e]) for f, e in got]
+        assert (len(got), sum(found), sum(f - e for f, e in got)) == best[-1], (text, want, got)
+        assert [s.compare(text[f:e], k)[0] * len(want) for f, e in got] == pytest.approx(found)
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
