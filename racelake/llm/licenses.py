@@ -2,9 +2,9 @@
 
 A block of a document is compressed alone and again with each license
 template as a zstandard raw dictionary; the more bytes a template saves, the
-more of its wording the block shares. Templates are tried in the order of
-their savings, and every place of a winner is confirmed by its exact
-differences in wording.
+more of its wording the block shares. All templates with a tell-tale word in
+the block are tried in the order of their savings, and every place is
+confirmed by its exact differences in wording, whatever it saves.
 
 Blocks are taken around the templates' tell-tale words. Those are chosen so
 that a notice without any of them could not be confirmed, so no notice is
@@ -77,22 +77,23 @@ class Scanner:
         for w in self.words:
             for x in set(w):
                 often[x] = often.get(x, 0) + 1
-        self.telling: set[str] = set()
-        for w in self.words:
+        self.telling: dict[str, set[int]] = {}  # word: templates that it tells of
+        for k, w in enumerate(self.words):
             rest = list(w)
             for x in sorted(set(w), key=lambda x: (-len(x), often[x], x)):
                 if len(rest) < share * len(w):
                     break
                 rest = [y for y in rest if y != x]
-                self.telling.add(x)
+                self.telling.setdefault(x, set()).add(k)
         self.find = ahocorasick.Automaton()
         for x in self.telling:
             self.find.add_word(x, len(x))
         self.find.make_automaton()
 
     def blocks(self, text: str):
-        """(first word, words) around tell-tale words, wide enough for any
-        template to begin or end there; overlapping blocks are one."""
+        """(first word, words, templates told of) around tell-tale words, wide
+        enough for any template to begin or end there; tell-tale words at most
+        4 apart share a block."""
         low = text.lower()
         if next(self.find.iter(low), None) is None:
             return
@@ -104,15 +105,17 @@ class Scanner:
             while j + 1 < len(hits) and hits[j + 1] - hits[j] <= 4:
                 j += 1
             lo = max(0, hits[i] - self.reach)
-            yield lo, tokens[lo:hits[j] + self.reach + 1]
+            yield lo, tokens[lo:hits[j] + self.reach + 1], set().union(*(self.telling[tokens[h]] for h in hits[i:j + 1]))
             i = j + 1
 
-    def savings(self, block: list[str]) -> list[tuple[int, int]]:
-        """(bytes saved, template number), most first; only real savings."""
+    def savings(self, block: list[str], told) -> list[tuple[int, int]]:
+        """(bytes saved, template number) of the templates told of, most
+        first. They are an order only: compressor noise can make the saving
+        of an exact notice zero or negative."""
         data = " ".join(block).encode()
         alone = len(self.plain.compress(data))
-        saved = [(alone - len(c.compress(data)), k) for k, c in enumerate(self.compress)]
-        return sorted(((s, k) for s, k in saved if s > 0), key=lambda x: (-x[0], x[1]))
+        saved = [(alone - len(self.compress[k].compress(data)), k) for k in told]
+        return sorted(saved, key=lambda x: (-x[0], x[1]))
 
     def places(self, block: list[str], k: int) -> list[tuple[int, int]]:
         """(first word, end) of template k's places in a block. A place begins
@@ -192,7 +195,7 @@ class Scanner:
         way to another's, what is left on its sides is searched again."""
         out: list[dict] = []
         tokens: list[str] = []
-        regions = [(at, block, self.savings(block)) for at, block in self.blocks(text)]
+        regions = [(at, block, self.savings(block, told)) for at, block, told in self.blocks(text)]
         while regions:
             found = {}
             for at, block, savings in regions:

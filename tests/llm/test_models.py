@@ -160,6 +160,23 @@ def test_notice_beside_a_longer_partial_run():
         assert [(x["license"], len(x["differences"])) for x in got] == [("GPL-3.0-or-later", 5)]
 
 
+def test_notice_that_saves_no_bytes():
+    """An exact notice whose template makes its block 11 bytes longer."""
+    before = ("geau enerach von tzst ökeitß und für unglichen enieschä chsch ung einachen ung enst erzuer er ungstber ä der er "
+              "einbeheit dieeinerlich enach die ber des enbebersch in der und auf lichüpf enchschheit chtzß enen enstzulich ch "
+              "erßü tzkeit die schein ieie").split()
+    after = ("geung diechiekeitst enbeeinsch schver verü von ßkeit ieie die geeinungte enenachß der enungst chüte erenü enchpf "
+             "einein chauver im schberer der enchtzbe schpf und entz erchie üheiter enkeitverä ö des auö enung von fürchschverzu "
+             "keitungzu enung pf erauein mit engeein enheit einachie").split()
+    s = licenses.Scanner()
+    mit = licenses.words(licenses.TEMPLATES["MIT"])
+    block = " ".join([*before, *mit, *after]).encode()
+    k = s.names.index("MIT")
+    assert len(s.compress[k].compress(block)) >= len(s.plain.compress(block))  # holds for zstandard's level 3
+    got = s.scan(block.decode())
+    assert [(x["license"], x["first"], x["share"]) for x in got] == [("MIT", len(before), 1.0)]
+
+
 def test_license_places_are_all_places():
     """Against trying every set of places of short templates."""
     s = licenses.Scanner({"a": "p q r s t", "b": "p q p r p s q t u v", "c": "x y z"})
