@@ -17,8 +17,11 @@ from racelake.llm.common import id_and_text
 
 SPLIT = "[\\x20\\x09-\\x0D]+"
 # Any floor(n / 5) substitutions in n words, 7 <= n <= 20, leave one of these
-# masks intact somewhere (tests/llm/test_decontam.py tries them all).
+# masks intact somewhere (tests/llm/test_exact.py tries them all).
 MASKS = ("11011", "110011", "1010011")
+# Besides them, for items of that many words: with these, so does one
+# substitution in 5 or 6 words. Fewer words must agree in all of them.
+SHORT = {**{n: ("1" * n,) for n in range(1, 5)}, 5: ("1111", "10111", "11101"), 6: ("1111",)}
 WINDOW = 20
 SHARE = 80  # percent of a window's tokens that must agree
 # Above this many seeds the benchmark is no longer broadcast (24 bytes each).
@@ -48,13 +51,16 @@ def _seeds(tokens: Column, masks) -> Column:
                                             for n, m in enumerate(masks)]))
 
 
-def _all_masks(items: DataFrame) -> list[str]:
-    """MASKS, and a mask of ones for every item length too short for them
-    (at most one per length below the longest mask)."""
-    longest = max(map(len, MASKS))
-    short = (items.filter(F.size("item_tokens") < longest).filter(F.size("item_tokens") > 0)
+def _all_masks(items: DataFrame) -> dict[str, list[int]]:
+    """MASKS, and those of SHORT that items need, each with the item lengths
+    it is for (none: any)."""
+    short = (items.filter(F.size("item_tokens").isin(list(SHORT)))
              .agg(F.collect_set(F.size("item_tokens")).alias("n")).first()["n"])
-    return [*MASKS, *("1" * n for n in sorted(short))]
+    masks: dict[str, list[int]] = {m: [] for m in MASKS}
+    for n in sorted(short):
+        for m in SHORT[n]:
+            masks.setdefault(m, []).append(n)
+    return masks
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -83,8 +89,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     marks = items.select("item_id", F.size("item_tokens").alias("n"),
                          F.posexplode(_seeds(F.col("item_tokens"), masks)).alias("mask", "part"))
-    marks = (marks.filter((F.col("mask") < len(MASKS)) | (F.col("n") == F.element_at(
-        F.array(*[F.lit(len(m)) for m in masks]), F.col("mask") + 1)))
+    lengths = F.array(*[F.array(*map(F.lit, n)).cast("array<int>") for n in masks.values()])
+    marks = (marks.filter((F.col("mask") < len(MASKS)) | F.array_contains(F.get(lengths, F.col("mask")), F.col("n")))
         .select("item_id", F.posexplode("part").alias("item_pos", "seed")))
     if marks.count() <= MAX_BROADCAST_SEEDS:
         marks = F.broadcast(marks)

@@ -167,6 +167,22 @@ def test_masks_survive_substitutions():
                        for o, m in zip(ones, decontam.MASKS) for p in range(n - len(m) + 1)), (n, gone)
 
 
+def test_short_items_survive_a_substitution(spark):
+    """Items of 5 and 6 words with any one word replaced, at the start, within
+    and at the end of a document, or cut off by its start or end."""
+    items = {n: [f"w{n}x{k}" for k in range(n)] for n in range(1, 8)}
+    rows, want = [], []
+    for n, item in items.items():
+        for c in [item[:k] + ["other"] + item[k + 1:] for k in range(n)] + [item[1:], item[:-1], item]:
+            for text in (c, ["a", "b", *c, "d"], [*c, "d"], ["a", *c]):
+                want.append((len(rows), [n] if n >= 5 or c == item else []))
+                rows.append((len(rows), " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(n, " ".join(x)) for n, x in items.items()], "item_id bigint, text string")
+    got = sorted((r.doc_id, r["items"]) for r in decontam.contamination(docs, bench).collect())
+    assert [(rows[i][1], x) for i, x in got] == [(rows[i][1], x) for i, x in want]
+
+
 def test_decontamination(spark, docs, rows):
     item = PASSAGE_WORDS = [f"word{i}" for i in range(5, 40)]
     changed = ["zzz" if k % 6 == 3 else w for k, w in enumerate(PASSAGE_WORDS)]
