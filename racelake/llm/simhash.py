@@ -30,6 +30,8 @@ LEAF = 32
 FAN = 8
 SMALL_GROUP = 32
 BUCKET_ROWS = 400_000
+GROUP_ROWS = 100_000  # larger groups are split
+MAX_BROADCAST_GROUPS = 1_000_000  # split groups, 12 bytes each
 _BYTES = np.uint64(0x0101010101010101)
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+").findall
 
@@ -231,23 +233,50 @@ def shared_ranges(distinct: int, max_bits: int) -> int:
     return 5
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS, shared: int | None = None) -> DataFrame:
+def groups(distinct: DataFrame, masks: np.ndarray, n: int, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, int]:
+    """Rows (``fp``, ``key`` of its group) for every mask, and their number;
+    ``n`` is the number of rows of ``distinct``.
+
+    A pattern of more than ``group_rows`` fingerprints is dealt into blocks of
+    half as many, and each pair of its blocks is a group: every two of its
+    fingerprints still meet in a group, and no group has more (but for the
+    spread of the hash that deals them)."""
+    patterns = [F.struct(F.lit(i).alias("choice"),
+                         F.col("fp").bitwiseAND(F.lit(int(m.view(np.int64)))).alias("pattern"))
+                for i, m in enumerate(masks)]
+    rows = (distinct.select("fp", F.explode(F.array(*patterns)).alias("m"))
+            .select("fp", F.xxhash64("m.choice", "m.pattern").alias("key")))
+    total = n * len(masks)
+    if n <= group_rows:
+        return rows, total
+    size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_rows)
+    large = stored(size.withColumn("blocks", F.ceil(2 * F.col("n") / F.lit(group_rows)).cast("int")), "large-groups")
+    some, more = large.agg(F.count(F.lit(1)), F.sum(F.col("n") * (F.col("blocks") - 2))).first()
+    if not some:
+        return rows, total
+    large = large.select("key", "blocks")
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    pairs = F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != own),
+                        lambda x: F.xxhash64("key", F.least(x, own), F.greatest(x, own)))
+    rows = (rows.join(F.broadcast(large) if some <= MAX_BROADCAST_GROUPS else large, "key", "left")
+            .select("fp", F.explode(F.when(F.col("blocks").isNull(), F.array("key")).otherwise(pairs)).alias("key")))
+    return rows, total + more
+
+
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, shared: int | None = None,
+          group_rows: int = GROUP_ROWS) -> DataFrame:
     """``a``, ``b`` (b < a as unsigned patterns of a local component): enough
     links to connect every two fingerprints within ``max_bits`` of each other
     in the table ``distinct`` (column ``fp``); at most one row per
     fingerprint and bucket, never all pairs of a group.
 
     Each fingerprint is sent once per choice of shared ranges, as 16 bytes,
-    to the bucket of its masked pattern."""
+    to the bucket of its masked pattern; of patterns with more than
+    ``group_rows`` fingerprints, to those of its pairs of blocks."""
     n = distinct.count()
     shared = shared or max(2, shared_ranges(n, max_bits))
-    masks = _choices(max_bits, shared)
-    buckets = max(1, -(-n * len(masks) // BUCKET_ROWS))
-    patterns = [F.struct(F.lit(i).alias("choice"),
-                         F.col("fp").bitwiseAND(F.lit(int(m.view(np.int64)))).alias("pattern"))
-                for i, m in enumerate(masks)]
-    rows = (distinct.select("fp", F.explode(F.array(*patterns)).alias("m"))
-            .select("fp", F.xxhash64("m.choice", "m.pattern").alias("key")))
+    rows, total = groups(distinct, _choices(max_bits, shared), n, group_rows)
+    buckets = max(1, -(-total // BUCKET_ROWS))
     rows = rows.withColumn("bucket", F.pmod(F.col("key"), F.lit(buckets)).cast("int"))
 
     def run(t: pd.DataFrame) -> pd.DataFrame:

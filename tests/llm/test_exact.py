@@ -158,6 +158,31 @@ def test_group_index_links_all_within_distance():
     assert len(set(zip(want.tolist(), got.tolist()))) == len(set(want.tolist())) == len(set(got.tolist()))
 
 
+def test_large_simhash_groups_are_split(spark):
+    """A family of near copies that share most ranges: no group of more than
+    the bound, and every two fingerprints within four bits still meet."""
+    rng = np.random.default_rng(3)
+    flips = np.uint64(1) << rng.integers(0, 64, (1500, 3)).astype(np.uint64)
+    fps = np.unique(np.append(np.bitwise_xor.reduce(flips, axis=1) ^ np.uint64(0xDEADBEEF12345678),
+                              rng.integers(0, 1 << 63, 300).astype(np.uint64)))
+    table = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp bigint")
+    masks, bound = simhash._choices(4, 2), 100
+    whole, _ = simhash.groups(table, masks, len(fps))
+    assert whole.groupBy("key").count().agg(F.max("count")).first()[0] > 3 * bound
+    rows, total = simhash.groups(table, masks, len(fps), bound)
+    rows = rows.toPandas()
+    assert len(rows) == total and rows.groupby("key").size().max() <= 1.4 * bound
+    node = np.searchsorted(fps, rows["fp"].to_numpy().view(np.uint64))
+    met = np.zeros((len(fps), len(fps)), bool)
+    for at in rows.groupby("key").indices.values():
+        met[np.ix_(node[at], node[at])] = True
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4
+    assert near.sum() > 10 * len(fps) and (met | ~near).all()
+    label = lambda e: simhash._joined(
+        np.arange(len(fps)), *(np.searchsorted(fps, np.array([r[k] for r in e], np.int64).view(np.uint64)) for k in "ab"))
+    assert (label(simhash.links(table, group_rows=bound).collect()) == simhash._joined(np.arange(len(fps)), *np.nonzero(near))).all()
+
+
 def test_masks_survive_substitutions():
     """Any floor(n / 5) substitutions in 7 to 20 words leave a seed intact."""
     ones = [[k for k, c in enumerate(m) if c == "1"] for m in decontam.MASKS]
