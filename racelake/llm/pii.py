@@ -297,7 +297,9 @@ def _plausible(kind: int, text: str) -> bool:
 
 def find_spans(texts: list[str], net: Network | None) -> list[list[tuple[int, int, int]]]:
     """All spans (kind, start, end) per text, by kind and start: the fixed
-    ones, and the network's that overlap none of them (nor each other)."""
+    ones, and the network's that overlap none of them (nor each other). Where
+    a tagged span runs over the edge of what is read, the next cell is read
+    too."""
     out = [base_spans(t) for t in texts]
     if net is None:
         return out
@@ -305,17 +307,33 @@ def find_spans(texts: list[str], net: Network | None) -> list[list[tuple[int, in
     owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
     if not len(owner):
         return out
-    windows = np.concatenate([_cut(classes(texts[d]), s) for d, s in enumerate(starts) if len(s)])
-    tags, sure = np.empty(windows.shape, np.int64), np.empty(windows.shape, np.float32)
-    for lo in range(0, len(windows), 2048):
-        tags[lo:lo + 2048], sure[lo:lo + 2048] = net.decode(windows[lo:lo + 2048])
     flat = np.concatenate([s for s in starts if len(s)])
-    edge = np.append(np.flatnonzero(np.diff(owner, prepend=-1)), len(owner))
     own = slice(STRIDE // 2, STRIDE // 2 + STRIDE)  # the middle that a window decides
+    read, seen = [], set()
+    new_owner, new = owner, flat
+    while len(new):
+        cuts = np.append(np.flatnonzero(np.diff(new_owner, prepend=-1)), len(new))
+        windows = np.concatenate([_cut(classes(texts[new_owner[lo]]), new[lo:hi]) for lo, hi in zip(cuts, cuts[1:])])
+        tags, sure = np.empty((len(new), STRIDE), np.int64), np.empty((len(new), STRIDE), np.float32)
+        for lo in range(0, len(windows), 2048):
+            t, p = net.decode(windows[lo:lo + 2048])
+            tags[lo:lo + 2048], sure[lo:lo + 2048] = t[:, own], p[:, own]
+        read.append((new_owner, new, tags, sure))
+        seen.update(zip(new_owner.tolist(), new.tolist()))
+        before = (tags[:, 0] > 0) & (tags[:, 0] % 2 == 0)  # a further character, so the span begins earlier
+        beyond = tags[:, -1] > 0
+        more = {(d, s) for open_, step in ((before, -STRIDE), (beyond, STRIDE))
+                for d, s in zip(new_owner[open_].tolist(), (new[open_] + step).tolist())
+                if 0 <= s + STRIDE // 2 < len(texts[d])} - seen
+        new_owner, new = np.array(sorted(more), np.int64).reshape(-1, 2).T
+    owner, flat, tags, sure = (np.concatenate(x) for x in zip(*read))
+    order = np.lexsort((flat, owner))
+    owner, flat, tags, sure = owner[order], flat[order], tags[order], sure[order]
+    edge = np.append(np.flatnonzero(np.diff(owner, prepend=-1)), len(owner))
     for lo, hi in zip(edge, edge[1:]):
         d = int(owner[lo])
         place = (flat[lo:hi, None] + np.arange(WINDOW)[own]).ravel()
-        got, p = tags[lo:hi, own].ravel(), sure[lo:hi, own].ravel()
+        got, p = tags[lo:hi].ravel(), sure[lo:hi].ravel()
         out[d] = _merge(texts[d], out[d], place, got, p)
     return out
 

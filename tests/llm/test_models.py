@@ -90,6 +90,26 @@ def test_gradient():
         assert (loss[0] - loss[1]) / 0.02 == pytest.approx(float(g[k][at]), abs=2e-3)
 
 
+class WordsWithoutSpace:
+    """In place of the network: tags every run of other characters than
+    spaces as an address, as far as its window shows it."""
+
+    def decode(self, windows):
+        word = (windows != 4) & (windows != 0)
+        first = word & ~np.pad(word, ((0, 0), (1, 0)), constant_values=True)[:, :-1]
+        return np.where(first, 1, np.where(word, 2, 0)), np.ones(windows.shape)
+
+
+def test_spans_are_read_beyond_the_cells_of_their_marks():
+    for before, after in itertools.product((1, 20, 30, 70, 200), (2, 30, 70, 200)):
+        for lead in range(0, 60, 7):
+            text = "x" * lead + " " + "a" * before + "@" + "b" * after + " " + "c" * 50
+            at = lead + 1
+            assert pii.base_spans(text) == []
+            assert pii.find_spans([text, "", text], WordsWithoutSpace()) == [
+                [(0, at, at + before + 1 + after)], [], [(0, at, at + before + 1 + after)]], (lead, before, after)
+
+
 def test_network_finds_spans_it_has_not_seen(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     net = pii.train(docs.filter("doc_id % 2 = 0"))
