@@ -1,16 +1,13 @@
-import os
 import sys
 import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+from support import ROOT
+
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
-SF0001 = "/root/testdata/sf0.001"
-SF001 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():

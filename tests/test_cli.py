@@ -1,6 +1,6 @@
 """The command line builds layers and prints reports over them."""
 
-from conftest import SF0001
+from support import SF0001
 
 
 def test_build_and_report(spark, capsys):

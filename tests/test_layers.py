@@ -13,7 +13,7 @@ from racelake.plans.gold import fct_results
 from racelake.session import scratch_path
 from racelake.streaming import stream_fact_results
 
-from conftest import SF0001
+from support import SF0001
 
 # Expected counts at sf0.001 (FIXTURES.md §4).
 WATERFALL = {

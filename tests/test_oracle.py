@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from conftest import ROOT, SF0001
+from support import ROOT, SF0001
 
 
 @pytest.fixture(scope="module")
