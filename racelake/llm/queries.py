@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from racelake.llm import bitpack, bpe, decontam, licenses, lm_trie, pii, rlz, rules, simhash, toxicity
+from racelake.llm import (bitpack, bpe, decontam, divergence, licenses, lm_trie, pii, rlz, rules, secrets, simhash,
+                          toxicity, variants)
 from racelake.llm.common import crc_fold, documents
 from racelake.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -76,15 +78,56 @@ def op10_bit_packing(spark, sf_dir):
     return bitpack.checksums(spark, folder)
 
 
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return variants.variants(documents(spark, sf_dir))
+
+
+def op13_secrets(spark, sf_dir):
+    return secrets.digest(secrets.scan(documents(spark, sf_dir), tokenizer_path(RANKS)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lm_trie, op2_rlz_dedup, op3_rule_ledger, op4_toxic_segments, op5_bilstm_crf, op6_simhash,
     op7_license_compression, op8_spaced_seeds,
-    op9_bpe, op10_bit_packing)}
+    op9_bpe, op10_bit_packing, op11_source_divergence, op12_spelling_variants, op13_secrets)}
 
 # DuckDB SQL for the queries that SQL expresses in full.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_SHARE = "(1 + (1000000000::HUGEINT * ({c} + 2)) // ({n} + 2 * {v}))"
+_DISTANCE = "(({p} - {q}) * ({p} - {q})) // ({p} + {q})"
+
 ORACLE = {
+    "op11_source_divergence": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS c FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+        l AS (SELECT lang, sum(c) AS n, count(*) AS v FROM kept GROUP BY lang),
+        c AS (SELECT t.lang, t.source, t.term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+        g AS (SELECT g.lang, g.source, coalesce(s.n, 0) AS n, coalesce(l.v, 0) AS v, coalesce(l.n, 0) AS ln
+            FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN l USING (lang)
+            LEFT JOIN (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL) s USING (lang, source)),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+                {_SHARE.format(c="coalesce(c.c, 0)", n="g.n", v="g.v")} AS p,
+                {_SHARE.format(c="k.c", n="g.ln", v="g.v")} AS q
+            FROM g JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        f AS (SELECT a.lang, a.source, b.source AS item, sum({_DISTANCE.format(p="a.p", q="b.p")}) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+        terms AS (SELECT lang, source, 'term' AS part, term AS item, {_DISTANCE.format(p="p", q="q")} AS value
+            FROM p WHERE c > 0 AND p > q)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+            FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+        WHERE part = 'pair' OR rank <= 10""",
     "op3_rule_ledger": rf"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
         spots AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5),
