@@ -94,7 +94,7 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 _TABLES: dict[bool, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """R^i and R^-i modulo 2^64 for i < n (kept for the worker's life up to
     one step's length)."""
     if len(_POWERS[0]) >= n:
@@ -122,7 +122,7 @@ def _step_words(data: np.ndarray, bounds: np.ndarray, lower: bool):
     starts = np.flatnonzero(first)
     if not len(starts):
         return starts, np.empty(0, np.uint64)
-    up, down = _powers(len(data))
+    up, down = powers(len(data))
     sums = np.add.reduceat(values * up, starts) * down[starts]
     return starts, mix(sums)
 

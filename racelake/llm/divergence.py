@@ -12,24 +12,26 @@ CountVectorizer holds its vocabulary on the driver and broadcasts it. Terms
 are therefore dealt by hash into parts of at most about PART_TERMS distinct
 terms (estimated first, all terms counted, not only those kept), written one
 folder each, and every part is fitted by itself: nothing on the driver grows
-with the corpus, and each part is read alone.
+with the corpus, and each part is read alone. Terms (runs of A-Z, a-z and
+everything beyond ASCII, A-Z lower-cased) are cut from UTF-8 bytes by numpy.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from racelake.llm.common import ship_package, stored
+from racelake.llm.common import STEP_BYTES, doc_steps, mix, powers, ranges, ship_package, stored, text_chunks
 from racelake.session import scratch_path
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 10
 MAX_VOCABULARY = 2**31 - 1
 TOP_TERMS = 10
@@ -40,8 +42,6 @@ BLOCK = 4096
 TILE = 128
 SCALE = 1_000_000_000
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-
 
 def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
@@ -63,29 +63,102 @@ def _distance(p: Column, q: Column) -> Column:
     return _div((p - q) * (p - q), p + q)
 
 
-def _terms(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """``lang``, ``source``, ``terms``: every term with its language behind
+def _named(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    ship_package(docs.sparkSession)
+    return docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(name)
+                         for name, c in (("lang", lang_col), ("source", source_col), ("text", text_col))])
+
+
+# Bytes of UTF-8 that make up terms, A-Z lower-cased; 0 parts them.
+_FOLD = np.zeros(256, np.uint8)
+_FOLD[97:123] = _FOLD[65:91] = np.arange(97, 123)
+_FOLD[128:] = np.arange(128, 256)
+_VALUE = mix(np.arange(1, 257, dtype=np.uint64))
+# The estimate counts distinct terms whose hash falls below one part in so many.
+ONE_IN = 64
+
+
+def _cut(data: np.ndarray, bounds: np.ndarray):
+    """Terms of the documents ``data[bounds[i]:bounds[i + 1]]``: their bytes
+    end to end, where each begins there, its length, its document, its hash."""
+    low = _FOLD[data]
+    black = low != 0
+    first = black.copy()
+    first[1:] &= ~black[:-1]
+    edge = bounds[:-1][bounds[:-1] < len(data)]
+    first[edge] = black[edge]
+    at = np.flatnonzero(first)
+    letters = low[black]
+    begin = (np.cumsum(black) - 1)[at]
+    length = np.diff(np.r_[begin, len(letters)])
+    up, down = powers(len(letters))
+    sums = np.add.reduceat(_VALUE[letters] * up, begin) * down[begin] if len(begin) else np.empty(0, np.uint64)
+    return letters, begin, length, np.searchsorted(bounds, at, "right") - 1, mix(sums)
+
+
+def _steps(batches):
+    for batch, data, bounds in text_chunks(batches):
+        for lo, hi in doc_steps(bounds, STEP_BYTES):
+            yield batch.slice(lo, hi - lo), _cut(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo])
+
+
+def _distinct_terms(named: DataFrame) -> int:
+    """About how many distinct terms there are (per language, summed): the
+    number of hashes below a fixed bound, scaled up."""
+    def run(batches):
+        for batch, (_, _, _, doc, h) in _steps(batches):
+            lang = batch.column(0).dictionary_encode()
+            salt = mix(np.array([zlib.crc32(x.as_py().encode()) for x in lang.dictionary], np.uint64))
+            h = mix(h ^ salt[lang.indices.to_numpy()][doc])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(h[h < 2**64 // ONE_IN]).view(np.int64))], ["h"])
+    return ONE_IN * named.mapInArrow(run, "h bigint").distinct().count()
+
+
+def _terms(named: DataFrame, n: int) -> DataFrame:
+    """``lang``, ``source``, ``part``, ``terms`` (array): every document's
+    terms dealt by hash over ``n`` parts, each term with its language behind
     it, so that one vocabulary holds all languages apart."""
-    lang = F.coalesce(docs[lang_col].cast("string"), F.lit(""))
-    low = F.translate(F.coalesce(docs[text_col], F.lit("")), _UPPER, _UPPER.lower())
-    found = F.regexp_extract_all(low, F.lit(TERM), F.lit(0))
-    return docs.select(lang.alias("lang"), F.coalesce(docs[source_col].cast("string"), F.lit("")).alias("source"),
-                       F.transform(found, lambda t: F.concat(t, F.lit("\x00"), lang)).alias("terms"))
-
-
-def _parts(terms: DataFrame) -> list[DataFrame]:
-    """The documents' terms in one or more parts of the vocabulary."""
-    distinct = terms.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
-    n = max(1, math.ceil(distinct / PART_TERMS))
-    if n == 1:
-        return [terms]
-    folder = scratch_path(terms.sparkSession, "divergence-terms")
-    (terms.select("lang", "source", "terms", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("part"))
-     .select("lang", "source", "part", F.filter(
-         "terms", lambda t: F.pmod(F.xxhash64(t), F.lit(n)) == F.col("part")).alias("terms"))
-     .write.partitionBy("part").parquet(folder))
-    schema = terms.schema
-    return [terms.sparkSession.read.schema(schema).parquet(f"{folder}/part={i}") for i in range(n)]
+    def run(batches):
+        for batch, (letters, begin, length, doc, h) in _steps(batches):
+            rows = batch.num_rows
+            row = doc
+            if n > 1:
+                row = (h % np.uint64(n)).astype(np.int64) * rows + doc
+                order = np.argsort(row, kind="stable")
+                row, begin, length = row[order], begin[order], length[order]
+                letters = letters[ranges(begin, length)]
+                begin = np.cumsum(length) - length
+            lang = batch.column(0).dictionary_encode()
+            code = lang.indices.to_numpy()[row % rows]
+            tails = [b"\x00" + x.as_py().encode() for x in lang.dictionary]
+            whole = length + np.array([len(t) for t in tails])[code]
+            ends = np.cumsum(whole)
+            out = np.empty(int(whole.sum()), np.uint8)
+            out[ranges(ends - whole, length)] = letters
+            for k, tail in enumerate(tails):
+                at = (ends - whole + length)[code == k]
+                for j, byte in enumerate(tail):
+                    out[at + j] = byte
+            terms = pa.StringArray.from_buffers(
+                len(ends), pa.py_buffer(np.r_[0, ends].astype(np.int32)), pa.py_buffer(out))
+            edges = np.searchsorted(row, np.arange(rows * n + 1))
+            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), terms)
+            take = np.tile(np.arange(rows), n)
+            made = pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(take)), batch.column(1).take(pa.array(take)),
+                 pa.array(np.repeat(np.arange(n, dtype=np.int32), rows)), lists], ["lang", "source", "part", "terms"])
+            yield made.filter(pa.array(np.diff(edges) > 0))
+    return named.mapInArrow(run, "lang string, source string, part int, terms array<string>")
+
+
+def _parts(named: DataFrame) -> list[DataFrame]:
+    """The documents' terms, written, in one or more parts of the vocabulary."""
+    spark = named.sparkSession
+    n = max(1, math.ceil(_distinct_terms(named) / PART_TERMS))
+    folder = scratch_path(spark, "divergence-terms")
+    _terms(named, n).write.option("compression", "zstd").partitionBy("part").parquet(folder)
+    held = spark.read.schema("lang string, source string, terms array<string>, part int").parquet(folder)
+    return [held.filter(F.col("part") == i).drop("part") for i in range(n)]
 
 
 VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
@@ -129,10 +202,9 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     count each time; an empty table gives no rows; other columns are not
     read. Sums and vectors are written to the shared folder, so a lost
     executor costs only what it held of a later step."""
-    ship_package(docs.sparkSession)
-    terms = _terms(docs, text_col, lang_col, source_col)
+    named = _named(docs, text_col, lang_col, source_col)
     sums = None
-    for number, part in enumerate(_parts(terms)):
+    for number, part in enumerate(_parts(named)):
         rows = _sums(part, number, min_docs)
         sums = rows if sums is None else sums.unionByName(rows)
     by_lang = Window.partitionBy("lang", "term")
@@ -142,7 +214,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
                                      F.count_if("first").cast("bigint").alias("v"))
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     numbered = Window.partitionBy("lang").orderBy("source")
-    groups = (terms.select("lang", "source").distinct()
+    groups = (named.select("lang", "source").distinct()
               .withColumn("s", F.row_number().over(numbered) - 1)
               .join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
               .select("lang", "source", "s", F.coalesce("total", F.lit(0)).alias("total"),
