@@ -156,7 +156,7 @@ def _parts(named: DataFrame) -> list[DataFrame]:
     spark = named.sparkSession
     n = max(1, math.ceil(_distinct_terms(named) / PART_TERMS))
     folder = scratch_path(spark, "divergence-terms")
-    _terms(named, n).write.option("compression", "zstd").partitionBy("part").parquet(folder)
+    _terms(named, n).write.partitionBy("part").parquet(folder)
     held = spark.read.schema("lang string, source string, terms array<string>, part int").parquet(folder)
     return [held.filter(F.col("part") == i).drop("part") for i in range(n)]
 
@@ -176,8 +176,8 @@ def _sums(part: DataFrame, number: int, min_docs: int) -> DataFrame:
     model.transform(part).select("lang", "source", "v").write.parquet(vectors)
     # Read back as what a sparse vector is stored as.
     entries = (spark.read.schema(f"lang string, source string, v {VECTOR}").parquet(vectors)
-               .select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-               .select("lang", "source", F.col("e.indices").alias("i"), F.col("e.values").cast("bigint").alias("n")))
+               .select("lang", "source", "v.values", F.posexplode("v.indices").alias("k", "i"))
+               .select("lang", "source", "i", F.get("values", F.col("k")).cast("bigint").alias("n")))
     sums = entries.groupBy("lang", "source", "i").agg(F.sum("n").alias("n"))
     words = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("i", "t"))
     words = words.select("i", F.substring_index("t", "\x00", 1).alias("term"))
