@@ -10,6 +10,7 @@ from __future__ import annotations
 from oracle.duckdb_sql import STEP_NAMES, gold, round_half_up, with_chain
 
 K100, K50 = 100, 50
+SPOILT_EVERY = 97
 SLICE_COUNTRY, SLICE_YEARS = "NATION_7", (1995, 2020)
 PROBE_EVENT, PROBE_TEXT = "Trail Classic (C07)", "C07"
 
@@ -71,6 +72,18 @@ def _oracle() -> dict[str, str]:
         f"SELECT {_sql_str(db)} AS database, {_sql_str(t)} AS table_name, {_sql_str(c)} AS comment, "
         f"COUNT(*) AS num_rows FROM {src}" for db, t, c, src in inventory))
 
+    o["meta_list_schemas"] = gold(
+        "SELECT 'spark_catalog' AS catalog, database AS schema, COUNT(*) AS num_tables, "
+        "CAST(SUM(num_rows) AS BIGINT) AS num_rows FROM (" + " UNION ALL ".join(
+            f"SELECT {_sql_str(db)} AS database, COUNT(*) AS num_rows FROM {src}"
+            for db, _t, _c, src in inventory) + ") GROUP BY database")
+    channels = _raw(
+        "SELECT 'accepted' AS channel, CAST(NULL AS VARCHAR) AS reason, COUNT(*) AS num_rows FROM raw_main "
+        f'WHERE "Athlete ID" % {SPOILT_EVERY} <> 0 UNION ALL '
+        f"SELECT 'quarantine', 'record', COUNT(*) FROM raw_main WHERE \"Athlete ID\" % {SPOILT_EVERY} = 0 UNION ALL "
+        "SELECT 'quarantine', 'header', COUNT(*) FROM feed_second")
+    o["src_quarantine"] = o["src_quarantine_stream"] = channels
+
     # Shaping and set operations
     o["shape_snake_case"] = with_chain("SELECT * FROM feed_main", "filter_fill_unknown")
     o["setop_union_by_name"] = with_chain("SELECT * FROM feed", "filter_fill_unknown")

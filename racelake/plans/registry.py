@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +26,11 @@ from racelake.plans import silver as S
 from racelake.plans.context import Layers
 from racelake.plans.gold import MIN_ATHLETES_PER_COUNTRY, fct_results
 from racelake.session import scratch_path
-from racelake.sinks import write_layer
+from racelake.sinks import read_batches, write_layer
 from racelake.sources import csv as csv_src
 from racelake.sources import tables
-from racelake.streaming import (ingest_landing_root, silver_results, stream_cleaned_results,
-                                stream_fact_results)
+from racelake.streaming import (ingest_csv_checked, ingest_landing_root, silver_results,
+                                stream_cleaned_results, stream_fact_results)
 from racelake.streaming.ingest import LOOKUP_DIR, SECOND_FEED_DIR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,7 @@ SMALL_SCALE_MIN_ATHLETES = 50
 SLICE_COUNTRY, SLICE_YEARS = "NATION_7", (1995, 2020)
 PROBE_EVENT, PROBE_TEXT = "Trail Classic (C07)", "C07"
 HASH_KEYS = ["event_id", "result_id"]
+SPOILT_EVERY = 97  # athletes whose records the quarantine queries spoil
 # Checking runs bound their streams; the library waits for completion.
 STREAM_TIMEOUT_S = 900
 
@@ -166,6 +168,39 @@ def src_infer_schema(spark, d) -> DataFrame:
     return csv_src.schema_as_rows(spark, csv_src.infer_schema(spark, root))
 
 
+def _mixed_landing(spark, d) -> str:
+    """A landing root into which files of the second feed have strayed, and
+    where some records of the main feed hold text for a number."""
+    lay = Layers(spark, d)
+    root = scratch_path(spark, "landing-mixed")
+    spoilt = F.when(F.col("Athlete ID") % SPOILT_EVERY == 0, F.lit("n/a")).otherwise(
+        F.col("Event number of finishers").cast("string"))
+    csv_src.write_csv(lay.main_raw.withColumn("Event number of finishers", spoilt), root)
+    csv_src.write_csv(lay.second_raw, root, mode="append")
+    return root
+
+
+def _channel_counts(good: DataFrame, bad: DataFrame) -> DataFrame:
+    return (good.select(F.lit("accepted").alias("channel"), F.lit(None).cast("string").alias("reason"))
+            .unionAll(bad.select(F.lit("quarantine"), "reason"))
+            .groupBy("channel", "reason").agg(F.count(F.lit(1)).alias("num_rows")))
+
+
+def src_quarantine(spark, d) -> DataFrame:
+    """Batch read with the main feed's schema; files with another
+    header and records that do not fit go to quarantine."""
+    good, bad = csv_src.read_csv_checked(spark, _mixed_landing(spark, d), schemas.MAIN_FEED)
+    return _channel_counts(good, bad)
+
+
+def src_quarantine_stream(spark, d) -> DataFrame:
+    """The same as a stream, written batch by batch into two folders."""
+    sink, bad = scratch_path(spark, "bronze-good"), scratch_path(spark, "bronze-bad")
+    ingest_csv_checked(spark, _mixed_landing(spark, d), schemas.MAIN_FEED, sink, bad,
+                       scratch_path(spark, "bronze-ckpt"), max_files_per_trigger=5, timeout_s=STREAM_TIMEOUT_S)
+    return _channel_counts(read_batches(spark, sink), read_batches(spark, bad))
+
+
 def src_table_scan(spark, d) -> DataFrame:
     """``FROM <table>`` on the bronze feed registered by name."""
     Layers(spark, d).main_raw.createOrReplaceTempView("bronze_raw_results")
@@ -193,10 +228,11 @@ LAYER_COMMENTS = {
 LAYER_DATABASES = ["racelake_bronze", "racelake_silver", "racelake_gold"]
 
 
-def meta_catalog_tables(spark, d) -> DataFrame:
-    """Create the layer databases, write each layer's tables
-    into them with a comment, and list every table with its row count. The
-    databases carry a suffix of this run, and only they are removed."""
+@contextmanager
+def _layer_databases(spark, d):
+    """Creates the layer databases and writes each layer's tables into them
+    with a comment; gives the folder and the suffix of this run's databases.
+    Only these are removed at the end."""
     root = scratch_path(spark, "warehouse")
     run = "_run_" + uuid.uuid4().hex[:12]
     tables.ensure_databases(spark, [db + run for db in LAYER_DATABASES], root)
@@ -212,24 +248,38 @@ def meta_catalog_tables(spark, d) -> DataFrame:
         ("racelake_gold", "dim_athlete"): g.dim_athlete,
         ("racelake_gold", "dim_date"): g.dim_date,
     }
-    for db in LAYER_DATABASES:
-        previous = tables.use_database(spark, db + run)  # names below are unqualified
-        try:
-            for (table_db, name), df in frames.items():
-                if table_db != db:
-                    continue
-                write_layer(df, f"{root}/{db}{run}.db/{name}", table=name,
-                            comment=LAYER_COMMENTS[(db, name)])
-        finally:
-            tables.use_database(spark, previous)
-    out = None
-    for db in LAYER_DATABASES:
-        inv = tables.table_inventory(spark, db + run).withColumn("database", F.lit(db))
-        out = inv if out is None else out.unionByName(inv)
-    out = write_layer(out, f"{root}/inventory")  # counted before the databases go
-    for db in LAYER_DATABASES:
-        spark.sql(f"DROP DATABASE {db}{run} CASCADE")
-    return out
+    try:
+        for db in LAYER_DATABASES:
+            previous = tables.use_database(spark, db + run)  # names below are unqualified
+            try:
+                for (table_db, name), df in frames.items():
+                    if table_db == db:
+                        write_layer(df, f"{root}/{db}{run}.db/{name}", table=name,
+                                    comment=LAYER_COMMENTS[(db, name)])
+            finally:
+                tables.use_database(spark, previous)
+        yield root, run
+    finally:
+        for db in LAYER_DATABASES:
+            spark.sql(f"DROP DATABASE IF EXISTS {db}{run} CASCADE")
+
+
+def meta_catalog_tables(spark, d) -> DataFrame:
+    """K5 / K6: every table of the layer databases with comment and rows."""
+    with _layer_databases(spark, d) as (root, run):
+        out = None
+        for db in LAYER_DATABASES:
+            inv = tables.table_inventory(spark, db + run).withColumn("database", F.lit(db))
+            out = inv if out is None else out.unionByName(inv)
+        return write_layer(out, f"{root}/inventory")  # counted before the databases go
+
+
+def meta_list_schemas(spark, d) -> DataFrame:
+    """SHOW CATALOGS, then SHOW SCHEMAS IN each of them, with the
+    tables and rows that each of the run's own schemas holds."""
+    with _layer_databases(spark, d) as (root, run):
+        found = tables.schema_inventory(spark, f"*{run}")
+        return write_layer(found.withColumn("schema", F.regexp_replace("schema", run + "$", "")), f"{root}/schemas")
 
 
 def _raw_main(spark, d) -> DataFrame:
@@ -247,6 +297,9 @@ def _queries() -> dict[str, Query]:
     q["src_table_scan"] = src_table_scan
     q["meta_list_files"] = meta_list_files
     q["meta_catalog_tables"] = meta_catalog_tables
+    q["meta_list_schemas"] = meta_list_schemas
+    q["src_quarantine"] = src_quarantine
+    q["src_quarantine_stream"] = src_quarantine_stream
 
     # Shaping and set operations
     q["shape_snake_case"] = lambda s, d: rename_to_snake_case(_raw_main(s, d))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,3 +50,34 @@ def write_stream_append(stream_df: DataFrame, sink_dir: str, checkpoint_dir: str
     if q.exception() is not None:
         raise q.exception()
     return q
+
+
+def write_stream_batches(stream_df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint_dir: str,
+                         timeout_s: float | None = None):
+    """Hand every micro-batch available now to ``write(rows, batch_id)``. A
+    batch that failed, or whose commit was lost, comes again with the same
+    id, so ``write`` must replace what it wrote under that id
+    (``write_batch``)."""
+    q = (stream_df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
+                  .trigger(availableNow=True).start())
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    if finished is False:
+        q.stop()
+        raise TimeoutError(f"stream with checkpoint {checkpoint_dir} did not finish in {timeout_s}s")
+    if q.exception() is not None:
+        raise q.exception()
+    return q
+
+
+BATCH = "load"  # the partition column that names what wrote a folder
+
+
+def write_batch(df: DataFrame, table_dir: str, load: str) -> None:
+    """Write the rows of one load, in place of whatever that load wrote
+    before: repeating it adds nothing."""
+    df.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{BATCH}={load}")
+
+
+def read_batches(spark: SparkSession, table_dir: str) -> DataFrame:
+    """All loads of a table written by ``write_batch``."""
+    return spark.read.parquet(table_dir).drop(BATCH)

@@ -6,9 +6,11 @@ feeds kept in sub-folders of a landing root stay separate.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from racelake.schemas import CSV_OPTIONS
 
@@ -47,7 +49,80 @@ def read_csv_stream(spark: SparkSession, folder: str, schema: StructType,
     return reader.csv(folder)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+CORRUPT, FILE = "_corrupt_record", "_source_file"
+# Why rows are in quarantine.
+WRONG_HEADER, BAD_RECORD = "header", "record"
+
+
+def read_csv_strict(spark: SparkSession, path, schema: StructType) -> DataFrame:
+    """Batch scan that fails if a file's header differs from the schema or a
+    record does not fit it (no extra pass; the choice where a stray file
+    should stop the job)."""
+    return (spark.read.options(**CSV_OPTIONS).option("enforceSchema", False).option("mode", "FAILFAST")
+                 .schema(schema).csv(path))
+
+
+def header_report(spark: SparkSession, path, schema: StructType) -> DataFrame:
+    """One row per file: ``file`` and ``conforms``, whether the file begins
+    with the header that ``schema`` asks for.
+
+    Lines are compared as text (byte order mark, quotes and spaces beside
+    commas aside) and only in the split that begins a file; a file without
+    that line there does not conform. An empty file has no line and no row:
+    it has no records either."""
+    wanted = ",".join(schema.fieldNames())
+    line = F.regexp_replace(F.regexp_replace("value", "^\\uFEFF|\"", ""), " *, *", ",")
+    return (spark.read.text(path)
+            .select(F.col("_metadata.file_path").alias("file"),
+                    ((F.col("_metadata.file_block_start") == 0) & (F.trim(line) == wanted)).alias("is_header"))
+            .groupBy("file").agg(F.max("is_header").alias("conforms")))
+
+
+def _with_bad_records(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
+
+
+def checked_options(reader, schema: StructType):
+    """A reader that keeps records which do not fit (a wrong number of
+    fields, text that is no number or date) as text beside NULL fields."""
+    return (reader.options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).schema(_with_bad_records(schema)))
+
+
+def split_checked(rows: DataFrame, headers: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, quarantine) of rows read with ``checked_options`` that
+    carry their file in FILE. Quarantine: ``file``, ``reason``, ``record``
+    (the line as it was if Spark kept it, else the fields as JSON)."""
+    fields = [F.col(f"`{n}`") for n in schema.fieldNames()]
+    told = rows.join(headers.select(F.col("file").alias(FILE), "conforms"), FILE, "left")
+    stray = ~F.coalesce("conforms", F.lit(False))
+    reason = F.when(stray, WRONG_HEADER).when(F.col(CORRUPT).isNotNull(), BAD_RECORD)
+    told = told.withColumn("reason", reason)
+    bad = told.filter(F.col("reason").isNotNull()).select(
+        F.col(FILE).alias("file"), "reason", F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*fields))).alias("record"))
+    return told.filter(F.col("reason").isNull()).select(*fields), bad
+
+
+def read_csv_checked(spark: SparkSession, path, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, quarantine) of a batch scan. A file with another
+    header goes to quarantine whole, also if its records happen to fit the
+    schema's types; nothing is dropped: every record is in one of the two."""
+    rows = checked_options(spark.read, schema).csv(path)
+    rows = rows.withColumn(FILE, F.col("_metadata.file_path"))
+    # Spark converts, and so checks, only the columns a query reads: the
+    # metric reads all of them, whatever is selected later.
+    fields = [F.col(f"`{n}`") for n in schema.fieldNames()]
+    rows = rows.observe(f"checked_csv_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("rows"),
+                        F.count(CORRUPT).alias("bad_records"), F.max(F.xxhash64(*fields)).alias("fields"))
+    return split_checked(rows, header_report(spark, path, schema), schema)
+
+
+def quarantine_counts(bad: DataFrame) -> DataFrame:
+    """Rows in quarantine per file and reason."""
+    return bad.groupBy("file", "reason").agg(F.count(F.lit(1)).alias("num_rows"))
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write ``df`` as header CSV files (a landing folder for tests and
     demos), one per input partition."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)

@@ -36,9 +36,41 @@ def use_database(spark: SparkSession, name: str) -> str:
     return previous
 
 
-def list_databases(spark: SparkSession, pattern: str = "*") -> DataFrame:
-    """``SHOW DATABASES LIKE pattern`` as a DataFrame."""
-    return spark.sql(f"SHOW DATABASES LIKE '{pattern}'")
+def list_catalogs(spark: SparkSession) -> DataFrame:
+    """``SHOW CATALOGS``: the catalogs of this session (``catalog``)."""
+    return spark.sql("SHOW CATALOGS")
+
+
+def list_schemas(spark: SparkSession, catalog: str, pattern: str = "*") -> DataFrame:
+    """``SHOW SCHEMAS IN catalog LIKE pattern`` (``namespace``)."""
+    text = pattern.replace("\\", "\\\\").replace("'", "\\'")
+    return spark.sql(f"SHOW SCHEMAS IN {quoted(catalog)} LIKE '{text}'")
+
+
+def quoted(name: str) -> str:
+    """An identifier in back quotes."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def schema_inventory(spark: SparkSession, pattern: str = "*") -> DataFrame:
+    """One row per schema of every catalog whose name fits ``pattern``:
+    ``catalog``, ``schema``, ``num_tables`` and ``num_rows`` of its tables.
+
+    Names are catalog metadata and pass through the driver; the rows are
+    counted by Spark, one aggregate per table in one job."""
+    out = None
+    for c in list_catalogs(spark).collect():
+        for row in list_schemas(spark, c.catalog, pattern).collect():
+            schema = f"{quoted(c.catalog)}.{quoted(row.namespace)}"
+            one = (table_inventory(spark, schema)
+                   .agg(F.count("table_name").alias("num_tables"),
+                        F.coalesce(F.sum("num_rows"), F.lit(0)).alias("num_rows"))
+                   .select(F.lit(c.catalog).alias("catalog"), F.lit(row.namespace).alias("schema"),
+                           "num_tables", "num_rows"))
+            out = one if out is None else out.unionByName(one)
+    if out is None:
+        return spark.createDataFrame([], "catalog string, schema string, num_tables bigint, num_rows bigint")
+    return out
 
 
 def table_inventory(spark: SparkSession, database: str) -> DataFrame:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from racelake import schemas
-from racelake.sinks import write_stream_append
-from racelake.sources.csv import read_csv_stream
+from racelake.sinks import write_batch, write_stream_append, write_stream_batches
+from racelake.sources.csv import FILE, checked_options, header_report, read_csv_stream, split_checked
 
 # Files per micro-batch. A first run over a large existing folder then
 # commits progress every batch instead of reading everything as one batch
@@ -31,6 +32,33 @@ def ingest_csv_stream(spark: SparkSession, src_dir: str, schema: StructType,
     return write_stream_append(stream, sink_dir, checkpoint_dir, timeout_s)
 
 
+def ingest_csv_checked(spark: SparkSession, src_dir: str, schema: StructType, sink_dir: str,
+                       quarantine_dir: str, checkpoint_dir: str,
+                       max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+                       timeout_s: float | None = None):
+    """As ``ingest_csv_stream``, but files with another header and records
+    that do not fit the schema go to ``quarantine_dir`` (``file``,
+    ``reason``, ``record``). Both folders are written per micro-batch and a
+    repeated batch replaces itself (read them with ``sinks.read_batches``).
+    The headers of a batch's files are read anew: at most
+    ``max_files_per_trigger`` names pass through the driver."""
+    reader = checked_options(spark.readStream, schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.csv(src_dir).withColumn(FILE, F.col("_metadata.file_path"))
+
+    def write(rows, batch_id):
+        files = [r[0] for r in rows.select(FILE).distinct().collect()]
+        if not files:
+            return
+        headers = header_report(rows.sparkSession, files, schema)
+        good, bad = split_checked(rows, headers, schema)
+        write_batch(good, sink_dir, f"b{batch_id}")
+        write_batch(bad, quarantine_dir, f"b{batch_id}")
+
+    return write_stream_batches(stream, write, checkpoint_dir, timeout_s)
+
+
 def ingest_landing_root(spark: SparkSession, landing_root: str, bronze_root: str,
                         checkpoint_root: str, timeout_s: float | None = None) -> dict[str, str]:
     """Ingest the three feeds of a landing root into three bronze folders.
