@@ -111,8 +111,9 @@ def _oracle() -> dict[str, str]:
     # Gold
     o["fct_results"] = gold("SELECT * FROM fact")
     o["fct_results_stream"] = gold("SELECT * FROM fact")
-    o["dim_athlete"] = gold("SELECT * FROM dim_athlete")
-    o["dim_event"] = gold("SELECT * FROM dim_event")
+    o["fct_results_refresh"] = o["fct_results"]
+    o["dim_athlete"] = o["dim_athlete_refresh"] = gold("SELECT * FROM dim_athlete")
+    o["dim_event"] = o["dim_event_refresh"] = gold("SELECT * FROM dim_event")
     o["dim_date"] = gold("SELECT * FROM dim_date")
     o["mart_distance_events"] = gold("SELECT * FROM mart_distance", K100)
     o["mart_time_events"] = gold("SELECT * FROM mart_time", K100)

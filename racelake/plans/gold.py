@@ -188,11 +188,12 @@ class Gold:
 
     def __init__(self, silver: DataFrame,
                  persist: Callable[[DataFrame, str], DataFrame] | None = None,
-                 fact: DataFrame | None = None):
+                 kept: dict[str, DataFrame] | None = None):
         self.silver = silver
         self.persist = persist
-        if fact is not None:  # e.g. the streamed fact table, kept as it is
-            self.__dict__["fact"] = fact
+        # Tables maintained elsewhere (``fact``, ``dim_event``,
+        # ``dim_athlete``), used as they are.
+        self.__dict__.update(kept or {})
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         return self.persist(df, name) if self.persist else df

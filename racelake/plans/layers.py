@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from racelake.plans import silver as S
 from racelake.plans.gold import MIN_ATHLETES_PER_COUNTRY, Gold
+from racelake.plans.merge import DIM_ATHLETE, DIM_EVENT
 from racelake.sinks import write_layer
 from racelake.sources import fixtures as fx
 
@@ -67,11 +68,11 @@ def build_layers(spark: SparkSession, sf_dir: str, out_root: str,
 def build_gold(silver: DataFrame, out_root: str,
                min_athletes: int = MIN_ATHLETES_PER_COUNTRY,
                timings: dict | None = None,
-               fact: DataFrame | None = None) -> dict[str, DataFrame]:
+               kept: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Recompute the gold tables and marts from a silver table and write
     them under ``out_root/gold``; returns readers keyed ``gold/<table>``.
-    A ``fact`` that is maintained elsewhere (the fact stream) is used as it
-    is instead of being recomputed."""
+    Tables in ``kept`` (``fact``, ``dim_event``, ``dim_athlete``), which a
+    refresh maintains, are used as they are instead of being recomputed."""
     root = out_root.rstrip("/")
     w = lambda df, name: write_layer(df, f"{root}/{name}")
     t: dict[str, DataFrame] = {}
@@ -80,9 +81,9 @@ def build_gold(silver: DataFrame, out_root: str,
         t[f"gold/{name}"] = _timed(timings, f"gold_{name}", lambda: w(df, f"gold/{name}"))
         return t[f"gold/{name}"]
 
-    g = Gold(silver, persist=persist, fact=fact)
-    if fact is not None:
-        t["gold/fct_results"] = fact
+    g = Gold(silver, persist=persist, kept=kept)
+    for name, df in (kept or {}).items():
+        t[f"gold/{'fct_results' if name == 'fact' else name}"] = df
     for name in ("fact", "dim_event", "dim_athlete", "dim_date", "star"):
         getattr(g, name)  # write each table once, in order, timed by ``persist``
     t["gold/mart_distance_events"] = _timed(timings, "gold_mart_distance_events", lambda: w(
@@ -101,24 +102,32 @@ def refresh_layers(spark: SparkSession, landing_root: str, out_root: str,
     two feeds in sub-folders), as the reference's layered tables do:
 
     1. bronze: new CSV files are appended by three file streams;
-    2. silver: only the new bronze rows are cleaned and appended (stream);
-       the table is then the join of all cleaned rows with the lookup as it
-       is now, so a code that arrives late brings its results back;
-    3. gold: fact, dimensions and marts are recomputed from silver.
-
-    Checkpoints live in ``out_root/_checkpoints``; a second call with no new
-    files adds nothing to bronze and silver. Returns readers of all tables.
+    2. silver: only the new bronze rows are cleaned (stream); those whose
+       country code is known are appended, the others wait, and come in with
+       the refresh that brings their code;
+    3. gold: the fact is appended to and the dimensions are merged with those
+       rows only; the date dimension and the marts are recomputed.
+
+    ``silver/results`` and ``gold/fct_results`` are folders of loads,
+    ``gold/dim_event`` and ``gold/dim_athlete`` folders of buckets, so
+    ``out_root`` should not be one that ``build_layers`` wrote. Checkpoints
+    live in ``out_root/_checkpoints``; a second call with no new files adds
+    nothing. Returns readers of all tables.
     """
-    from racelake.streaming import ingest_landing_root, silver_results, stream_cleaned_results
+    from racelake.streaming import ingest_landing_root, stream_cleaned_results
+    from racelake.streaming.refresh import GoldRefresh
 
     root = out_root.rstrip("/")
     ckpt = f"{root}/_checkpoints"
     bronze = ingest_landing_root(spark, landing_root, f"{root}/bronze", f"{ckpt}/bronze", timeout_s)
-    lookup = spark.read.parquet(bronze["country_codes"])
     stream_cleaned_results(spark, [bronze["raw_results"], bronze["second_feed"]],
                            f"{root}/silver/cleaned", f"{ckpt}/silver", timeout_s=timeout_s)
     t = {f"bronze/{k}": spark.read.parquet(v) for k, v in bronze.items()}
-    t["silver/results"] = write_layer(silver_results(spark, f"{root}/silver/cleaned", lookup),
-                                      f"{root}/silver/results")
-    t.update(build_gold(t["silver/results"], root, min_athletes))
+    gold = GoldRefresh(spark, f"{root}/silver", bronze["country_codes"], folders={
+        "silver": f"{root}/silver/results", "fact": f"{root}/gold/fct_results",
+        **{d.name: f"{root}/gold/{d.name}" for d in (DIM_ATHLETE, DIM_EVENT)}})
+    gold.run(f"{root}/silver/cleaned", f"{ckpt}/gold", timeout_s=timeout_s)
+    t["silver/results"] = gold.silver()
+    kept = {"fact": gold.fact(), "dim_event": gold.dimension(DIM_EVENT), "dim_athlete": gold.dimension(DIM_ATHLETE)}
+    t.update(build_gold(t["silver/results"], root, min_athletes, kept=kept))
     return t

@@ -25,6 +25,7 @@ from racelake.plans import reports as R
 from racelake.plans import silver as S
 from racelake.plans.context import Layers
 from racelake.plans.gold import MIN_ATHLETES_PER_COUNTRY, fct_results
+from racelake.plans.merge import DIM_ATHLETE, DIM_EVENT
 from racelake.session import scratch_path
 from racelake.sinks import read_batches, write_layer
 from racelake.sources import csv as csv_src
@@ -32,6 +33,7 @@ from racelake.sources import tables
 from racelake.streaming import (ingest_csv_checked, ingest_landing_root, silver_results,
                                 stream_cleaned_results, stream_fact_results)
 from racelake.streaming.ingest import LOOKUP_DIR, SECOND_FEED_DIR
+from racelake.streaming.refresh import GoldRefresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +139,40 @@ def silver_stream(spark, d) -> DataFrame:
     return _without_hash_keys(silver_results(spark, sink, spark.read.parquet(codes_dir)))
 
 
+def _refreshed(spark, d) -> GoldRefresh:
+    """Gold after three refreshes: the main feed with half of the lookup, the
+    second feed, then the rest of the lookup."""
+    lay = Layers(spark, d)
+    main_dir, second_dir = scratch_path(spark, "bronze-main"), scratch_path(spark, "bronze-second")
+    codes, cleaned = scratch_path(spark, "bronze-codes"), scratch_path(spark, "silver-cleaned")
+    ckpt = scratch_path(spark, "refresh-ckpt")
+    gold = GoldRefresh(spark, scratch_path(spark, "gold"), codes)
+    late = F.pmod(F.xxhash64("athlete_country"), F.lit(2)) == 1
+
+    def refresh():
+        stream_cleaned_results(spark, [main_dir, second_dir], cleaned, f"{ckpt}/silver", timeout_s=STREAM_TIMEOUT_S)
+        gold.run(cleaned, f"{ckpt}/gold", max_files_per_trigger=8, timeout_s=STREAM_TIMEOUT_S)
+
+    lay.main_raw.write.parquet(main_dir)
+    lay.second_raw.limit(0).write.parquet(second_dir)
+    lay.lookup.filter(~late).write.parquet(codes)
+    refresh()
+    lay.second_raw.write.mode("append").parquet(second_dir)
+    refresh()
+    lay.lookup.filter(late).write.mode("append").parquet(codes)
+    refresh()
+    return gold
+
+
+def fct_results_refresh(spark, d) -> DataFrame:
+    """K4 / ST2: the fact appended to by refreshes, the event's name joined
+    in from the merged dimension in place of the hash keys."""
+    gold = _refreshed(spark, d)
+    names = gold.dimension(DIM_EVENT).select("event_id", "event_name")
+    return gold.fact().join(names, "event_id").select(
+        "event_name", "athlete_id", "performance_seconds", "performance_km", "average_speed", "club", "age_category")
+
+
 def _landing(spark, d) -> str:
     """A landing root with the three feeds as CSV: the main feed's files in
     the root, the other two in sub-folders."""
@@ -319,6 +355,9 @@ def _queries() -> dict[str, Query]:
     # Gold
     q["fct_results"] = lambda s, d: fct_results(Layers(s, d).silver, natural_keys=True)
     q["fct_results_stream"] = fct_results_stream
+    q["fct_results_refresh"] = fct_results_refresh
+    q["dim_athlete_refresh"] = lambda s, d: _refreshed(s, d).dimension(DIM_ATHLETE)
+    q["dim_event_refresh"] = lambda s, d: _refreshed(s, d).dimension(DIM_EVENT).drop("event_id")
     q["dim_athlete"] = lambda s, d: _gold(s, d).dim_athlete
     q["dim_event"] = lambda s, d: _gold(s, d).dim_event.drop("event_id")
     q["dim_date"] = lambda s, d: _gold(s, d).dim_date

@@ -81,3 +81,9 @@ def write_batch(df: DataFrame, table_dir: str, load: str) -> None:
 def read_batches(spark: SparkSession, table_dir: str) -> DataFrame:
     """All loads of a table written by ``write_batch``."""
     return spark.read.parquet(table_dir).drop(BATCH)
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder is there, on any file system Spark can reach."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
