@@ -13,7 +13,7 @@ LEN = '"event_distance/length"'
 
 FEED_MAIN = r"""
 feed_main AS (
- SELECT CAST(year(l_shipdate) AS INTEGER) AS year_of_event,
+ SELECT CAST(year(l_shipdate) - l_partkey % 6 AS INTEGER) AS year_of_event,
   CASE l_orderkey % 11
    WHEN 0 THEN CAST(year(l_shipdate) AS VARCHAR)||'-'||lpad(CAST(month(l_shipdate) AS VARCHAR),2,'0')||'-'||lpad(CAST(day(l_shipdate) AS VARCHAR),2,'0')
    WHEN 1 THEN lpad(CAST(day(l_shipdate) AS VARCHAR),2,'0')||'.-'||lpad(CAST(day(l_shipdate + INTERVAL 1 DAY) AS VARCHAR),2,'0')||'.'||lpad(CAST(month(l_shipdate + INTERVAL 1 DAY) AS VARCHAR),2,'0')||'.'||CAST(year(l_shipdate + INTERVAL 1 DAY) AS VARCHAR)
@@ -31,7 +31,7 @@ feed_main AS (
     ||':'||lpad(CAST(CAST(floor(l_extendedprice * 2.5) AS INTEGER) % 60 AS VARCHAR),2,'0')||' h'
    ELSE CAST(l_quantity * 12.5 AS VARCHAR)||' km' END AS athlete_performance,
   CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '*'||c_mktsegment ELSE c_mktsegment END AS athlete_club,
-  CASE WHEN c_custkey % 53 = 0 THEN NULL ELSE 'C'||lpad(CAST(c_nationkey AS VARCHAR),2,'0') END AS athlete_country,
+  CASE WHEN c_custkey % 53 = 0 THEN NULL ELSE 'C'||lpad(CAST(CASE WHEN c_nationkey < 23 AND c_custkey % 4 = 1 THEN 7 WHEN c_nationkey < 23 AND c_custkey % 4 = 2 THEN 3 ELSE c_nationkey END AS VARCHAR),2,'0') END AS athlete_country,
   CASE WHEN c_custkey % 41 = 0 THEN NULL ELSE CAST(1890 + (c_custkey * 13) % 100 AS DOUBLE) END AS athlete_year_of_birth,
   CASE WHEN c_custkey % 37 = 0 THEN NULL WHEN c_custkey % 4 = 0 THEN 'F' ELSE 'M' END AS athlete_gender,
   CASE WHEN c_custkey % 4 <> 0 THEN 'M' WHEN l_orderkey % 2 = 0 THEN 'F' ELSE 'W' END||CAST(20 + 5 * (c_custkey % 10) AS VARCHAR) AS athlete_age_category,
@@ -44,7 +44,7 @@ feed_second AS (
  SELECT CAST(2024 AS INTEGER) AS year_of_event, 'Trail Classic (C07)' AS event_name,
   '50km' AS "event_distance/length", CAST(84 AS INTEGER) AS event_number_of_finishers,
   CAST(5 + o_orderkey % 9 AS VARCHAR)||':30:00 h' AS athlete_performance,
-  'C'||lpad(CAST(c_nationkey AS VARCHAR),2,'0') AS athlete_country,
+  'C'||lpad(CAST(CASE WHEN c_nationkey < 23 AND c_custkey % 4 = 1 THEN 7 WHEN c_nationkey < 23 AND c_custkey % 4 = 2 THEN 3 ELSE c_nationkey END AS VARCHAR),2,'0') AS athlete_country,
   CAST(1950 + c_custkey % 50 AS DOUBLE) AS athlete_year_of_birth,
   CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS athlete_gender,
   CASE WHEN c_custkey % 2 = 0 THEN 'F40' ELSE 'M40' END AS athlete_age_category,

@@ -1,9 +1,4 @@
-"""Oracle SQL per registered query (DuckDB dialect).
-
-Queries without an entry get a rows-only check: ``src_infer_schema`` (the
-inferred types are Spark's own), ``meta_list_files`` (file names are chosen
-by the writer) and ``profile_quartiles`` (approximate by design).
-"""
+"""Oracle SQL per registered query (DuckDB dialect)."""
 
 from __future__ import annotations
 
@@ -58,6 +53,13 @@ def _oracle() -> dict[str, str]:
     o["src_stream_csv"] = _raw("SELECT * FROM raw_main")
     o["src_batch_csv"] = _raw("SELECT * FROM raw_main")
     o["src_table_scan"] = _raw("SELECT * FROM raw_main")
+    # What Spark infers from the landing CSV: integers stay int while they
+    # fit, whole doubles keep their point, mixed texts are strings.
+    inferred = {"int": "int", "bigint": "int", "double": "double", "string": "string"}
+    o["src_infer_schema"] = "SELECT * FROM (VALUES " + ", ".join(
+        f"({_sql_str(r)}, {i + 1}, {_sql_str(inferred[t])})" for i, (_, r, t) in enumerate(RAW)
+    ) + ") v(column_name, ordinal, data_type)"
+    o["meta_list_files"] = _raw("SELECT COUNT(*) AS listed_records, 0 AS other_records, true AS sizes_agree FROM raw_main")
     inventory = [
         ("racelake_bronze", "raw_results", "Raw results feed - bronze layer", "feed_main"),
         ("racelake_bronze", "second_feed", "Second results feed - bronze layer", "feed_second"),
@@ -108,6 +110,26 @@ def _oracle() -> dict[str, str]:
         f"WHERE NOT coalesce({verdict}, false) "
         f'ORDER BY "Event distance/length" NULLS FIRST, "Athlete performance" NULLS FIRST LIMIT 20')
 
+    o["audit_unmatched_countries"] = with_chain(
+        "SELECT athlete_country, COUNT(*) AS num_results, COUNT(DISTINCT athlete_id) AS num_athletes "
+        f"FROM s_{STEP_NAMES[-1]} ANTI JOIN country_lookup USING (athlete_country) GROUP BY athlete_country")
+    o["parse_days_and_ranges"] = """
+        WITH t AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS a,
+                CAST(l_shipdate AS DATE) + CAST(l_orderkey % 40 AS INTEGER) AS b,
+                CAST(floor(l_extendedprice * 2.5) AS BIGINT) AS s, l_linenumber % 4 AS days FROM lineitem),
+        r AS (SELECT *, l_linenumber % 2 = 1 AS named FROM t)
+        SELECT l_orderkey, l_linenumber,
+            CASE WHEN named THEN strftime(a, '%d.%m.%Y-') ELSE strftime(a, '%d.%m.-') END
+                || strftime(b, '%d.%m.%Y') AS dates,
+            CASE WHEN days > 0 THEN days || 'd ' ELSE '' END
+                || printf('%02d:%02d:%02d h', s // 3600, s // 60 % 60, s % 60) AS performance,
+            CAST(s AS INTEGER) AS seconds, CAST(s + 86400 * days AS INTEGER) AS seconds_with_days,
+            CASE WHEN named THEN a ELSE CAST(try_strptime(strftime(a, '%d.') || strftime(b, '%m.%Y'), '%d.%m.%Y') AS DATE)
+                END AS start_date, a AS range_start, b AS range_end FROM r"""
+
+    o["waterfall_stream"] = with_chain(" UNION ALL ".join(
+        f"SELECT {_sql_str(n)} AS step, COUNT(*) AS num_rows FROM s_{n}" for n in STEP_NAMES), STEP_NAMES[-1])
+
     # Gold
     o["fct_results"] = gold("SELECT * FROM fact")
     o["fct_results_stream"] = gold("SELECT * FROM fact")
@@ -115,14 +137,14 @@ def _oracle() -> dict[str, str]:
     o["dim_athlete"] = o["dim_athlete_refresh"] = gold("SELECT * FROM dim_athlete")
     o["dim_event"] = o["dim_event_refresh"] = gold("SELECT * FROM dim_event")
     o["dim_date"] = gold("SELECT * FROM dim_date")
-    o["mart_distance_events"] = gold("SELECT * FROM mart_distance", K100)
+    o["mart_distance_events"] = o["mart_distance_colocated"] = gold("SELECT * FROM mart_distance", K100)
     o["mart_time_events"] = gold("SELECT * FROM mart_time", K100)
     o["mart_distance_events_min50"] = gold("SELECT * FROM mart_distance", K50)
     o["mart_time_events_min50"] = gold("SELECT * FROM mart_time", K50)
     o["mart_overview"] = gold("SELECT * FROM mart_overview", None, True)
     o["join_semi_having"] = gold(
         "SELECT * FROM dim_athlete WHERE country_name IN (SELECT country_name FROM dim_athlete "
-        f"GROUP BY country_name HAVING COUNT(*) >= {K50})")
+        f"GROUP BY country_name HAVING COUNT(*) >= {K100})")
 
     # Business questions
     for suffix, k in (("", K100), ("_min50", K50)):
@@ -228,6 +250,9 @@ def _oracle() -> dict[str, str]:
     o["check_duplicate_keys"] = gold(
         "SELECT athlete_id, COUNT(*) AS num_rows FROM dim_athlete GROUP BY athlete_id "
         "HAVING COUNT(*) > 1 ORDER BY athlete_id LIMIT 10")
+    o["check_duplicate_results"] = gold(
+        "SELECT event_name, athlete_id, COUNT(*) AS num_rows FROM fact GROUP BY event_name, athlete_id "
+        "HAVING COUNT(*) > 1 ORDER BY num_rows DESC, event_name, athlete_id LIMIT 10")
     o["check_distinct_clubs"] = gold("SELECT DISTINCT club FROM fact")
 
     # Profiling of the raw feed
@@ -257,6 +282,11 @@ def _oracle() -> dict[str, str]:
         f'CAST(MIN("{r}") AS DOUBLE) AS min, CAST(MAX("{r}") AS DOUBLE) AS max FROM raw_main'
         for j, (_i, r) in enumerate(numeric))
     o["profile_numeric_summary"] = _raw(summary)
+    quartiles = " UNION ALL ".join(
+        f"SELECT {_sql_str(r)} AS column_name, {j + 1} AS ordinal, " + ", ".join(
+            f'CAST(quantile_disc("{r}", {q}) AS DOUBLE) AS p{round(100 * q)}' for q in (0.25, 0.5, 0.75))
+        + " FROM raw_main" for j, (_i, r) in enumerate(numeric))
+    o["profile_quartiles"] = _raw(quartiles)
     o["profile_preview"] = _raw(
         'SELECT * FROM raw_main ORDER BY "Athlete ID" NULLS FIRST, "Event name" NULLS FIRST, '
         '"Event dates" NULLS FIRST, "Athlete performance" NULLS FIRST, '

@@ -33,28 +33,34 @@ def parse_event_type(df: DataFrame, length: str = "event_distance/length",
 
 def parse_event_dates(df: DataFrame, dates: str = "event_dates",
                       start: str = "event_start_date",
-                      end: str = "event_end_date") -> DataFrame:
+                      end: str = "event_end_date", cross_month: bool = False) -> DataFrame:
     """Add (or complete) start and end dates from the date text, keeping a
     value the row already carries when the text gives none; drop rows
-    without a start date."""
+    without a start date. ``cross_month`` reads ranges over a month's end
+    as what they say (off by default)."""
     existing = set(df.columns)
-    s = R.event_start_date(_col(dates), _col(start) if start in existing else None)
-    e = R.event_end_date(_col(dates), _col(end) if end in existing else None)
+    old_start, old_end = (_col(c) if c in existing else None for c in (start, end))
+    if cross_month:
+        s, e = R.range_dates(_col(dates), old_start, old_end)
+    else:
+        s, e = R.event_start_date(_col(dates), old_start), R.event_end_date(_col(dates), old_end)
     parsed = checkpoint_rows(df.withColumns({start: s, end: e}), "event_dates")
     return parsed.filter(_col(start).isNotNull())
 
 
 def parse_performance(df: DataFrame, performance: str = "athlete_performance",
                       seconds: str = "performance_seconds",
-                      km: str = "performance_km") -> DataFrame:
-    """Add seconds (from ``H:M:S``) and km (from ``<n> km``).
+                      km: str = "performance_km", count_days: bool = False) -> DataFrame:
+    """Add seconds (from ``H:M:S``; with ``count_days`` also from the days
+    before it, off by default) and km (from ``<n> km``).
 
     Keeps rows with more than one hour, or a km text; then rows with more
     than one hour or a positive km value.
     """
     p = _col(performance)
     over_hour = _col(seconds) > R.MIN_SECONDS_EXCLUSIVE
-    parsed = df.withColumns({seconds: R.performance_seconds(p), km: R.performance_km(p)})
+    read = R.performance_seconds_with_days if count_days else R.performance_seconds
+    parsed = df.withColumns({seconds: read(p), km: R.performance_km(p)})
     # km is non-NULL exactly for km texts, so the first rule reads the
     # parsed value instead of matching the text again.
     return (checkpoint_rows(parsed, "performance")

@@ -112,17 +112,32 @@ def star_results(fact: DataFrame, events: DataFrame, athletes: DataFrame) -> Dat
     ``Gold``), the fact is shuffled for the athlete join once instead of once
     per mart, and each mart is a filter (``country_athletes`` counts the
     athletes of the row's country) or a join with the small date dimension."""
-    per_country = athletes.groupBy("country_name").agg(F.count(F.lit(1)).alias("country_athletes"))
+    return with_athletes(with_events(fact, events), with_country_athletes(athletes))
+
+
+def with_events(fact: DataFrame, events: DataFrame) -> DataFrame:
+    """The fact's columns the marts use, with those of its event."""
     f, e = fact.alias("f"), events.alias("e")
-    # Counted and attached on the dimension: the fact never moves by country.
-    a = athletes.join(per_country, "country_name", "left").alias("a")
-    return (f.join(e, F.col("f.event_id") == F.col("e.event_id"))
-             .join(a, F.col("f.athlete_id") == F.col("a.athlete_id"))
-             .select("f.result_id", "f.performance_seconds", "f.performance_km",
-                     "f.average_speed", "f.age_category", "e.event_name", "e.event_type",
-                     "e.distance", "e.start_date", "e.end_date", "e.event_year",
-                     "e.number_finishers", "a.athlete_id", "a.gender", "a.country_name",
-                     "a.country_athletes", "a.birth_year"))
+    return f.join(e, F.col("f.event_id") == F.col("e.event_id")).select(
+        "f.result_id", "f.athlete_id", "f.performance_seconds", "f.performance_km", "f.average_speed",
+        "f.age_category", "e.event_name", "e.event_type", "e.distance", "e.start_date", "e.end_date",
+        "e.event_year", "e.number_finishers")
+
+
+def with_country_athletes(athletes: DataFrame) -> DataFrame:
+    """The dimension with the number of athletes of each row's country:
+    counted and attached here, so that the fact never moves by country."""
+    per_country = athletes.groupBy("country_name").agg(F.count(F.lit(1)).alias("country_athletes"))
+    return athletes.join(per_country, "country_name", "left")
+
+
+def with_athletes(results: DataFrame, athletes: DataFrame) -> DataFrame:
+    """``with_events`` rows with the attributes of their athlete."""
+    r, a = results.alias("r"), athletes.alias("a")
+    return r.join(a, F.col("r.athlete_id") == F.col("a.athlete_id")).select(
+        "r.result_id", "r.performance_seconds", "r.performance_km", "r.average_speed", "r.age_category",
+        "r.event_name", "r.event_type", "r.distance", "r.start_date", "r.end_date", "r.event_year",
+        "r.number_finishers", "a.athlete_id", "a.gender", "a.country_name", "a.country_athletes", "a.birth_year")
 
 
 def _key(natural_keys: bool) -> list:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from racelake import schemas
+from racelake.functions import race
 from racelake.operators import clean
 from racelake.operators.joins import semi_join_on_group_count
 from racelake.operators.shape import rename_to_snake_case
@@ -24,16 +25,19 @@ from racelake.plans import profile as P
 from racelake.plans import reports as R
 from racelake.plans import silver as S
 from racelake.plans.context import Layers
-from racelake.plans.gold import MIN_ATHLETES_PER_COUNTRY, fct_results
+from racelake.plans.colocated import colocated_star, write_colocated
+from racelake.plans.gold import MIN_ATHLETES_PER_COUNTRY, fct_results, mart_distance_events
 from racelake.plans.merge import DIM_ATHLETE, DIM_EVENT
 from racelake.session import scratch_path
 from racelake.sinks import read_batches, write_layer
 from racelake.sources import csv as csv_src
+from racelake.sources import fixtures as fx
 from racelake.sources import tables
 from racelake.streaming import (ingest_csv_checked, ingest_landing_root, silver_results,
                                 stream_cleaned_results, stream_fact_results)
 from racelake.streaming.ingest import LOOKUP_DIR, SECOND_FEED_DIR
 from racelake.streaming.refresh import GoldRefresh
+from racelake.streaming.waterfall import read_waterfall, stream_cleaned_with_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,13 +67,23 @@ def surrogate_key_counts(spark, d) -> DataFrame:
     """Hash keys are checked by counts: one id per event name, one per
     (event name, athlete), never negative."""
     df = S.clean_until(Layers(spark, d).combined, "enrich_surrogate_keys")
-    return df.agg(
-        F.count(F.lit(1)).alias("num_rows"),
-        F.count_distinct("event_id").alias("num_event_ids"),
-        F.count_distinct("result_id").alias("num_result_ids"),
-        F.count_distinct("event_name").alias("num_event_names"),
-        F.count_distinct("event_name", "athlete_id").alias("num_event_athletes"),
-        ((F.min("event_id") >= 0) & (F.min("result_id") >= 0)).alias("ids_non_negative"),
+    # One row per combination of keys, then one per value: the rows are
+    # shuffled once, and no distinct count multiplies them.
+    keys = ["event_id", "result_id", "event_name", "athlete_id"]
+    few = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    text = {"event_id": F.col("event_id").cast("string"), "result_id": F.col("result_id").cast("string"),
+            "event_name": F.col("event_name"), "event_athlete": F.to_json(F.struct("event_name", "athlete_id"))}
+    values = few.select(F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), value.alias("value"),
+                 (F.col("n") if kind == "event_athlete" else F.lit(0).cast("bigint")).alias("n"),
+                 F.least("event_id", "result_id").alias("low")) for kind, value in text.items()])).alias("x"))
+    counts = values.select("x.*").groupBy("kind", "value").agg(F.sum("n").alias("n"), F.min("low").alias("low"))
+    return counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("num_rows"),
+        *[F.count_if(F.col("kind") == kind).alias(name) for kind, name in (
+            ("event_id", "num_event_ids"), ("result_id", "num_result_ids"),
+            ("event_name", "num_event_names"), ("event_athlete", "num_event_athletes"))],
+        (F.min("low") >= 0).alias("ids_non_negative"),
     )
 
 
@@ -146,7 +160,7 @@ def _refreshed(spark, d) -> GoldRefresh:
     main_dir, second_dir = scratch_path(spark, "bronze-main"), scratch_path(spark, "bronze-second")
     codes, cleaned = scratch_path(spark, "bronze-codes"), scratch_path(spark, "silver-cleaned")
     ckpt = scratch_path(spark, "refresh-ckpt")
-    gold = GoldRefresh(spark, scratch_path(spark, "gold"), codes)
+    gold = GoldRefresh(spark, scratch_path(spark, "gold"), codes, buckets=16)
     late = F.pmod(F.xxhash64("athlete_country"), F.lit(2)) == 1
 
     def refresh():
@@ -173,6 +187,55 @@ def fct_results_refresh(spark, d) -> DataFrame:
         "event_name", "athlete_id", "performance_seconds", "performance_km", "average_speed", "club", "age_category")
 
 
+def waterfall_stream(spark, d) -> DataFrame:
+    """rows after each cleaning step, summed over the micro-batches of
+    two runs of the cleaning stream."""
+    lay = Layers(spark, d)
+    main_dir, second_dir = scratch_path(spark, "bronze-main"), scratch_path(spark, "bronze-second")
+    sink, counts, ckpt = (scratch_path(spark, n) for n in ("silver-cleaned", "waterfall", "silver-ckpt"))
+    lay.main_raw.write.parquet(main_dir)
+    lay.second_raw.limit(0).write.parquet(second_dir)
+    for _ in range(2):
+        stream_cleaned_with_counts(spark, [main_dir, second_dir], sink, counts, ckpt,
+                                   "waterfall_" + uuid.uuid4().hex[:12], max_files_per_trigger=8,
+                                   timeout_s=STREAM_TIMEOUT_S)
+        lay.second_raw.write.mode("append").parquet(second_dir)
+    return read_waterfall(spark, counts)
+
+
+def mart_distance_colocated(spark, d) -> DataFrame:
+    """The distance mart over the bucketed star of this run's database."""
+    g = _gold(spark, d)
+    root, db = scratch_path(spark, "warehouse"), "racelake_star_run_" + uuid.uuid4().hex[:12]
+    tables.ensure_databases(spark, [db], root)
+    try:
+        write_colocated(g.fact, g.dim_event, g.dim_athlete, db, buckets=8)
+        mart = mart_distance_events(None, None, None, natural_keys=True, star=colocated_star(spark, db))
+        return write_layer(mart, f"{root}/mart")
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def parse_days_and_ranges(spark, d) -> DataFrame:
+    """2.13 (4), (5): durations with days and ranges over a month's end,
+    read by default and by the options, on texts made of every lineitem."""
+    li = fx.load(spark, d, "lineitem")
+    ship, line = F.col("l_shipdate"), F.col("l_linenumber")
+    end = F.date_add(ship, (F.col("l_orderkey") % 40).cast("int"))
+    day = lambda c, f: F.date_format(c, f)
+    dates = F.when(line % 2 == 0, F.concat(day(ship, "dd.MM."), F.lit("-"), day(end, "dd.MM.yyyy"))).otherwise(
+        F.concat(day(ship, "dd.MM.yyyy"), F.lit("-"), day(end, "dd.MM.yyyy")))
+    seconds = F.floor(F.col("l_extendedprice") * 2.5).cast("bigint")
+    hms = F.format_string("%02d:%02d:%02d h", F.floor(seconds / 3600), F.floor(seconds / 60) % 60, seconds % 60)
+    text = F.concat(F.when(line % 4 > 0, F.concat((line % 4).cast("string"), F.lit("d "))).otherwise(""), hms)
+    rows = li.select("l_orderkey", "l_linenumber", dates.alias("dates"), text.alias("performance"))
+    start, last = race.range_dates("dates")
+    return rows.select("*", race.performance_seconds("performance").alias("seconds"),
+                       race.performance_seconds_with_days("performance").alias("seconds_with_days"),
+                       race.event_start_date("dates").alias("start_date"), start.alias("range_start"),
+                       last.alias("range_end"))
+
+
 def _landing(spark, d) -> str:
     """A landing root with the three feeds as CSV: the main feed's files in
     the root, the other two in sub-folders."""
@@ -244,10 +307,19 @@ def src_table_scan(spark, d) -> DataFrame:
 
 
 def meta_list_files(spark, d) -> DataFrame:
-    """The files of a landing root (sub-folders are not listed)."""
+    """The files of a landing root (sub-folders are not listed), held
+    against their contents: the records in listed files, the records in
+    others, and whether the listed sizes are the files' bytes."""
     root = _landing(spark, d)
-    return tables.list_files(spark, root).select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length")
+    files = tables.list_files(spark, root).select(F.col("path").alias("file"), "length")
+    lines = (spark.read.text(root).select(F.col("_metadata.file_path").alias("file"), "value")
+             .groupBy("file").agg((F.count(F.lit(1)) - 1).alias("records"),
+                                  F.sum(F.octet_length("value") + 1).alias("bytes")))
+    both = lines.join(files, "file", "full")
+    return both.agg(
+        F.sum(F.when(F.col("length").isNotNull(), F.col("records")).otherwise(0)).alias("listed_records"),
+        F.sum(F.when(F.col("length").isNull(), F.col("records")).otherwise(0)).alias("other_records"),
+        F.min(F.coalesce(F.col("bytes"), F.lit(0)) == F.col("length")).alias("sizes_agree"))
 
 
 # Fixed table comments of the layer databases.
@@ -347,6 +419,10 @@ def _queries() -> dict[str, Query]:
     q["join_country_lookup"] = lambda s, d: _without_hash_keys(Layers(s, d).silver)
     q["silver_obt"] = silver_obt
     q["silver_stream"] = silver_stream
+    q["audit_unmatched_countries"] = lambda s, d: R.unmatched_countries(
+        S.clean_until(Layers(s, d).combined), Layers(s, d).lookup)
+    q["waterfall_stream"] = waterfall_stream
+    q["parse_days_and_ranges"] = parse_days_and_ranges
     q["audit_unit_validity"] = lambda s, d: clean.unit_validity_audit(
         _raw_main(s, d), "Event distance/length", "Athlete performance")
     q["audit_rejected_units"] = lambda s, d: clean.rejected_unit_rows(
@@ -362,12 +438,13 @@ def _queries() -> dict[str, Query]:
     q["dim_event"] = lambda s, d: _gold(s, d).dim_event.drop("event_id")
     q["dim_date"] = lambda s, d: _gold(s, d).dim_date
     q["mart_distance_events"] = _mart("distance", k100)
+    q["mart_distance_colocated"] = mart_distance_colocated
     q["mart_time_events"] = _mart("time", k100)
     q["mart_distance_events_min50"] = _mart("distance", k50)
     q["mart_time_events_min50"] = _mart("time", k50)
     q["mart_overview"] = lambda s, d: _gold(s, d).mart_overview(natural_keys=True)
     q["join_semi_having"] = _with_gold(lambda g: semi_join_on_group_count(
-        g.dim_athlete, g.dim_athlete, "country_name", k50))
+        g.dim_athlete, g.dim_athlete, "country_name", k100))
 
     # Business questions
     for suffix, k in (("", k100), ("_min50", k50)):
@@ -411,6 +488,8 @@ def _queries() -> dict[str, Query]:
     q["check_event_in_gold"] = _with_gold(lambda g: R.event_results_sample(
         g.fact, g.dim_event, PROBE_EVENT))
     q["check_duplicate_keys"] = lambda s, d: R.duplicate_keys(_gold(s, d).dim_athlete, "athlete_id")
+    q["check_duplicate_results"] = lambda s, d: R.duplicate_results(
+        fct_results(Layers(s, d).silver, natural_keys=True))
     q["check_distinct_clubs"] = lambda s, d: R.distinct_clubs(_gold(s, d).fact)
 
     # Profiling of the raw feed
@@ -419,7 +498,8 @@ def _queries() -> dict[str, Query]:
     q["profile_distinct_counts"] = lambda s, d: P.distinct_counts(_raw_main(s, d))
     q["profile_distinct_values"] = lambda s, d: P.distinct_values(_raw_main(s, d), "Event name")
     q["profile_numeric_summary"] = lambda s, d: P.numeric_summary(_raw_main(s, d))
-    q["profile_quartiles"] = lambda s, d: P.numeric_quartiles(_raw_main(s, d))
+    q["profile_quartiles"] = lambda s, d: P.numeric_quartiles(
+        write_layer(_raw_main(s, d), scratch_path(s, "bronze")))
     q["profile_preview"] = lambda s, d: P.preview(
         _raw_main(s, d), 10, ["Athlete ID", "Event name", "Event dates", "Athlete performance",
                               "Athlete average speed", "Athlete age category",

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from racelake.functions.bitmaps import distinct_ids, id_bitmaps
 from racelake.plans.gold import Gold
 
 
@@ -205,6 +206,22 @@ def duplicate_keys(dim: DataFrame, key: str, k: int = 10) -> DataFrame:
     return _topk(out, k, F.asc(key))
 
 
+def duplicate_results(fact: DataFrame, k: int = 10) -> DataFrame:
+    """C10 on the fact: results that share an event and an athlete (their
+    ``result_id`` is the same, see SURVEY 2.13), by name."""
+    out = (fact.groupBy("event_name", "athlete_id").agg(F.count(F.lit(1)).alias("num_rows"))
+               .filter(F.col("num_rows") > 1))
+    return _topk(out, k, F.desc("num_rows"), F.asc("event_name"), F.asc("athlete_id"))
+
+
+def unmatched_countries(cleaned: DataFrame, lookup: DataFrame) -> DataFrame:
+    """What the lookup join drops: per country code that the lookup lacks,
+    the number of results and of athletes."""
+    lost = cleaned.join(lookup, "athlete_country", "left_anti")
+    return id_bitmaps(lost, "athlete_id", ["athlete_country"], F.count(F.lit(1)).alias("n")).groupBy(
+        "athlete_country").agg(F.sum("n").alias("num_results"), distinct_ids().alias("num_athletes"))
+
+
 def distinct_clubs(fact: DataFrame) -> DataFrame:
     """C11: distinct club names."""
     return fact.select("club").distinct()
@@ -215,12 +232,22 @@ def distinct_clubs(fact: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def kpis(overview: DataFrame) -> DataFrame:
-    return overview.agg(
-        F.count(F.lit(1)).alias("num_results"),
-        F.count_distinct("athlete_id").alias("num_athletes"),
-        F.count_distinct("event_name").alias("num_events"),
-        F.count_distinct("country_name").alias("num_countries"),
-    )
+    """Counts of results, athletes, events and countries. Athletes are
+    counted in bitmaps, in the pass that collapses the mart to its events
+    and countries; the two names are counted on what is left, so no row of
+    the mart is multiplied."""
+    names = ["event_name", "country_name"]
+    few = overview.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    per_name = few.select(F.explode(F.array(
+        F.struct(F.lit("event").alias("kind"), F.col("event_name").alias("name"), F.col("n")),
+        F.struct(F.lit("country").alias("kind"), F.col("country_name").alias("name"),
+                 F.lit(0).cast("bigint").alias("n")))).alias("x")).select("x.*")
+    counted = per_name.groupBy("kind", "name").agg(F.sum("n").alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("num_results"),
+        F.count_if((F.col("kind") == "event") & F.col("name").isNotNull()).alias("num_events"),
+        F.count_if((F.col("kind") == "country") & F.col("name").isNotNull()).alias("num_countries"))
+    athletes = id_bitmaps(overview, "athlete_id").agg(distinct_ids().alias("num_athletes"))
+    return counted.join(athletes, how="cross").select("num_results", "num_athletes", "num_events", "num_countries")
 
 
 def growth(overview: DataFrame) -> DataFrame:

@@ -33,6 +33,8 @@ SECOND_COLUMNS = [
 
 # Fixed values of the test mapping.
 COUNTRIES_IN_LOOKUP = 23          # nation keys 0..22; two nations left out
+LARGE_COUNTRIES = (7, 3)
+FIRST_YEARS = 6                   # events' first years are spread by that many
 SECOND_FEED_EVENT = "Trail Classic (C07)"
 SECOND_FEED_DATE = "2024-06-15"
 
@@ -50,6 +52,14 @@ def _dmy(ts: Column) -> Column:
                        F.year(ts).cast("string"))
 
 
+def _home(nationkey: Column, custkey: Column) -> Column:
+    """Half of the athletes come from two countries, so that at small scales
+    too some countries pass the marts' threshold and others do not."""
+    known = nationkey < COUNTRIES_IN_LOOKUP
+    return (F.when(known & (custkey % 4 == 1), F.lit(LARGE_COUNTRIES[0]))
+             .when(known & (custkey % 4 == 2), F.lit(LARGE_COUNTRIES[1])).otherwise(nationkey))
+
+
 def _country_code(nationkey: Column) -> Column:
     return F.concat(F.lit("C"), _pad2(nationkey))
 
@@ -105,7 +115,7 @@ def main_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(ck % 5 == 1, F.concat(F.lit("*"), F.col("c_mktsegment")))
              .otherwise(F.col("c_mktsegment")))
     country = F.when(ck % 53 == 0, F.lit(None).cast("string")).otherwise(
-        _country_code(F.col("c_nationkey")))
+        _country_code(_home(F.col("c_nationkey"), ck)))
     birth = F.when(ck % 41 == 0, F.lit(None).cast("double")).otherwise(
         (F.lit(1890) + (ck * 13) % 100).cast("double"))
     gender = (F.when(ck % 37 == 0, F.lit(None).cast("string"))
@@ -119,7 +129,7 @@ def main_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise((F.lit(3.0) + F.col("l_quantity") / 4).cast("string")))
 
     cols = [
-        F.year(ship).cast("int"), dates,
+        (F.year(ship) - pk % FIRST_YEARS).cast("int"), dates,
         F.concat(F.lit("Ultra "), pk.cast("string"), F.lit(" ("),
                  _country_code(pk % 25), F.lit(")")),
         length, (F.lit(1) + (pk * 7) % 900).cast("int"), performance, club,
@@ -138,7 +148,7 @@ def second_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(2024).cast("int"), F.lit(SECOND_FEED_EVENT), F.lit("50km"),
         F.lit(84).cast("int"),
         F.concat((F.lit(5) + ok % 9).cast("string"), F.lit(":30:00 h")),
-        _country_code(F.col("c_nationkey")),
+        _country_code(_home(F.col("c_nationkey"), ck)),
         (F.lit(1950) + ck % 50).cast("double"),
         F.when(even, "F").otherwise("M"), F.when(even, "F40").otherwise("M40"),
         F.lit("7.5"), ck, day, day,

@@ -46,7 +46,7 @@ def test_gold_invariants(layers):
     assert g.dim_athlete.count() == g.dim_athlete.select("athlete_id").distinct().count() == 142
     assert g.dim_date.count() == 1124
     d, t, o = g.mart_distance(5).count(), g.mart_time(5).count(), g.mart_overview().count()
-    assert (d, t, o) == (1897, 529, 2866)
+    assert (d, t, o) == (1584, 458, 2866)
     assert d + t <= o
     assert g.mart_distance().count() == 0  # 100 athletes per country: none at this scale
 
@@ -191,7 +191,7 @@ def test_refresh_from_csv_landing(spark, layers):
     t = refresh_layers(spark, landing, out, min_athletes=5)
     assert t["silver/results"].count() == 2866
     assert t["gold/mart_overview"].count() == 2866
-    assert t["gold/mart_distance_events"].count() == 1897
+    assert t["gold/mart_distance_events"].count() == 1584
     assert t["gold/fct_results"].count() == 2866
     t2 = refresh_layers(spark, landing, out, min_athletes=5)  # no new files
     assert t2["bronze/raw_results"].count() == 6000
