@@ -16,7 +16,9 @@ import heapq
 import json
 import re
 from collections.abc import Iterable
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -39,8 +41,10 @@ def pretokens(text: str) -> list[str]:
 
 
 # Distinct pre-tokens merged in one index, and kept encoded per worker.
-INDEX_WORDS = 100_000
+INDEX_WORDS = 200_000
 CACHE_WORDS = 400_000
+# A rank with that many positions or more is applied by numpy at once.
+MANY = 32
 
 
 def byte_symbols() -> dict[str, int]:
@@ -70,9 +74,25 @@ class Vocabulary:
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[vocab[a], vocab[b]] = rank, vocab[a + b]
+        # The same as arrays: pairs as one number each, in order, with ranks.
+        self.base = max(self.bytes) + 1
+        keys = np.array([a * self.base + b for a, b in self.merges], np.int64)
+        order = np.argsort(keys)
+        self.keys = np.r_[keys[order], np.iinfo(np.int64).max]
+        self.key_ranks = np.r_[np.array([r for r, _ in self.merges.values()], np.int64)[order], -1]
+        self.ints = [0] * self.base  # the very objects that the tables hold
+        for i in self.bytes:
+            self.ints[i] = i
+        self.byte_ids = np.array([self.byte_id[i] for i in range(256)], np.int64)
         self.pair_of = [p for p, _ in sorted(self.merges.items(), key=lambda x: x[1][0])]
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Merge rank of each pair, -1 where there is none."""
+        pair = a * self.base + b
+        at = np.searchsorted(self.keys, pair)
+        return np.where((self.keys[at] == pair) & (a >= 0) & (b >= 0), self.key_ranks[at], -1)
+
     def split(self, text: str) -> list[str]:
         """Pre-tokens in order; a special string is one item."""
         if self.cut is None or not any(s in text for s in self.special):
@@ -87,85 +107,111 @@ class Vocabulary:
 
 
 def merge_all(words: list[str], v: Vocabulary) -> list[list[int]]:
-    """Token ids of each pre-token, merged through one pair index."""
-    sym: list[int] = []
-    begin = []
-    byte_id = v.byte_id
-    for w in words:
-        begin.append(len(sym))
-        sym += [byte_id[b] for b in w.encode()]
-        sym.append(-1)  # no pair reaches over it
-    n = len(sym)
-    nxt = list(range(1, n + 1))
-    prv = list(range(-1, n - 1))
-    merges = v.merges
+    """Token ids of each pre-token, merged through one pair index. A rank
+    with many positions is applied by numpy, one with few step by step."""
+    lengths = np.array([len(w.encode()) for w in words], np.int64)
+    raw = np.frombuffer("".join(words).encode(), np.uint8)
+    n = len(raw) + len(words)
+    # A separator, which no pair reaches over, behind each word; one more at
+    # the end, which the first symbol's left neighbour (-1) is too.
+    sym = np.full(n + 1, -1, np.int64)
+    sym[np.arange(len(raw)) + np.repeat(np.arange(len(words)), lengths)] = v.byte_ids[raw]
+    nxt, prv = np.arange(1, n + 2), np.arange(-1, n)
     where: dict[int, list[int]] = {}
-    for i, pair in enumerate(zip(sym, sym[1:])):
-        m = merges.get(pair)
-        if m is not None:
-            where.setdefault(m[0], []).append(i)
-    active = list(where)
-    heapq.heapify(active)
+    active: list[int] = []
+
+    def note(places: np.ndarray, ranks: np.ndarray) -> None:
+        held = ranks >= 0
+        places, ranks = places[held], ranks[held]
+        if not len(ranks):
+            return
+        order = np.argsort(ranks, kind="stable")
+        ranks, flat = ranks[order], places[order].tolist()
+        edges = np.flatnonzero(np.diff(ranks)) + 1
+        for rank, lo, hi in zip(ranks[np.r_[0, edges]].tolist(), [0, *edges.tolist()], [*edges.tolist(), len(flat)]):
+            listed = where.get(rank)
+            if listed is None:
+                where[rank] = flat[lo:hi]
+                heapq.heappush(active, rank)
+            else:
+                listed += flat[lo:hi]
+
+    note(np.arange(n), v.ranks(sym[:-1], sym[1:]))
     while active:
         rank = heapq.heappop(active)
         places = where.pop(rank, None)
         if places is None:
             continue
-        places.sort()
         a, b = v.pair_of[rank]
-        new = merges[a, b][1]
-        for i in places:
-            j = nxt[i]
-            if sym[i] != a or j >= n or sym[j] != b:
-                continue  # an earlier merge took one of the two
-            sym[i], sym[j] = new, -2
+        new = v.merges[a, b][1]
+        if a != b and len(places) >= MANY:
+            p = np.sort(np.array(places))
+            # Two merges of one rank can note the pair between them twice,
+            # and earlier merges may have taken one of a pair's two symbols.
+            p = p[np.r_[True, p[1:] != p[:-1]] & (sym[p] == a) & (sym[nxt[p]] == b)]
+            j = nxt[p]
             k = nxt[j]
-            nxt[i] = k
-            if k < n:
-                prv[k] = i
-                m = merges.get((new, sym[k]))
-                if m is not None:
-                    if m[0] not in where:
-                        where[m[0]] = []
-                        heapq.heappush(active, m[0])
-                    where[m[0]].append(i)
-            h = prv[i]
-            if h >= 0:
-                m = merges.get((sym[h], new))
+            sym[p], sym[j] = new, -2
+            nxt[p], prv[k] = k, p
+            note(p, v.ranks(sym[p], sym[k]))
+            h = prv[p]
+            note(h, v.ranks(sym[h], sym[p]))
+            continue
+        for i in sorted(set(places)):
+            j = int(nxt[i])
+            if sym[i] != a or sym[j] != b:
+                continue
+            k = int(nxt[j])
+            sym[i], sym[j] = new, -2
+            nxt[i], prv[k] = k, i
+            h = int(prv[i])
+            for at, pair in ((i, (new, int(sym[k]))), (h, (int(sym[h]), new))):
+                m = v.merges.get(pair)
                 if m is not None:
                     if m[0] not in where:
                         where[m[0]] = []
                         heapq.heappush(active, m[0])
-                    where[m[0]].append(h)
-    begin.append(n)
-    return [[s for s in sym[p:q - 1] if s >= 0] for p, q in zip(begin, begin[1:])]
+                    where[m[0]].append(at)
+    kept = sym != -2
+    ends = np.cumsum(kept)[np.cumsum(lengths + 1) - 1].tolist()  # each just behind its word's separator
+    flat = list(map(v.ints.__getitem__, sym[kept].tolist()))  # one object per id, not per place
+    return [flat[p:q - 1] for p, q in zip([0, *ends], ends)]
 
 
 class Encoder:
     """Encodes batches of texts; keeps up to CACHE_WORDS encoded pre-tokens
-    (then starts afresh), so memory does not grow with the partition."""
+    besides those of the batch, in two halves: words in use move to the
+    younger half, and when that is full the older one is dropped. Memory
+    does not grow with the partition."""
 
     def __init__(self, path: str):
         self.v = Vocabulary(path)
         self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def _learn(self, words: Iterable[str]) -> None:
-        special = self.v.special
-        new = [w for w in words if w not in self.known]
+        known, older = self.known, self.older
+        new = []
+        for w in words:
+            if w not in known:
+                ids = older.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    known[w] = ids
         for i in range(0, len(new), INDEX_WORDS):
             part = new[i:i + INDEX_WORDS]
-            self.known.update(zip(part, merge_all(part, self.v)))
-        for text, number in special.items():
-            self.known[text] = [number]
+            known.update(zip(part, merge_all(part, self.v)))
+        for text, number in self.v.special.items():
+            known[text] = [number]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [self.v.split(t) for t in texts]
-        distinct = set().union(*split)
-        if len(self.known) + len(distinct) > CACHE_WORDS:
-            self.known = {}
-        self._learn(distinct)
-        known = self.known
-        return [[i for w in words for i in known[w]] for words in split]
+        if len(self.known) > CACHE_WORDS // 2:
+            self.known, self.older = {}, self.known
+        self._learn(set().union(*split))
+        ids_of = self.known.__getitem__
+        return [list(chain.from_iterable(map(ids_of, words))) for words in split]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.v.bytes.__getitem__, ids)).decode("utf-8", "replace")
