@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from racelake.llm.common import id_and_text
+from racelake.llm.common import id_and_text, stored
 
 SPLIT = "[\\x20\\x09-\\x0D]+"
 # Any floor(n / 5) substitutions in n words, 7 <= n <= 20, leave one of these
@@ -23,6 +23,7 @@ MASKS = ("11011", "110011", "1010011")
 # substitution in 5 or 6 words. Fewer words must agree in all of them.
 SHORT = {**{n: ("1" * n,) for n in range(1, 5)}, 5: ("1111", "10111", "11101"), 6: ("1111",)}
 WINDOW = 20
+PIECE = 256  # tokens of a document's piece, at least (the longest item's if that is longer)
 SHARE = 80  # percent of a window's tokens that must agree
 # Above this many seeds the benchmark is no longer broadcast (24 bytes each).
 MAX_BROADCAST_SEEDS = 1_000_000
@@ -76,11 +77,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     have no tokens and match nothing; items of NULL id are ignored;
     documents of equal id and text get equal rows.
 
-    Seeds are exploded as (document key, position, hash): the document's
+    Texts of any length, repetitive ones too, are verified in pieces of
+    bounded length: the rows of a document grow with its length, the size of
+    a row does not. Seeds are exploded as (document key, position, hash): the
     text stays behind and only documents with a hit are read again. The
     benchmark's seeds are broadcast up to MAX_BROADCAST_SEEDS (counted
     first), beyond that the join is shuffled and AQE splits hot seeds."""
-    d = id_and_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
+    d = id_and_text(docs, id_col, text_col).withColumns({
+        "th": F.xxhash64("text"), "dk": F.coalesce(F.col("doc_id").cast("string"), F.lit(""))})
     items = benchmark.select(
         benchmark[item_col].cast("bigint").alias("item_id"),
         _tokens(F.coalesce(benchmark[item_text_col], F.lit(""))).alias("item_tokens")
@@ -95,35 +99,48 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if marks.count() <= MAX_BROADCAST_SEEDS:
         marks = F.broadcast(marks)
 
-    found = (d.select("doc_id", "th", F.explode(_seeds(_tokens(F.col("text")), masks)).alias("part"))
-             .select("doc_id", "th", F.posexplode("part").alias("pos", "seed"))
-             .join(marks, "seed")
-             .select("doc_id", "th", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
-             .distinct())
-    hits = (found.groupBy("doc_id", "th").agg(F.collect_set(F.struct("item_id", "shift")).alias("hit")))
-    aligned = (d.alias("d").join(hits.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id"))
-                                 & (F.col("d.th") == F.col("h.th")))
-               .select("d.doc_id", "d.th", _tokens(F.col("d.text")).alias("tokens"), "h.hit")
-               .dropDuplicates(["doc_id", "th"])
-               .select("doc_id", "th", "tokens", F.explode("hit").alias("x"))
-               .select("doc_id", "th", "tokens", "x.item_id", "x.shift"))
-    part = F.when(F.col("shift") >= 0, F.slice("tokens", F.col("shift") + 1, F.size("item_tokens"))) \
-        .otherwise(F.concat(F.array_repeat(F.lit(None).cast("bigint"), -F.col("shift")),
-                            F.slice("tokens", 1, F.greatest(F.size("item_tokens") + F.col("shift"), F.lit(0)))))
-    verified = (aligned.select("doc_id", "th", "item_id", "shift", "tokens")
-                .join(items, "item_id")
-                .select("doc_id", "th", "item_id", _best_window(part, F.col("item_tokens")).alias("share"))
+    # Written, so that its size is known when the documents are joined to it.
+    found = stored(d.select("dk", "th", F.explode(_seeds(_tokens(F.col("text")), masks)).alias("part"))
+                   .select("dk", "th", F.posexplode("part").alias("pos", "seed"))
+                   .join(marks, "seed")
+                   .select("dk", "th", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
+                   .distinct(), "seed-hits")
+    # Pieces of the documents that have hits: every alignment's tokens lie in
+    # the piece it begins in, so no row ever holds a whole document.
+    longest = items.agg(F.max(F.size("item_tokens"))).first()[0] or 1
+    step = max(PIECE, longest)
+    pieces = (d.select("dk", "th", "text").join(found.select("dk", "th").distinct(), ["dk", "th"], "left_semi")
+              .dropDuplicates(["dk", "th"])
+              .select("dk", "th", F.explode(_pieces(_tokens(F.col("text")), step, longest)).alias("x"))
+              .select("dk", "th", "x.piece", "x.tokens"))
+    begin = F.greatest("shift", F.lit(0))
+    aligned = found.withColumn("piece", (begin / step).cast("int")).join(pieces, ["dk", "th", "piece"])
+    aligned = aligned.join(items, "item_id")
+    lead = begin - F.col("shift")  # tokens of the item before the document's first
+    cut = F.slice("tokens", begin - F.col("piece") * step + 1,
+                  F.greatest(F.size("item_tokens") - lead, F.lit(0)).cast("int"))
+    # A repetitive text aligns in many places with few different slices.
+    slices = aligned.select("dk", "th", "item_id", F.concat(
+        F.array_repeat(F.lit(None).cast("bigint"), lead.cast("int")), cut).alias("part")).distinct()
+    verified = (slices.join(items, "item_id")
+                .select("dk", "th", "item_id", _best_window(F.col("part"), F.col("item_tokens")).alias("share"))
                 .filter(F.col("share") * 100 >= SHARE)
-                .groupBy("doc_id", "th")
+                .groupBy("dk", "th")
                 .agg(F.sort_array(F.collect_set("item_id")).alias("items"),
                      F.max("share").alias("best_share")))
-    left = d.select("doc_id", "th").alias("d")
-    return (left.join(verified.alias("v"), F.col("d.doc_id").eqNullSafe(F.col("v.doc_id"))
-                      & (F.col("d.th") == F.col("v.th")), "left")
-            .select("d.doc_id", F.coalesce(F.size("v.items"), F.lit(0)).cast("bigint").alias("n_items"),
-                    F.coalesce("v.items", F.array().cast("array<bigint>")).alias("items"),
-                    F.coalesce("v.best_share", F.lit(0.0)).alias("best_share"),
-                    F.col("v.items").isNotNull().alias("contaminated"), F.col("d.th").alias("text_hash")))
+    return (d.select("doc_id", "dk", "th").join(verified, ["dk", "th"], "left")
+            .select("doc_id", F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
+                    F.coalesce("items", F.array().cast("array<bigint>")).alias("items"),
+                    F.coalesce("best_share", F.lit(0.0)).alias("best_share"),
+                    F.col("items").isNotNull().alias("contaminated"), F.col("th").alias("text_hash")))
+
+
+def _pieces(tokens: Column, step: int, reach: int) -> Column:
+    """Array of (piece, tokens): ``step`` tokens and the ``reach`` after."""
+    def cut(t):
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - 1, F.lit(0)), F.lit(step)), lambda i: F.struct(
+            (i / step).cast("int").alias("piece"), F.slice(t, i + 1, F.lit(step + reach)).alias("tokens")))
+    return _let(tokens, cut)
 
 
 def _best_window(part: Column, item: Column) -> Column:

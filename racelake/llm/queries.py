@@ -153,6 +153,28 @@ ORACLE = {
             CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
             CAST(n_repeat_words AS BIGINT) AS n_repeat_words, (failed & 3) <> 0 AS base_failed,
             failed = 0 AS kept, CAST(failed AS BIGINT) AS failed FROM f""",
+    # Every alignment of a document and an item on any common token.
+    "op8_spaced_seeds": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(
+                coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(
+                coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL),
+        dt AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+        bt AS (SELECT item_id, len(w) AS n, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j FROM b),
+        m AS (SELECT r, item_id, n, p - j AS shift, j FROM dt JOIN bt USING (x)),
+        e AS (SELECT r, item_id, shift FROM m GROUP BY r, item_id, shift, n
+            HAVING 100 * count(*) >= 80 * least(20, n)),
+        c AS (SELECT r, item_id, n, count(*) OVER (PARTITION BY r, item_id, shift ORDER BY j
+                RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING) AS c FROM m JOIN e USING (r, item_id, shift)),
+        f AS (SELECT r, item_id, max(c) / least(20, n) AS share FROM c GROUP BY r, item_id, n
+            HAVING 100 * max(c) >= 80 * least(20, n)),
+        g AS (SELECT r, count(*) AS k, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items,
+                max(share) AS share FROM f GROUP BY r)
+        SELECT doc_id, CAST(coalesce(k, 0) AS BIGINT) AS n_items, coalesce(items, '') AS items,
+            round(CAST(coalesce(share, 0) AS DOUBLE), 6) AS best_share, k IS NOT NULL AS contaminated
+        FROM d LEFT JOIN g USING (r)""",
     "op2_rlz_dedup": rf"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         spots AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),

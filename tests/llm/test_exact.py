@@ -253,4 +253,33 @@ def test_pack_round_trip(bits):
 
 
 def test_every_number_has_a_query():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
+
+
+def test_repetitive_text_against_items_that_hold_its_phrase(spark):
+    """A text of 1 MB that aligns with 20 items everywhere: rows stay small
+    (this ran out of a 4 GB heap when each held the document)."""
+    phrase = "one two three four five six seven"
+    items = [(i, f"{phrase} " * (1 + i % 4) + " ".join(f"t{i}w{k}" for k in range(i % 7))) for i in range(20)]
+    text = f"{phrase} " * 30_000
+    docs = spark.createDataFrame([(1, text), (2, text), (2, text), (3, phrase), (4, "nothing of it"), (None, text)],
+                                 "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = by_row(decontam.contamination(docs, bench), "items", "best_share")
+
+    def share(item, doc):
+        a, b = item.split(), doc.split()
+        width = min(20, len(a))
+        best = 0
+        for shift in range(-len(a), len(b)):
+            same = [0 <= shift + j < len(b) and b[shift + j] == w for j, w in enumerate(a)]
+            best = max(best, max(sum(same[k:k + width]) for k in range(len(a) - width + 1)))
+        return best / width
+
+    def row(doc):
+        shares = {i: share(t, doc) for i, t in items}
+        found = {i: s for i, s in shares.items() if s >= 0.8}
+        return sorted(found), max(found.values(), default=0.0)
+    long = row(f"{phrase} " * 12)  # every alignment of the long text occurs in this one
+    want = [(1, *long), (2, *long), (2, *long), (3, *row(phrase)), (4, [], 0.0), (None, *long)]
+    assert got == ordered(want)
