@@ -17,8 +17,9 @@ from racelake.llm.queries import tokenizer_path
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the default policy keeps, columns unchanged."""
-    rows = rules.with_ledger(docs, name="__ledger")
-    return rows.filter(rules.keeps(F.col("__ledger.failed"))).drop("__ledger")
+    name, = _free_names(docs, 1)
+    rows = rules.with_ledger(docs, name=name)
+    return rows.filter(rules.keeps(F.col(name)["failed"])).drop(name)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,14 +29,17 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     first = groups.groupBy("group_fp").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("text_hash").alias("t"))).alias("m"))
     keys = first.select(F.col("m.i").alias("doc_id"), F.col("m.t").alias("text_hash"))
-    return _with_key(docs).join(_key(keys), KEY, "left_semi").dropDuplicates(KEY).drop(*KEY)
+    names = _free_names(docs, 2)
+    return (_with_key(docs, names).join(_key(keys, names), names, "left_semi")
+            .dropDuplicates(names).drop(*names))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontam.contamination(docs, bench).filter("contaminated")
-    return _with_key(docs).join(_key(found).distinct(), KEY, "left_anti").drop(*KEY)
+    names = _free_names(docs, 2)
+    return _with_key(docs, names).join(_key(found, names).distinct(), names, "left_anti").drop(*names)
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,18 +56,24 @@ def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return bpe.digest(docs, tokenizer_path())
 
 
-KEY = ["__id", "__text_hash"]  # names a document; rows that share it are equal in id and text
+def _free_names(docs: DataFrame, n: int) -> list[str]:
+    """Column names that ``docs`` does not have, in any case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    free = (f"stage_column_{i}" for i in range(n + len(taken)))
+    return [c for c in free if c not in taken][:n]
 
 
-def _with_key(docs: DataFrame) -> DataFrame:
+def _with_key(docs: DataFrame, names: list[str]) -> DataFrame:
+    """``docs`` with two columns that name a document: rows that share both
+    are equal in id and text."""
     return docs.withColumns({
-        "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-        "__text_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
+        names[0]: F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+        names[1]: F.xxhash64(F.coalesce("text", F.lit("")))})
 
 
-def _key(rows: DataFrame) -> DataFrame:
-    return rows.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"),
-                       F.col("text_hash").alias("__text_hash"))
+def _key(rows: DataFrame, names: list[str]) -> DataFrame:
+    return rows.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(names[0]),
+                       F.col("text_hash").alias(names[1]))
 
 
 STAGES = [
