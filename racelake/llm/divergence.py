@@ -35,7 +35,7 @@ from racelake.session import scratch_path
 MIN_DOCS = 10
 MAX_VOCABULARY = 2**31 - 1
 TOP_TERMS = 10
-PART_TERMS = 2_000_000  # distinct terms (about 0.1 KB each on the driver) in one fit
+PART_TERMS = 4_000_000  # distinct terms in one fit; the driver holds those it keeps (about 0.1 KB each)
 # A group of the pair evaluation: terms of one block against two tiles of
 # sources, as two integer matrices of TILE x BLOCK.
 BLOCK = 4096
@@ -78,9 +78,10 @@ _VALUE = mix(np.arange(1, 257, dtype=np.uint64))
 ONE_IN = 64
 
 
-def _cut(data: np.ndarray, bounds: np.ndarray):
+def _cut(data: np.ndarray, bounds: np.ndarray, hashed: bool):
     """Terms of the documents ``data[bounds[i]:bounds[i + 1]]``: their bytes
-    end to end, where each begins there, its length, its document, its hash."""
+    end to end, where each begins there, its length, its document, and its
+    hash (None unless asked for)."""
     low = _FOLD[data]
     black = low != 0
     first = black.copy()
@@ -91,22 +92,25 @@ def _cut(data: np.ndarray, bounds: np.ndarray):
     letters = low[black]
     begin = (np.cumsum(black) - 1)[at]
     length = np.diff(np.r_[begin, len(letters)])
+    doc = np.searchsorted(bounds, at, "right") - 1
+    if not hashed:
+        return letters, begin, length, doc, None
     up, down = powers(len(letters))
     sums = np.add.reduceat(_VALUE[letters] * up, begin) * down[begin] if len(begin) else np.empty(0, np.uint64)
-    return letters, begin, length, np.searchsorted(bounds, at, "right") - 1, mix(sums)
+    return letters, begin, length, doc, mix(sums)
 
 
-def _steps(batches):
+def _steps(batches, hashed: bool):
     for batch, data, bounds in text_chunks(batches):
         for lo, hi in doc_steps(bounds, STEP_BYTES):
-            yield batch.slice(lo, hi - lo), _cut(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo])
+            yield batch.slice(lo, hi - lo), _cut(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo], hashed)
 
 
 def _distinct_terms(named: DataFrame) -> int:
     """About how many distinct terms there are (per language, summed): the
     number of hashes below a fixed bound, scaled up."""
     def run(batches):
-        for batch, (_, _, _, doc, h) in _steps(batches):
+        for batch, (_, _, _, doc, h) in _steps(batches, True):
             lang = batch.column(0).dictionary_encode()
             salt = mix(np.array([zlib.crc32(x.as_py().encode()) for x in lang.dictionary], np.uint64))
             h = mix(h ^ salt[lang.indices.to_numpy()][doc])
@@ -119,7 +123,7 @@ def _terms(named: DataFrame, n: int) -> DataFrame:
     terms dealt by hash over ``n`` parts, each term with its language behind
     it, so that one vocabulary holds all languages apart."""
     def run(batches):
-        for batch, (letters, begin, length, doc, h) in _steps(batches):
+        for batch, (letters, begin, length, doc, h) in _steps(batches, n > 1):
             rows = batch.num_rows
             row = doc
             if n > 1:
@@ -156,7 +160,8 @@ def _parts(named: DataFrame) -> list[DataFrame]:
     spark = named.sparkSession
     n = max(1, math.ceil(_distinct_terms(named) / PART_TERMS))
     folder = scratch_path(spark, "divergence-terms")
-    _terms(named, n).write.partitionBy("part").parquet(folder)
+    # Most terms are rare: a dictionary is tried in vain for every page.
+    _terms(named, n).write.option("parquet.enable.dictionary", "false").partitionBy("part").parquet(folder)
     held = spark.read.schema("lang string, source string, terms array<string>, part int").parquet(folder)
     return [held.filter(F.col("part") == i).drop("part") for i in range(n)]
 
