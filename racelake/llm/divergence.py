@@ -35,7 +35,7 @@ from racelake.session import scratch_path
 MIN_DOCS = 10
 MAX_VOCABULARY = 2**31 - 1
 TOP_TERMS = 10
-PART_TERMS = 4_000_000  # distinct terms in one fit; the driver holds those it keeps (about 0.1 KB each)
+PART_TERMS = 2_000_000  # distinct terms in one fit; the driver holds those it keeps (about 0.1 KB each)
 # A group of the pair evaluation: terms of one block against two tiles of
 # sources, as two integer matrices of TILE x BLOCK.
 BLOCK = 4096
@@ -160,8 +160,7 @@ def _parts(named: DataFrame) -> list[DataFrame]:
     spark = named.sparkSession
     n = max(1, math.ceil(_distinct_terms(named) / PART_TERMS))
     folder = scratch_path(spark, "divergence-terms")
-    # Most terms are rare: a dictionary is tried in vain for every page.
-    _terms(named, n).write.option("parquet.enable.dictionary", "false").partitionBy("part").parquet(folder)
+    _terms(named, n).write.partitionBy("part").parquet(folder)
     held = spark.read.schema("lang string, source string, terms array<string>, part int").parquet(folder)
     return [held.filter(F.col("part") == i).drop("part") for i in range(n)]
 
