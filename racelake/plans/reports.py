@@ -233,16 +233,13 @@ def distinct_clubs(fact: DataFrame) -> DataFrame:
 
 def kpis(overview: DataFrame) -> DataFrame:
     """Counts of results, athletes, events and countries. Athletes are
-    counted in bitmaps, in the pass that collapses the mart to its events
-    and countries; the two names are counted on what is left, so no row of
-    the mart is multiplied."""
-    names = ["event_name", "country_name"]
-    few = overview.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
-    per_name = few.select(F.explode(F.array(
-        F.struct(F.lit("event").alias("kind"), F.col("event_name").alias("name"), F.col("n")),
-        F.struct(F.lit("country").alias("kind"), F.col("country_name").alias("name"),
-                 F.lit(0).cast("bigint").alias("n")))).alias("x")).select("x.*")
-    counted = per_name.groupBy("kind", "name").agg(F.sum("n").alias("n")).agg(
+    counted in bitmaps and names as groups, each from a scan of its one
+    column, so no row of the mart is multiplied."""
+    per_name = (overview.groupBy(F.col("event_name").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+                .select(F.lit("event").alias("kind"), "name", "n")
+                .unionAll(overview.select("country_name").distinct().select(
+                    F.lit("country"), "country_name", F.lit(0).cast("bigint"))))
+    counted = per_name.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("num_results"),
         F.count_if((F.col("kind") == "event") & F.col("name").isNotNull()).alias("num_events"),
         F.count_if((F.col("kind") == "country") & F.col("name").isNotNull()).alias("num_countries"))
