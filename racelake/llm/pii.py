@@ -1,22 +1,31 @@
 """Personal data: fixed patterns, and a character-level BiLSTM with CRF.
 
 The patterns are exact and always stay. The network adds spans the patterns
-miss. It reads overlapping windows of characters: every kind it knows has a
-digit or an ``@``, so windows without either cannot hold a span and are not
-read. Each window is decoded on its own; globally, every character takes its
-tag from the window in which it lies most centrally. The network is trained
-in numpy from windows whose spans the patterns label.
+miss: values written out (``name at host dot org``), grouped in another way,
+or run together with the next value. It reads overlapping windows of
+characters: every kind it knows has a digit, an ``@`` or the word ``dot``, so
+windows without any of them cannot hold a span and are not read. Each window
+is decoded on its own; globally, every character takes its tag from the
+window in which it lies most centrally. The network is trained in numpy from
+labelled spans: those of the patterns, and values in other notations planted
+between the words of the same documents, beside numbers that are none.
+
+NULL and blank texts have no spans; a very long text is read in the windows
+round its marks only, in steps of bounded memory; rows that repeat get equal
+results, whatever their order; an empty table trains no network.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from racelake.llm.bpe import text_groups
@@ -31,12 +40,33 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _TRIGGER = re.compile(r"[0-9@]")
+_DOT = re.compile(r"dot(?![A-Za-z])")
+_WRITTEN = re.compile(r"\bat\b.*\bdot\b|\bat\b.*\.|@.*\bdot\b")
+_NUMBER = re.compile(r"[0-9]+")
+# Outside the patterns' spans, what may be a value in another notation.
+_DOUBT = re.compile(r"(?<![A-Za-z0-9])[0-9+(][0-9 ().+/-]{7,}[0-9](?![A-Za-z0-9])|@")
 
 WINDOW, STRIDE = 96, 48
-TRAIN_WINDOWS = 1_500  # at most; of the documents of least id hash
+TRAIN_WINDOWS = 1_500  # at most, labelled by the patterns; of the documents of least id hash
+PLANTED_WINDOWS = 3_000  # at most, with planted values; of the same documents
 TRAIN_DOCS = 4_000  # documents looked at for them, about
-EPOCHS, HIDDEN, EMBED = 14, 16, 12
-CONFIDENCE = 0.95  # least posterior of every character of an added span
+EPOCHS, HIDDEN, EMBED = 12, 24, 12
+CONFIDENCE = 0.8  # least posterior of every character of an added span
+
+# Notations that the patterns do not see (9: a digit, n: a name, h: a host,
+# t: a top-level domain), separators of card and address groups, and numbers
+# that are no personal data.
+NOTATIONS = {
+    "email": ("n at h dot t", "n [at] h [dot] t", "n(at)h(dot)t", "n @ h . t", "n @ h.t", "n@h",
+              "n@h dot t", "n at h dot t", "n (at) h dot t"),
+    "phone": ("999-999-9999", "(999) 999-9999", "999 999 9999", "999.999.9999", "0999 999 9999", "0999-9999999",
+              "00 99 999 999 9999", "9-999-999-9999", "99 9999 9999"),
+}
+CARD_MARKS = (".", "  ", " - ", "/", "_", ":", ", ", " . ", "--", " :")
+IP_MARKS = ("[.]", " . ", "(.)", " dot ", "[dot]", " .", " (.) ")
+OTHER_NUMBERS = ("9999-99-99", "99.99.9999", "99/99/9999", "99:99:99", "9999-99-99 99:99:99", "9.9", "9.9.9", "99,999.99",
+                 "99 999", "9 999 999", "#99999", "99999999", "99%", "99-99", "(99)", "9999-9999", "99.9.9", "999x999",
+                 "dot 9", "at 99:99", "9 dot 9", "the dot", "at the dot")
 
 
 def _emails(text: str):
@@ -84,7 +114,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 # Classes: one per mark that matters, digits, lower, upper, other letters,
 # space, line break, the rest, and 0 beside the text.
-_MARKS = "@.+-()_%/:,=\"'#"
+_MARKS = "@.+-()_%/:,=\"'#[]adot"  # the letters of the written-out marks have their own
 N_CLASSES = 7 + len(_MARKS)
 N_TAGS = 1 + 2 * len(KINDS)  # outside; first and further character of a kind
 
@@ -112,8 +142,10 @@ def classes(text: str) -> np.ndarray:
 
 def window_starts(text: str) -> np.ndarray:
     """Starts (multiples of STRIDE, from -STRIDE/2) of the windows whose own
-    middle, widened by a quarter each side, holds a digit or ``@``."""
-    hits = np.fromiter((m.start() for m in _TRIGGER.finditer(text)), np.int64)
+    middle, widened by a quarter each side, holds a digit, ``@`` or ``dot``."""
+    hits = [m.start() for m in _TRIGGER.finditer(text)]
+    hits += [m.start() for m in _DOT.finditer(text) if not text[m.start() - 1:m.start()].isalpha()]
+    hits = np.array(hits, np.int64)
     if not len(hits):
         return hits
     half = STRIDE // 2
@@ -141,11 +173,6 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _lse(x, axis):
-    m = x.max(axis=axis, keepdims=True)
-    return np.squeeze(m, axis) + np.log(np.exp(x - m).sum(axis=axis))
-
-
 @dataclass
 class Network:
     p: dict[str, np.ndarray]
@@ -191,37 +218,35 @@ class Network:
         return h @ self.p["out"] + self.p["bias"], (x, h, tf, tb)
 
     def posteriors(self, e: np.ndarray):
-        """CRF: log normaliser, tag marginals and pair marginals summed."""
-        move = self.p["move"]
-        t = len(e)
-        a, z = [e[0]], [None] * t
-        for k in range(1, t):
-            a.append(_lse(a[-1][:, :, None] + move, 1) + e[k])
-        z[t - 1] = np.zeros_like(e[0])
+        """CRF: log normaliser and tag marginals by forward and backward
+        sums, scaled at each place, and what pair marginals are made of."""
+        move, t = self.p["move"].astype(np.float64), len(e)
+        peak, top = e.max(axis=2, keepdims=True), move.max()
+        m, x = np.exp(move - top), np.exp((e - peak).astype(np.float64))
+        a, z, scale = np.empty_like(x), np.empty_like(x), np.empty(x.shape[:2])
+        for k in range(t):
+            now = (a[k - 1] @ m) * x[k] if k else x[0]
+            scale[k] = now.sum(1)
+            a[k] = now / scale[k][:, None]
+        z[t - 1] = 1
         for k in range(t - 2, -1, -1):
-            z[k] = _lse(move + (e[k + 1] + z[k + 1])[:, None, :], 2)
-        total = _lse(a[-1], 1)
-        marg = np.exp(np.stack(a) + np.stack(z) - total[None, :, None])
-        return total, marg, (a, z)
+            z[k] = (x[k + 1] * z[k + 1]) @ m.T / scale[k + 1][:, None]
+        total = np.log(scale).sum(0) + peak[:, :, 0].sum(0) + (t - 1) * top
+        return total, a * z, (a[:-1], m, x[1:] * z[1:] / scale[1:, :, None])
 
     def loss_and_gradient(self, windows: np.ndarray, tags: np.ndarray):
         p, H = self.p, HIDDEN
         e, (x, h, tf, tb) = self.emissions(windows, keep=True)
         e = e.astype(np.float64)
-        total, marg, (a, z) = self.posteriors(e)
+        total, marg, (before, m, after) = self.posteriors(e)
         t, b, _ = e.shape
         y = tags.T
-        rows = np.arange(b)
-        gold = sum(e[k, rows, y[k]] for k in range(t)) + sum(p["move"][y[k - 1], y[k]] for k in range(1, t))
+        gold = np.take_along_axis(e, y[:, :, None], 2).sum((0, 2)) + p["move"][y[:-1], y[1:]].sum(0)
         loss = float((total - gold).sum()) / b
         de = marg.copy()
-        for k in range(t):
-            de[k, rows, y[k]] -= 1
-        dmove = np.zeros((N_TAGS, N_TAGS))
-        for k in range(1, t):
-            joint = a[k - 1][:, :, None] + p["move"] + (e[k] + z[k])[:, None, :] - total[:, None, None]
-            dmove += np.exp(joint).sum(0)
-            np.add.at(dmove, (y[k - 1], y[k]), -1)
+        np.put_along_axis(de, y[:, :, None], np.take_along_axis(de, y[:, :, None], 2) - 1, 2)
+        dmove = m * (before.reshape(-1, N_TAGS).T @ after.reshape(-1, N_TAGS))
+        np.add.at(dmove, (y[:-1], y[1:]), -1)
         de = (de / b).astype(np.float32)
         g = {"move": (dmove / b).astype(np.float32), "bias": de.sum((0, 1)),
              "out": h.reshape(-1, 2 * H).T @ de.reshape(-1, N_TAGS)}
@@ -245,7 +270,7 @@ class Network:
         np.add.at(g["embed"], windows.T.ravel(), dx.reshape(-1, EMBED))
         return loss, g
 
-    def fit(self, windows: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS, batch: int = 48,
+    def fit(self, windows: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS, batch: int = 64,
             rate: float = 0.02, seed: int = 7) -> list[float]:
         """Adam over shuffled batches; mean loss per epoch."""
         r = np.random.default_rng(seed)
@@ -290,17 +315,21 @@ class Network:
 
 
 def _plausible(kind: int, text: str) -> bool:
-    digits = [c for c in text if "0" <= c <= "9"]
-    return ("@" in text[1:-1] if kind == 0 else text.count(".") == 3 and len(digits) >= 4 if kind == 1
-            else 13 <= len(digits) <= 19 and _luhn("".join(digits)) if kind == 2 else 9 <= len(digits) <= 15)
+    if kind == 0:
+        return "@" in text[1:-1] or bool(_WRITTEN.search(text))
+    numbers = _NUMBER.findall(text)
+    digits = "".join(numbers)
+    if kind == 1:
+        return len(numbers) == 4 and all(len(x) <= 3 and int(x) <= 255 for x in numbers)
+    return 13 <= len(digits) <= 19 and _luhn(digits) if kind == 2 else 9 <= len(digits) <= 15
 
 
-def find_spans(texts: list[str], net: Network | None) -> list[list[tuple[int, int, int]]]:
+def find_spans(texts: list[str], net: Network | None, base: list | None = None) -> list[list[tuple[int, int, int]]]:
     """All spans (kind, start, end) per text, by kind and start: the fixed
-    ones, and the network's that overlap none of them (nor each other). Where
-    a tagged span runs over the edge of what is read, the next cell is read
-    too."""
-    out = [base_spans(t) for t in texts]
+    ones (``base``, if known already), and the network's that overlap none of
+    them (nor each other). Where a tagged span runs over the edge of what is
+    read, the next cell is read too."""
+    out = [base_spans(t) for t in texts] if base is None else list(base)
     if net is None:
         return out
     starts = [window_starts(t) for t in texts]
@@ -359,30 +388,129 @@ def _merge(text, base, place, tags, sure):
     return sorted([*base, *added])
 
 
+# --- labelled spans beyond the patterns ---------------------------------------------
+
+def _digits(r: random.Random, shape: str) -> str:
+    return "".join(str(r.randrange(10)) if c == "9" else c for c in shape)
+
+
+def _card(r: random.Random, mark: str) -> str:
+    d = _digits(r, "9" * 15)
+    d += next(c for c in "0123456789" if _luhn(d + c))
+    return mark.join(d[i:i + 4] for i in range(0, 16, 4))
+
+
+def _email(r: random.Random, notation: str, words: list[str]) -> str:
+    def name():
+        w = r.choice(words) if words and r.random() < 0.5 else "".join(
+            r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 10)))
+        return w + (_digits(r, "9" * r.randint(1, 3)) if r.random() < 0.2 else "")
+    person = name() + (r.choice("._-") + name() if r.random() < 0.4 else "")
+    parts = {"n": person, "h": name(), "t": r.choice(("com", "org", "net", "de", "io", "example", "co", "edu"))}
+    return re.sub(r"\b[nht]\b", lambda m: parts[m[0]], notation)
+
+
+def planted(r: random.Random, words: list[str], notations: dict[str, tuple[str, ...]] = NOTATIONS,
+            card_marks=CARD_MARKS, ip_marks=IP_MARKS) -> list[tuple[int | None, str]]:
+    """(kind or None, text) of one to two values that stand together."""
+    case = r.randrange(7)
+    if case == 0:
+        return [(0, _email(r, r.choice(notations["email"]), words))]
+    if case == 1:
+        return [(1, r.choice(ip_marks).join(str(r.randrange(256)) for _ in range(4)))]
+    if case == 2:
+        return [(2, _card(r, r.choice(card_marks)))]
+    if case == 3:
+        return [(3, _digits(r, r.choice(notations["phone"])))]
+    if case == 4:  # run together: too many digits for either pattern
+        first = (3, _digits(r, "+9 (999) 999-9999")) if r.random() < 0.5 else (2, _card(r, r.choice(("", " ", "-"))))
+        return [first, (2, _card(r, r.choice(("", " "))))]
+    if case == 5:
+        return [(None, _digits(r, r.choice(OTHER_NUMBERS)))]
+    return [(None, "".join(r.choice("0123456789abcdef") for _ in range(r.randint(12, 48))))]
+
+
+def plant(text: str, r: random.Random, **kinds) -> tuple[str, list[tuple[int, int, int]], int, int]:
+    """``text`` with values put between two of its words: the new text, the
+    spans planted, and where the planted part starts and ends."""
+    gaps = [m.start() for m in re.finditer(" ", text)]
+    at = r.choice([0, len(text), *gaps]) if len(gaps) < 3 else r.choice(gaps)
+    words = [w for w in re.findall(r"[a-z]{2,10}(?![^ ])", text[max(0, at - 300):at + 300])]
+    lead = " " + r.choice(("", "", "", "to ", "tel: ", "via ", "call "))
+    new, spans = text[:at] + lead, []
+    for kind, value in planted(r, words, **kinds):
+        if spans:
+            new += " "
+        if kind is not None:
+            spans.append((kind, len(new), len(new) + len(value)))
+        new += value
+    end = len(new)
+    new += r.choice(("", "", "", ".", ",", ")", "\n"))
+    rest = text[at:]
+    return new + (rest if not rest or rest[0] == " " else " " + rest), spans, at, end
+
+
+def _labelled(text: str, spans, starts: np.ndarray) -> set[tuple[bytes, bytes]]:
+    if not len(starts):
+        return set()
+    x, y = classes(text).astype(np.int8), tags_of(len(text), spans)
+    return {(a.tobytes(), t.tobytes()) for a, t in zip(_cut(x, starts), _cut(y, starts))}
+
+
+def pattern_windows(text: str) -> set[tuple[bytes, bytes]]:
+    """Windows (classes, tags) labelled by the patterns, but for those with
+    text that may be a value in another notation."""
+    starts, base = window_starts(text), base_spans(text)
+    for m in _DOUBT.finditer(text) if len(starts) else ():
+        if not any(s < m.end() and m.start() < e for _, s, e in base):
+            starts = starts[(starts >= m.end()) | (starts + WINDOW <= m.start())]
+    return _labelled(text, base, starts)
+
+
+def planted_windows(text: str, times: int) -> set[tuple[bytes, bytes]]:
+    """Windows with values planted ``times`` times, each in the text as it
+    is; the same ones for the same text."""
+    r, out = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass"))), set()
+    for _ in range(times):
+        new, spans, at, end = plant(text, r)
+        lo = max(0, at - 4 * WINDOW)  # only this neighbourhood is labelled and cut
+        part = new[lo:end + 4 * WINDOW]
+        spans = [(k, s - lo, e - lo) for k, s, e in spans]
+        spans += [(k, s, e) for k, s, e in base_spans(part) if not any(a < e and s < b for _, a, b in spans)]
+        starts = window_starts(part)
+        out |= _labelled(part, spans, starts[(starts < end - lo) & (starts + WINDOW > at - lo)])
+    return out
+
+
 # --- on Spark -----------------------------------------------------------------------
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          windows: int = TRAIN_WINDOWS, look_at: int = TRAIN_DOCS) -> Network | None:
-    """A network trained on at most ``windows`` windows (the bounded sample):
-    those around digits and ``@`` in about ``look_at`` documents chosen by id
-    hash, labelled by the fixed patterns, with and without spans. None if
-    there are no such windows."""
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windows: int = TRAIN_WINDOWS,
+          planted: int = PLANTED_WINDOWS, look_at: int = TRAIN_DOCS) -> Network | None:
+    """A network trained on a bounded sample: at most ``windows`` windows
+    labelled by the fixed patterns and at most ``planted`` windows with
+    planted values, of about ``look_at`` documents chosen by id hash. None
+    if there are no such windows."""
     d = id_and_text(docs, id_col, text_col)
-    every = max(1, d.count() // look_at)
+    n = d.count()
+    every = max(1, n // look_at)
+    times = -(-planted * every // max(1, n))
     some = d.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
 
     def cut(batches):
         for b in batches:
             rows = set()
             for text in b.column(1).to_pylist():
-                starts = window_starts(text)
-                if len(starts):
-                    x, y = classes(text).astype(np.int8), tags_of(len(text), base_spans(text))
-                    rows |= {(a.tobytes(), t.tobytes()) for a, t in zip(_cut(x, starts), _cut(y, starts))}
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
-                                              pa.array([r[1] for r in rows], pa.binary())], ["x", "y"])
-    rows = (some.mapInArrow(cut, "x binary, y binary").distinct()
-            .orderBy(F.xxhash64("x", "y"), "x", "y").limit(windows).collect())
+                rows |= {(False, *w) for w in pattern_windows(text)}
+                if text.strip():
+                    rows |= {(True, *w) for w in planted_windows(text, times)}
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.bool_()),
+                                              pa.array([r[1] for r in rows], pa.binary()),
+                                              pa.array([r[2] for r in rows], pa.binary())], ["planted", "x", "y"])
+    found = some.mapInArrow(cut, "planted boolean, x binary, y binary").distinct()
+    most = F.when(F.col("planted"), planted).otherwise(windows)
+    order = Window.partitionBy("planted").orderBy(F.xxhash64("x", "y"), "x", "y")
+    rows = (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
+            .orderBy("planted", "rank").select("x", "y").collect())
     if not rows:
         return None
     x = np.stack([np.frombuffer(r[0], np.int8) for r in rows]).astype(np.int64)
@@ -411,8 +539,9 @@ def detect(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_co
             texts = b.column(1).to_pylist()
             for lo, hi in text_groups(texts):
                 part = texts[lo:hi]
-                spans = find_spans(part, held.value)
-                base = [hashlib.sha256(_join(base_spans(t)).encode()).hexdigest() for t in part]
+                fixed = [base_spans(t) for t in part]
+                spans = find_spans(part, held.value, fixed)
+                base = [hashlib.sha256(_join(x).encode()).hexdigest() for x in fixed]
                 counts = [[sum(k == kind for k, _, _ in s) for s in spans] for kind in range(len(KINDS))]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), *(pa.array(c, pa.int64()) for c in counts),
