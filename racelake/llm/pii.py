@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from racelake.llm.bpe import text_groups
@@ -496,21 +496,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     times = -(-planted * every // max(1, n))
     some = d.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
 
-    def cut(batches):
-        for b in batches:
-            rows = set()
-            for text in b.column(1).to_pylist():
-                rows |= {(False, *w) for w in pattern_windows(text)}
-                if text.strip():
-                    rows |= {(True, *w) for w in planted_windows(text, times)}
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.bool_()),
-                                              pa.array([r[1] for r in rows], pa.binary()),
-                                              pa.array([r[2] for r in rows], pa.binary())], ["planted", "x", "y"])
-    found = some.mapInArrow(cut, "planted boolean, x binary, y binary").distinct()
-    most = F.when(F.col("planted"), planted).otherwise(windows)
-    order = Window.partitionBy("planted").orderBy(F.xxhash64("x", "y"), "x", "y")
-    rows = (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
-            .orderBy("planted", "rank").select("x", "y").collect())
+    def cut(windows_of):
+        def run(batches):
+            for b in batches:
+                rows = set().union(*map(windows_of, b.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
+                                                  pa.array([r[1] for r in rows], pa.binary())], ["x", "y"])
+        return some.mapInArrow(run, "x binary, y binary").distinct().orderBy(F.xxhash64("x", "y"), "x", "y")
+    rows = cut(pattern_windows).limit(windows).collect()
+    rows += cut(lambda t: planted_windows(t, times) if t.strip() else set()).limit(planted).collect()
     if not rows:
         return None
     x = np.stack([np.frombuffer(r[0], np.int8) for r in rows]).astype(np.int64)
