@@ -1,13 +1,15 @@
 """Substring dedup by relative Lempel-Ziv parsing.
 
 The corpus is cut into reference blocks by content: the least hash of the
-k-grams inside a window (its anchor) names the block that indexes the window,
-so two equal windows always meet in one block. Inside a block the windows of
-every document are parsed greedily against the block's index: a factor is a
-run of windows whose successive index entries are successive places of one
-reference passage. A factor of one window or more is MIN_WORDS words or more
-long and repeats elsewhere; where a factor ends the next window is looked up
-anew, so a repeat that straddles two factors is found too.
+k-grams inside a window of MIN_WORDS words (its anchor) names the block that
+indexes the window, so two equal windows always meet in one block. A block
+indexes its passages (runs of consecutive windows of one document) by a
+suffix array whose letters are whole windows: a match of m letters is one of
+m + MIN_WORDS - 1 words. Every passage is parsed greedily against it: at a
+window the longest match with any other place of the block is the factor, a
+window without a match is a literal. The window after a factor begins inside
+the factor's last MIN_WORDS - 1 words, so these are carried over and repeats
+that straddle a factor boundary are looked up too.
 """
 
 from __future__ import annotations
@@ -118,33 +120,72 @@ def _windows(data, bounds, length, anchor_words):
     return counts, anchors[at], _window_hashes(words, length)[at], doc, at - first[doc]
 
 
-def _factorise(anchor, window, owner, place):
-    """Greedy factors of windows against the index of all windows here.
-
-    Arguments per window: anchor, hash, passage it lies in, its place in the
-    passage. Returns (first window, number of windows) of each factor of
-    repeated windows, as indices into the arguments."""
-    n = len(window)
-    if not n:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    # Stable, and windows come by passage and place: entries are in order.
+def _letters(anchor: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """A dense number from 1 for every distinct (window, anchor), int32."""
     order = np.argsort(window ^ mix(anchor), kind="stable")
     w, a = window[order], anchor[order]
-    same = (w[1:] == w[:-1]) & (a[1:] == a[:-1])
-    new = np.append(True, ~same)
-    group = np.cumsum(new) - 1
-    entry = np.empty(n, np.int64)
-    entry[order] = order[np.flatnonzero(new)[group]]  # the reference: its first occurrence
-    times = np.empty(n, np.int64)
-    times[order] = np.bincount(group)[group]
-    hit = times > 1
-    go_on = np.zeros(n, bool)  # the factor goes on at this window
-    go_on[1:] = (hit[1:] & hit[:-1] & (owner[1:] == owner[:-1]) & (place[1:] == place[:-1] + 1)
-                 & (entry[1:] == entry[:-1] + 1) & (owner[entry[1:]] == owner[entry[:-1]])
-                 & (place[entry[1:]] == place[entry[:-1]] + 1))
-    begin = np.flatnonzero(hit & ~go_on)
-    end = np.flatnonzero(hit & ~np.append(go_on[1:], False)) + 1
-    return begin, end - begin
+    out = np.empty(len(w), np.int32)
+    out[order] = np.cumsum(np.append(True, (w[1:] != w[:-1]) | (a[1:] != a[:-1]))[:len(w)])
+    return out
+
+
+def _suffix_ranks(letters: np.ndarray, left: np.ndarray):
+    """The suffix array of the passages and, per level k, the rank of the
+    first 2^k letters at every place (by prefix doubling). ``left``: letters
+    from a place to its passage's end; what lies beyond ranks 0."""
+    levels, order = [letters], np.argsort(letters, kind="stable")
+    classes, step, longest = int(letters.max()), 1, int(left.max())
+    while step < longest:
+        rank = levels[-1]
+        after = np.zeros(len(rank), np.int64)
+        inside = np.flatnonzero(left > step)
+        after[inside] = rank[inside + step]
+        key = rank.astype(np.int64) << 32 | after
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        rank = np.empty(len(key), np.int32)
+        rank[order] = np.cumsum(np.append(True, key[1:] != key[:-1]))
+        levels.append(rank)
+        if rank.max() == classes:  # no class was split: none ever will be
+            break
+        classes, step = int(rank.max()), step * 2
+    return order, levels
+
+
+def _match_lengths(letters: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Letters of the longest match of every place with any other place, from
+    the common prefixes of neighbours in the suffix array."""
+    order, levels = _suffix_ranks(letters, left)
+    i, j = order[:-1], order[1:]
+    most = np.minimum(left[i], left[j])
+    common = np.where(levels[-1][i] == levels[-1][j], most, 0)  # one rank at the top: equal to the end
+    for k in range(len(levels) - 2, -1, -1):
+        at = np.flatnonzero(common < most)
+        at = at[levels[k][i[at] + common[at]] == levels[k][j[at] + common[at]]]
+        common[at] = np.minimum(common[at] + (1 << k), most[at])
+    out = np.empty(len(letters), np.int64)
+    out[order] = np.maximum(np.append(0, common), np.append(common, 0))
+    return out
+
+
+def _factorise(letters: np.ndarray, head: np.ndarray, size: np.ndarray):
+    """Greedy parse of the passages (runs of ``size`` letters from ``head``)
+    against the index of all of them. Returns (first letter, number of
+    letters) of each factor; literals are left out."""
+    if not len(letters):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    end = np.repeat(head + size, size)
+    longest = _match_lengths(letters, end - np.arange(len(letters)))
+    hits = np.flatnonzero(longest)
+    # By hit: the first hit at or after the factor's end. A factor that ends
+    # its passage is followed by the next passage's first hit.
+    follow = np.searchsorted(hits, hits + longest[hits]).tolist()
+    taken, at = [], 0
+    while at < len(follow):
+        taken.append(at)
+        at = follow[at]
+    begin = hits[taken]
+    return begin, longest[begin]
 
 
 def _route(blocks: int, length: int, anchor_words: int, spread):
@@ -271,10 +312,11 @@ def _parse_block(length: int):
         owner = np.repeat(np.arange(len(size)), size)
         place = np.arange(len(window)) - head[owner]
         # A passage known to repeat stands for its other copies: listed twice.
-        twice = ranges(head[repeated > 0], size[repeated > 0])
-        a = anchor[owner]
-        begin, count = _factorise(np.append(a, a[twice]), np.append(window, window[twice]),
-                                  np.append(owner, owner[twice] + len(size)), np.append(place, place[twice]))
+        again = np.flatnonzero(repeated)
+        twice = ranges(head[again], size[again])
+        sizes = np.append(size, size[again])
+        letters = _letters(np.append(anchor[owner], anchor[owner][twice]), np.append(window, window[twice]))
+        begin, count = _factorise(letters, np.cumsum(sizes) - sizes, sizes)
         mine = begin < len(window)
         begin, count = begin[mine], count[mine]
         whose = owner[begin]

@@ -105,6 +105,48 @@ def test_substring_dedup_in_many_blocks(docs, monkeypatch):
     assert by_row(rlz.remove_duplicates(docs), "n_removed") == want
 
 
+def test_greedy_parse_against_the_index():
+    """Every factor is the longest match of its place with any other place,
+    and the parse goes on right behind it; passages end all matches."""
+    rng = np.random.default_rng(4)
+    for trial in range(300):
+        size = rng.integers(1, 12 if trial % 2 else 60, rng.integers(1, 7))
+        head = np.cumsum(size) - size
+        letters = rlz._letters(np.zeros(size.sum(), np.uint64), rng.integers(0, rng.integers(1, 9), size.sum(), dtype=np.uint64))
+        parts = [letters[a:a + n].tolist() for a, n in zip(head, size)]
+        want = []
+        for p, part in enumerate(parts):
+            at = 0
+            while at < len(part):
+                best = 0
+                for q, other in enumerate(parts):
+                    for o in range(len(other)):
+                        if (p, at) != (q, o):
+                            n = 0
+                            while at + n < len(part) and o + n < len(other) and part[at + n] == other[o + n]:
+                                n += 1
+                            best = max(best, n)
+                if best:
+                    want.append((head[p] + at, best))
+                at += best or 1
+        begin, count = rlz._factorise(letters, head, size)
+        assert list(zip(begin, count)) == want
+
+
+def test_substring_dedup_comes_from_the_parse(spark, monkeypatch):
+    """A text assembled from the ends of two others: the factor that begins in
+    one and the windows across the seam are told apart, and without matches
+    nothing is removed."""
+    w = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(w[:100])), (2, " ".join(w[100:])), (3, " ".join(w[60:140])), (4, " ".join(["so"] * 3000))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_removed, r.kept_text) for r in rlz.remove_duplicates(docs).collect()}
+    assert got == {1: (40, " ".join(w[:60])), 2: (40, " ".join(w[140:])), 3: (80, ""), 4: (3000, "")}
+    factors = [np.frombuffer(r.factors, rlz._FACTOR)["words"].tolist()
+               for r in rlz.duplicate_factors(docs).filter("doc_id = 4").collect()]
+    assert factors == [[2999, 35]]  # overlapping itself, then the last window
+
+
 def test_rules(case):
     rows, docs = case
     want = []
