@@ -1,14 +1,15 @@
 """License notices by conditional compression.
 
-A block of a document is compressed alone and again with each license
-template as a zstandard raw dictionary; the more bytes a template saves, the
-more of its wording the block shares. All templates with a tell-tale word in
-the block are tried in the order of their savings, and every place is
-confirmed by its exact differences in wording, whatever it saves.
+Candidates are the places of a document that hold enough of a template's
+words in order. Each is compressed alone and again with its template as a
+zstandard raw dictionary; the more bytes the template saves, the higher the
+candidate ranks. Where candidates overlap the first in rank wins, and winners
+are reported with their exact differences in wording. The saving ranks only:
+a candidate without a rival is found whatever it saves.
 
-Blocks are taken around the templates' tell-tale words. Those are chosen so
+Candidates are looked for around the templates' tell-tale words. Those are chosen so
 that a notice without any of them could not be confirmed, so no notice is
-lost by not compressing the rest of the text.
+lost by not looking at the rest of the text.
 """
 
 from __future__ import annotations
@@ -23,7 +24,29 @@ from pyspark.sql import DataFrame
 from racelake.llm.bpe import text_groups
 from racelake.llm.common import id_and_text
 
-# Usual wordings of license notices.
+# Usual wordings of license notices and full texts of short licenses.
+_BSD_OPENING = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+    "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions "
+    "in binary form must reproduce the above copyright notice, this list of conditions and the "
+    "following disclaimer in the documentation and/or other materials provided with the distribution. ")
+_BSD_WARRANTY = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR '
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+    "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+    "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_ISC_WARRANTY = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS '
+    "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+    "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+    "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+    "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE "
+    "OF THIS SOFTWARE.")
 TEMPLATES: dict[str, str] = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
@@ -45,6 +68,69 @@ TEMPLATES: dict[str, str] = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "all-rights-reserved": "All rights reserved.",
+    "GPL-2.0-or-later": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation; either version 2 "
+        "of the License, or (at your option) any later version."),
+    "LGPL-3.0-or-later": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version."),
+    "AGPL-3.0-or-later": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version."),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
+        "of the MPL was not distributed with this file, You can obtain one at"),
+    "CC0-1.0": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+        "neighboring rights to this software to the public domain worldwide. This software is "
+        "distributed without any warranty."),
+    "MIT-full": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+        'and associated documentation files (the "Software"), to deal in the Software without '
+        "restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+        "Software is furnished to do so, subject to the following conditions: The above copyright "
+        "notice and this permission notice shall be included in all copies or substantial portions of "
+        'the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR '
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+        "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE "
+        "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."),
+    "BSD-2-Clause-full": _BSD_OPENING + _BSD_WARRANTY,
+    "BSD-3-Clause-full": _BSD_OPENING + (
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written "
+        "permission. ") + _BSD_WARRANTY,
+    "ISC-full": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this permission "
+        "notice appear in all copies. ") + _ISC_WARRANTY,
+    "0BSD-full": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted. ") + _ISC_WARRANTY,
+    "Zlib-full": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will "
+        "the authors be held liable for any damages arising from the use of this software. Permission "
+        "is granted to anyone to use this software for any purpose, including commercial applications, "
+        "and to alter it and redistribute it freely, subject to the following restrictions: 1. The "
+        "origin of this software must not be misrepresented; you must not claim that you wrote the "
+        "original software. If you use this software in a product, an acknowledgment in the product "
+        "documentation would be appreciated but is not required. 2. Altered source versions must be "
+        "plainly marked as such, and must not be misrepresented as being the original software. 3. "
+        "This notice may not be removed or altered from any source distribution."),
+    "Unlicense-full": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to "
+        "copy, modify, publish, use, compile, sell, or distribute this software, either in source code "
+        "form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. "
+        "In jurisdictions that recognize copyright laws, the author or authors of this software "
+        "dedicate any and all copyright interest in the software to the public domain. We make this "
+        "dedication for the benefit of the public at large and to the detriment of our heirs and "
+        "successors. We intend this dedication to be an overt act of relinquishment in perpetuity of "
+        "all present and future rights to this software under copyright law."),
 }
 SHARE = 0.8  # of a template's words that must occur, in order
 LEVEL = 3
@@ -70,7 +156,7 @@ class Scanner:
         self.compress = [zstd.ZstdCompressor(level=LEVEL, dict_data=zstd.ZstdCompressionDict(
             " ".join(w).encode(), dict_type=raw), write_content_size=False) for w in self.words]
         self.plain = zstd.ZstdCompressor(level=LEVEL, write_content_size=False)
-        self.reach = int(max(map(len, self.words)) / share) + 1  # words of the longest place
+        self.reach = [int(len(w) / share) + 1 for w in self.words]  # words of the longest place
         # Per template its rarest words over all templates, until fewer than
         # ``share`` of the template's words are left over.
         often: dict[str, int] = {}
@@ -92,8 +178,9 @@ class Scanner:
 
     def blocks(self, text: str):
         """(first word, words, templates told of) around tell-tale words, wide
-        enough for any template to begin or end there; tell-tale words at most
-        4 apart share a block."""
+        enough for any template told of to begin or end there; tell-tale words
+        at most 4 apart share a block, those of one template at most an eighth
+        of its reach apart."""
         low = text.lower()
         if next(self.find.iter(low), None) is None:
             return
@@ -102,20 +189,22 @@ class Scanner:
         i = 0
         while i < len(hits):
             j = i
-            while j + 1 < len(hits) and hits[j + 1] - hits[j] <= 4:
+            while j + 1 < len(hits):
+                both = self.telling[tokens[hits[j]]] & self.telling[tokens[hits[j + 1]]]
+                if hits[j + 1] - hits[j] > max([4, *(self.reach[k] // 8 for k in both)]):
+                    break
                 j += 1
-            lo = max(0, hits[i] - self.reach)
-            yield lo, tokens[lo:hits[j] + self.reach + 1], set().union(*(self.telling[tokens[h]] for h in hits[i:j + 1]))
+            told = set().union(*(self.telling[tokens[h]] for h in hits[i:j + 1]))
+            reach = max(self.reach[k] for k in told)
+            lo = max(0, hits[i] - reach)
+            yield lo, tokens[lo:hits[j] + reach + 1], told
             i = j + 1
 
-    def savings(self, block: list[str], told) -> list[tuple[int, int]]:
-        """(bytes saved, template number) of the templates told of, most
-        first. They are an order only: compressor noise can make the saving
-        of an exact notice zero or negative."""
-        data = " ".join(block).encode()
-        alone = len(self.plain.compress(data))
-        saved = [(alone - len(self.compress[k].compress(data)), k) for k in told]
-        return sorted(saved, key=lambda x: (-x[0], x[1]))
+    def saved(self, part: list[str], k: int) -> int:
+        """Bytes that template k as dictionary saves on a candidate. Noise of
+        the compressor can make the saving of a short notice zero or less."""
+        data = " ".join(part).encode()
+        return len(self.plain.compress(data)) - len(self.compress[k].compress(data))
 
     def places(self, block: list[str], k: int) -> list[tuple[int, int]]:
         """(first word, end) of template k's places in a block. A place begins
@@ -190,42 +279,43 @@ class Scanner:
                 j += 1
 
     def scan(self, text: str) -> list[dict]:
-        """Confirmed notices of a text, by place; of overlapping ones the
-        longer wording, then the larger saving. Where a template's place gives
-        way to another's, what is left on its sides is searched again."""
+        """Notices of a text, by place. Of overlapping candidates the one that
+        its template saves most bytes of wins (then the longer, the earlier,
+        the first by name). Where a candidate gives way to another's, what is
+        left on its sides is searched again for its template."""
         out: list[dict] = []
         tokens: list[str] = []
-        regions = [(at, block, self.savings(block, told)) for at, block, told in self.blocks(text)]
+        regions = [(at, block, told) for at, block, told in self.blocks(text)]
         while regions:
             found = {}
-            for at, block, savings in regions:
-                for saved, k in savings:
+            for at, block, told in regions:
+                for k in told:
                     for a, b in self.places(block, k):
                         key = (at + a, at + b, k)
-                        if key not in found or saved > found[key]["saved"]:
-                            share, notes = self.compare(block[a:b], k)
-                            found[key] = {"license": self.names[k], "first": at + a, "end": at + b,
-                                          "saved": saved, "share": share, "differences": notes}
+                        if key not in found:
+                            found[key] = self.saved(block[a:b], k), block[a:b]
             starts, ends, lost = [x["first"] for x in out], [x["end"] for x in out], []
-            for (first, end, k), x in sorted(found.items(), key=lambda x: (
-                    -(x[1]["end"] - x[1]["first"]) * x[1]["share"], -x[1]["saved"], x[1]["first"], x[1]["license"])):
+            for first, end, k in sorted(found, key=lambda x: (-found[x][0], x[0] - x[1], x[0], self.names[x[2]])):
                 i = bisect_left(starts, end)  # so many taken places begin before this one's end
                 if i and ends[i - 1] > first:
-                    lost.append((first, end, k, x["saved"]))
+                    lost.append((first, end, k))
                     continue
+                saved, part = found[first, end, k]
+                share, notes = self.compare(part, k)
                 starts.insert(i, first)
                 ends.insert(i, end)
-                out.insert(i, x)
+                out.insert(i, {"license": self.names[k], "first": first, "end": end,
+                               "saved": saved, "share": share, "differences": notes})
             regions = []
-            for first, end, k, saved in lost:
+            for first, end, k in lost:
                 tokens = tokens or words(text)
                 i, j = bisect_right(ends, first), bisect_left(starts, end)  # taken places across it
                 borders = [ends[i - 1] if i else 0, *(x for t in range(i, j) for x in (starts[t], ends[t])),
                            starts[j] if j < len(starts) else len(tokens)]
                 for lo, hi in zip(borders[::2], borders[1::2]):
-                    lo, hi = max(lo, first - self.reach), min(hi, end + self.reach)
+                    lo, hi = max(lo, first - self.reach[k]), min(hi, end + self.reach[k])
                     if lo < hi:
-                        regions.append((lo, tokens[lo:hi], [(saved, k)]))
+                        regions.append((lo, tokens[lo:hi], [k]))
         return out
 
 

@@ -192,6 +192,36 @@ def test_licenses(spark):
     assert got[2][0].differences == ["replace:work>code"] and got[1][0].differences == []
 
 
+def test_full_texts_and_their_kin():
+    """Licenses that differ in a clause or a few words are told apart."""
+    s = licenses.Scanner()
+    assert len(s.names) >= 15 and max(map(len, s.words)) > 200
+    for name, text in licenses.TEMPLATES.items():
+        x, = s.scan("foo bar baz " * 20 + text.upper() + " qux quux" * 20)
+        assert (x["license"], x["share"], x["differences"]) == (name, 1.0, [])
+
+
+def test_ranking_by_compression_decides(monkeypatch):
+    """Two confirmed wordings overlap: the one that saves more bytes takes the
+    place, though the other one is longer."""
+    s = licenses.Scanner({
+        "long": "on it zz extraordinarily unmistakable circumstances notwithstanding yy of us in an",
+        "tight": "unconditionally extraordinarily unmistakable circumstances notwithstanding indemnification of"})
+    text = "on it unconditionally extraordinarily unmistakable circumstances notwithstanding indemnification of us in an"
+    assert [x["license"] for x in s.scan(text)] == ["tight"]
+    monkeypatch.setattr(s, "saved", lambda part, k: 0)
+    assert [x["license"] for x in s.scan(text)] == ["long"]
+
+
+def test_license_scan_edge_cases(spark):
+    """NULL ids, repeated rows, ties and extra columns named like the result."""
+    t = licenses.TEMPLATES["MIT"]
+    rows = [(None, t, "a", 1), (None, t, "a", 1), (2, None, None, None), (3, " \n ", "x", 2), (4, f"{t} {t}", "y", 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, notices string, n_notices int")
+    got = sorted(((r.doc_id or 0, r.n_notices) for r in licenses.scan(docs).collect()))
+    assert got == [(0, 1), (0, 1), (2, 0), (3, 0), (4, 2)]
+
+
 def test_no_license_notice_without_a_telling_word():
     s = licenses.Scanner()
     for words in s.words:
@@ -205,6 +235,8 @@ def test_repeated_notices(gap, filler):
     s = licenses.Scanner()
     for name, t in licenses.TEMPLATES.items():
         n = len(licenses.words(t))
+        if n > 100 and gap not in (0, 40):
+            continue
         got = s.scan(f" {' '.join([filler] * gap)} ".join([t] * 4))
         assert [(x["license"], x["first"], x["end"]) for x in got] == [
             (name, i * (n + gap), i * (n + gap) + n) for i in range(4)], (name, gap)
@@ -213,7 +245,8 @@ def test_repeated_notices(gap, filler):
 def test_notice_beside_a_longer_partial_run():
     s = licenses.Scanner()
     want = licenses.words(licenses.TEMPLATES["GPL-3.0-or-later"])
-    real = [f"new{i}" if i % 9 == 4 else w for i, w in enumerate(want)]  # no run over 8 words
+    # No run over 8 words; the version, which tells it from its kin, stays.
+    real = [f"new{i}" if i % 9 == 3 else w for i, w in enumerate(want)]
     for text in (want[:12] + ["and"] * 3 + real, real + ["and"] * 3 + want[:12]):
         got = s.scan(" ".join(text))
         assert [(x["license"], len(x["differences"])) for x in got] == [("GPL-3.0-or-later", 5)]
