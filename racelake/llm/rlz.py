@@ -360,7 +360,10 @@ def remove_duplicates(docs: DataFrame, length: int = MIN_WORDS, anchor_words: in
 
     NULL and blank texts have no words; documents shorter than ``length``
     keep all. Repeated rows are documents of their own and repeat each
-    other. The texts are shuffled once, to meet their factors."""
+    other. A very long text of one anchor is one passage, parsed in time
+    n log n: a million words repeating one phrase or another such text take
+    some seconds and 0.4 GB. The texts are shuffled once, to meet their
+    factors."""
     d = id_and_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
     found = (duplicate_factors(docs, length, anchor_words, id_col, text_col)
              .groupBy("doc_id", "th").agg(F.collect_list("factors").alias("factors")))

@@ -147,6 +147,14 @@ def test_substring_dedup_comes_from_the_parse(spark, monkeypatch):
     assert factors == [[2999, 35]]  # overlapping itself, then the last window
 
 
+def test_substring_dedup_of_long_repetitive_texts(spark):
+    phrase = [f"p{i}" for i in range(7)]
+    rows = [(1, " ".join((phrase * 30_000)[:200_000])), (2, " ".join(f"u{i}" for i in range(200_000)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in rlz.remove_duplicates(docs).collect()}
+    assert got == {1: (200_000, 200_000), 2: (200_000, 0)}
+
+
 def test_rules(case):
     rows, docs = case
     want = []
