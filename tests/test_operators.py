@@ -5,6 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from racelake.functions import race as R
 from racelake.functions import to_snake_case
 from racelake.operators import (clean_club_names, drop_null_rows, fill_unknown,
                                 filter_athlete_age, filter_athlete_speed,
@@ -15,8 +16,10 @@ from racelake.operators import (clean_club_names, drop_null_rows, fill_unknown,
                                 require_any_not_null, select_by_type,
                                 union_by_name, validate_performance_units)
 from racelake.operators.joins import semi_join_on_group_count
+from racelake.plans.context import Layers
 from racelake.plans.profile import distinct_counts
 from racelake.plans.reports import event_row
+from support import SF0001
 
 LEN = "event_distance/length"
 
@@ -196,3 +199,31 @@ def test_event_row_is_the_named_event(spark):
     events = spark.createDataFrame([(1, "e", 2001), (2, "f", 2002)], "event_id bigint, event_name string, event_year int")
     assert [tuple(r) for r in event_row(events, "f").collect()] == [("f", 2002)]
     assert event_row(events, "g").collect() == []
+
+
+def test_dates_equal_the_pattern_parse(spark):
+    """One-day texts take a short cut; it must read what the pattern reads."""
+    texts = ["21.04.2018", "31.04.2018", "30.04.2018", "29.02.2019", "29.02.2020", "00.01.2018", "01.00.2018",
+             "01.13.2018", "01.01.0000", "01.01.0001", "31.12.9999", "32.01.2018", "21.04.2018\n", " 21.04.2018",
+             "21.-22.04.2018", "2018-04-21", "2018-02-30", "21/04/2018", "21.04.18", "1.04.20180", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", R.event_start_date("t").cast("string").alias("start"), R.event_end_date("t").cast("string").alias("end"),
+        F.try_to_date(F.when(F.col("t").rlike(r"^\d{2}\.\d{2}\.\d{4}$") & (F.length("t") == 10), F.col("t")),
+                      "dd.MM.yyyy").cast("string").alias("plain"))
+    got = {r.t: r for r in rows.collect()}
+    for t in texts[:12]:
+        assert got[t].start == got[t].end == got[t].plain, t
+    assert got["21.04.2018"].start == got["2018-04-21"].start == "2018-04-21"
+    assert (got["21.-22.04.2018"].start, got["21.-22.04.2018"].end) == ("2018-04-21", "2018-04-22")
+    assert got["31.04.2018"].start is None and got["01.01.0000"].end == "0000-01-01"
+    assert got["21.04.2018\n"].end == "2018-04-21"
+    assert all(got[t].start is None for t in ("21/04/2018", "21.04.18", "", None))
+
+
+def test_feed_texts_are_made_and_matched_once(spark):
+    """The first filter stays above the mapping that makes the feed's texts,
+    and the time in a performance is matched by one expression."""
+    plan = Layers(spark, SF0001).silver._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert not [line for line in filters if "l_extendedprice" in line]
+    assert plan.count(R.HMS) == 1
