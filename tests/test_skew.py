@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from racelake.operators import generate_ids
-from racelake.plans.gold import Gold
+from racelake.plans.gold import Gold, with_events
 from racelake.session import scratch_path
 from racelake.sinks import write_layer
 
@@ -91,3 +91,25 @@ def test_skewed_join_is_split(spark, skewed_silver):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_event_is_not_sorted(spark, skewed_silver):
+    """A hot event's results stream past the hashed events: no task sorts
+    them, whatever their compressed size."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        root = scratch_path(spark, "t-skew-event")
+        g = Gold(skewed_silver, persist=lambda df, name: write_layer(df, f"{root}/{name}"))
+        joined = with_events(g.fact, g.dim_event)
+        plan = _final_plan(joined)
+        assert "ShuffledHashJoin" in plan and "Sort" not in plan, plan
+        assert joined.count() == N
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
