@@ -3,6 +3,7 @@
 import pytest
 
 from racelake.plans import context, registry
+from racelake.plans.colocated import BUCKETS
 from support import SF0001
 
 
@@ -25,3 +26,16 @@ def test_silver_table_reads_the_bronze_tables(spark, monkeypatch):
     with pytest.raises(Stop):
         registry.meta_list_schemas(spark, SF0001)
     assert len([p for p in plans if "l_extendedprice" in p]) == 1  # the feed is mapped once
+
+
+def test_colocated_star_has_the_library_buckets(spark, monkeypatch):
+    seen = []
+
+    def watched(fact, events, athletes, database, buckets=BUCKETS):
+        seen.append(buckets)
+        raise Stop
+
+    monkeypatch.setattr(registry, "write_colocated", watched)
+    with pytest.raises(Stop):
+        registry.mart_distance_colocated(spark, SF0001)
+    assert seen == [BUCKETS]
