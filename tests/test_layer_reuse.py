@@ -39,3 +39,28 @@ def test_colocated_star_has_the_library_buckets(spark, monkeypatch):
     with pytest.raises(Stop):
         registry.mart_distance_colocated(spark, SF0001)
     assert seen == [BUCKETS]
+
+
+def test_a_report_writes_only_what_it_reads(spark, monkeypatch):
+    """No copy of the fact, no star with every column of every result."""
+    written = {}
+    write = context.write_layer
+
+    def watched(df, path, **kw):
+        written[path.rsplit("/", 1)[-1].split("-")[0]] = df.columns
+        return write(df, path, **kw)
+
+    monkeypatch.setattr(context, "write_layer", watched)
+    registry.QUERIES["q3_events_by_year"](spark, SF0001)
+    assert not {"fct_results", "star_results"} & set(written)
+    assert written["mart_distance_event_year_event_name"] == ["event_year", "event_name"]
+    assert not [c for cols in written.values() for c in cols if c in context.PARSED_TEXTS]
+
+
+def test_marts_for_reports_hold_the_marts_rows(spark):
+    gold = context.Layers(spark, SF0001).gold
+    for kind, mart, reads in (("distance", gold.mart_distance(2, natural_keys=True), ["country_name", "performance_hours"]),
+                              ("time", gold.mart_time(2, natural_keys=True), ["age_category", "performance_km"]),
+                              ("overview", gold.mart_overview(natural_keys=True), ["event_name", "athlete_id"])):
+        want = sorted(map(str, mart.select(*reads).collect()))
+        assert want and sorted(map(str, gold.mart_for(kind, reads, 2).collect())) == want
