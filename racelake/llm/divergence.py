@@ -2,8 +2,10 @@
 
 Documents become exact sparse count vectors by CountVectorizer (minDF, the
 largest vocabSize there is), one vocabulary per language: a term is fitted
-with its language in front, so that one fit serves all languages. Vectors
-are summed per group (language and source), sums become integer shares in
+with its language behind it, so that one fit serves all languages. It is
+fitted on the distinct terms of every document. Vectors are summed per group
+(language and source): the terms of a chunk's documents are added up by group
+before they are transformed. Sums become integer shares in
 exact arithmetic, and groups are compared on the entries that are not zero:
 a pair of sources costs its blocks of terms, and what both lack is one
 product.
@@ -119,40 +121,83 @@ def _distinct_terms(named: DataFrame) -> int:
 
 
 def _terms(named: DataFrame, n: int) -> DataFrame:
-    """``lang``, ``source``, ``part``, ``terms`` (array): every document's
-    terms dealt by hash over ``n`` parts, each term with its language behind
-    it, so that one vocabulary holds all languages apart."""
+    """Terms dealt by hash over ``n`` parts, each with its language behind
+    it, so that one vocabulary holds all languages apart: ``lang``,
+    ``source``, ``weight``, ``part``, ``terms`` (array).
+
+    Rows of ``weight`` 0 are documents: the distinct terms of each, which is
+    what decides whether a term is in enough documents. Rows of other weights
+    add up, times the weight, to the vectors of a group's documents: the
+    counts of a chunk of documents are added up by group, and a term is in
+    the row of every power of two that its sum consists of."""
     def run(batches):
-        for batch, (letters, begin, length, doc, h) in _steps(batches, n > 1):
-            rows = batch.num_rows
-            row = doc
-            if n > 1:
-                row = (h % np.uint64(n)).astype(np.int64) * rows + doc
-                order = np.argsort(row, kind="stable")
-                row, begin, length = row[order], begin[order], length[order]
-                letters = letters[ranges(begin, length)]
-                begin = np.cumsum(length) - length
-            lang = batch.column(0).dictionary_encode()
-            code = lang.indices.to_numpy()[row % rows]
+        for chunk, data, bounds in text_chunks(batches):
+            cuts = [(lo, _cut(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo], False))
+                    for lo, hi in doc_steps(bounds, STEP_BYTES)]
+            letters = np.concatenate([c[0] for _, c in cuts])
+            length = np.concatenate([c[2] for _, c in cuts])
+            doc = np.concatenate([c[3] + lo for lo, c in cuts])
+            lang = chunk.column(0).dictionary_encode()
+            code = lang.indices.to_numpy()[doc]
             tails = [b"\x00" + x.as_py().encode() for x in lang.dictionary]
-            whole = length + np.array([len(t) for t in tails])[code]
-            ends = np.cumsum(whole)
-            out = np.empty(int(whole.sum()), np.uint8)
-            out[ranges(ends - whole, length)] = letters
-            for k, tail in enumerate(tails):
-                at = (ends - whole + length)[code == k]
-                for j, byte in enumerate(tail):
-                    out[at + j] = byte
-            terms = pa.StringArray.from_buffers(
-                len(ends), pa.py_buffer(np.r_[0, ends].astype(np.int32)), pa.py_buffer(out))
-            edges = np.searchsorted(row, np.arange(rows * n + 1))
-            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), terms)
-            take = np.tile(np.arange(rows), n)
-            made = pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(take)), batch.column(1).take(pa.array(take)),
-                 pa.array(np.repeat(np.arange(n, dtype=np.int32), rows)), lists], ["lang", "source", "part", "terms"])
-            yield made.filter(pa.array(np.diff(edges) > 0))
-    return named.mapInArrow(run, "lang string, source string, part int, terms array<string>")
+            words = _with_tails(letters, length, code, tails).dictionary_encode()
+            kinds, word = words.dictionary, words.indices.to_numpy().astype(np.int64)
+            part = _part_of(kinds, n)
+            width = max(1, len(kinds))
+            # Rows in the order of part and row, one per document.
+            rows = chunk.num_rows
+            row, item = np.divmod(np.unique((part[word] * rows + doc) * width + word), width)
+            yield _lists(chunk, row // rows, row % rows, np.zeros(len(row), np.int64), kinds.take(pa.array(item)))
+            # The group of a document is named by the first document it has.
+            seen, named_by, of = {}, [], np.empty(rows, np.int64)
+            for k, g in enumerate(zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist())):
+                if g not in seen:
+                    seen[g] = len(named_by)
+                    named_by.append(k)
+                of[k] = seen[g]
+            pair, count = np.unique(of[doc] * width + word, return_counts=True)
+            group, item = np.divmod(pair, width)
+            for bit in range(int(count.max()).bit_length() if len(count) else 0):
+                has = np.flatnonzero((count >> bit) & 1)
+                has = has[np.lexsort((item[has], group[has], part[item[has]]))]
+                yield _lists(chunk, part[item[has]], np.array(named_by)[group[has]],
+                             np.full(len(has), 1 << bit), kinds.take(pa.array(item[has])))
+    return named.mapInArrow(run, "lang string, source string, weight bigint, part int, terms array<string>")
+
+
+def _with_tails(letters: np.ndarray, length: np.ndarray, code: np.ndarray, tails: list[bytes]) -> pa.StringArray:
+    """The terms that lie end to end in ``letters``, each with its tail."""
+    whole = length + np.array([len(t) for t in tails], np.int64)[code]
+    ends = np.cumsum(whole)
+    out = np.empty(int(whole.sum()), np.uint8)
+    out[ranges(ends - whole, length)] = letters
+    for k, tail in enumerate(tails):
+        at = (ends - whole + length)[code == k]
+        for j, byte in enumerate(tail):
+            out[at + j] = byte
+    return pa.StringArray.from_buffers(len(ends), pa.py_buffer(np.r_[0, ends].astype(np.int32)), pa.py_buffer(out))
+
+
+def _part_of(kinds: pa.StringArray, n: int) -> np.ndarray:
+    """The vocabulary part of each term, by a hash of its bytes."""
+    if n == 1:
+        return np.zeros(len(kinds), np.int64)
+    return np.array([zlib.crc32(x.as_py().encode()) % n for x in kinds], np.int64)
+
+
+def _lists(chunk: pa.RecordBatch, part: np.ndarray, doc: np.ndarray, weight: np.ndarray,
+           terms: pa.StringArray) -> pa.RecordBatch:
+    """A row per run of entries of one part and document of the chunk, whose
+    language and source it takes; all entries have the same weight."""
+    new = np.ones(len(part), bool)
+    new[1:] = (part[1:] != part[:-1]) | (doc[1:] != doc[:-1])
+    at = np.flatnonzero(new)
+    take = pa.array(doc[at])
+    return pa.RecordBatch.from_arrays(
+        [chunk.column(0).take(take), chunk.column(1).take(take), pa.array(weight[at]),
+         pa.array(part[at].astype(np.int32)),
+         pa.ListArray.from_arrays(pa.array(np.r_[at, len(part)].astype(np.int32)), terms)],
+        ["lang", "source", "weight", "part", "terms"])
 
 
 def _parts(named: DataFrame) -> list[DataFrame]:
@@ -160,8 +205,10 @@ def _parts(named: DataFrame) -> list[DataFrame]:
     spark = named.sparkSession
     n = max(1, math.ceil(_distinct_terms(named) / PART_TERMS))
     folder = scratch_path(spark, "divergence-terms")
-    _terms(named, n).write.partitionBy("part").parquet(folder)
-    held = spark.read.schema("lang string, source string, terms array<string>, part int").parquet(folder)
+    rows = _terms(named, n).withColumn("kind", F.when(F.col("weight") == 0, "document").otherwise("group"))
+    rows.write.partitionBy("part", "kind").parquet(folder)
+    held = spark.read.schema("lang string, source string, weight bigint, terms array<string>, "
+                             "part int, kind string").parquet(folder)
     return [held.filter(F.col("part") == i).drop("part") for i in range(n)]
 
 
@@ -170,18 +217,19 @@ VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
 
 def _sums(part: DataFrame, number: int, min_docs: int) -> DataFrame:
     """``lang``, ``source``, ``term``, ``tid`` (unique number), ``n``: one
-    part's document vectors summed by group."""
+    part's document vectors summed by group. The vocabulary is fitted on the
+    documents; vectors are made of the groups' rows (see ``_terms``)."""
     spark = part.sparkSession
     model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(min_docs),
-                            vocabSize=MAX_VOCABULARY).fit(part)
+                            vocabSize=MAX_VOCABULARY).fit(part.filter("kind = 'document'"))
     saved = scratch_path(spark, "divergence-model")
     model.write().save(saved)
     vectors = scratch_path(spark, "divergence-vectors")
-    model.transform(part).select("lang", "source", "v").write.parquet(vectors)
+    model.transform(part.filter("kind = 'group'")).select("lang", "source", "weight", "v").write.parquet(vectors)
     # Read back as what a sparse vector is stored as.
-    entries = (spark.read.schema(f"lang string, source string, v {VECTOR}").parquet(vectors)
-               .select("lang", "source", "v.values", F.posexplode("v.indices").alias("k", "i"))
-               .select("lang", "source", "i", F.get("values", F.col("k")).cast("bigint").alias("n")))
+    entries = (spark.read.schema(f"lang string, source string, weight bigint, v {VECTOR}").parquet(vectors)
+               .select("lang", "source", "weight", "v.values", F.posexplode("v.indices").alias("k", "i"))
+               .select("lang", "source", "i", (F.get("values", F.col("k")).cast("bigint") * F.col("weight")).alias("n")))
     sums = entries.groupBy("lang", "source", "i").agg(F.sum("n").alias("n"))
     words = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("i", "t"))
     words = words.select("i", F.substring_index("t", "\x00", 1).alias("term"))

@@ -77,6 +77,31 @@ def test_divergence_equals_brute_force(spark, monkeypatch, part_terms, tile, blo
     got = sorted(tuple(r) for r in divergence.audit(docs, min_docs=5, top=4).collect())
     assert got == _audit(rows, 5, 4)
 
+def test_divergence_terms_add_up(spark):
+    """Document rows hold each distinct term once; group rows are fewer
+    entries than the terms and add up to every occurrence."""
+    rows = [("en", "a", "one two two Two"), ("en", "a", "two three"), ("en", "b", "two"), ("de", "a", "two two"),
+            ("en", "a", ""), ("en", "b", "é one")] * 3
+    named = divergence._named(spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1),
+                              "text", "lang", "source")
+    for n in (1, 3):
+        got = divergence._terms(named, n).collect()
+        docs, groups, want = Counter(), Counter(), Counter()
+        for r in got:
+            if r.weight == 0:
+                assert len(set(r.terms)) == len(r.terms)
+                docs.update(r.terms)
+            for t in r.terms:
+                groups[r.lang, r.source, t] += r.weight
+        in_docs = Counter()
+        for lang, source, text in rows:
+            terms = [t + "\x00" + lang for t in text.lower().split()]
+            in_docs.update(set(terms))
+            want.update((lang, source, t) for t in terms)
+        assert docs == in_docs and +groups == want
+        assert sum(len(r.terms) for r in got if r.weight) < sum(want.values())
+        assert len({(t, r.part) for r in got for t in r.terms}) == len(in_docs)  # a term is in one part
+
 
 def test_divergence_of_nothing(spark, empty):
     docs = spark.createDataFrame([], "lang string, source string, text string")
