@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from racelake.llm.common import id_and_text
+from racelake.llm.common import doc_steps, give_back, id_and_text, utf8
 
 # The byte-level pre-token pattern (fixed by the vocabulary); White_Space is
 # spelt out because the regex library's \s also takes \x1c-\x1f.
@@ -213,6 +213,10 @@ class Encoder:
         ids_of = self.known.__getitem__
         return [list(chain.from_iterable(map(ids_of, words))) for words in split]
 
+    def forget(self) -> None:
+        """Drops the encoded pre-tokens; the vocabulary stays."""
+        self.known, self.older = {}, {}
+
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.v.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -239,18 +243,35 @@ def text_groups(texts: list[str], size: int = 4 << 20):
         yield lo, len(texts)
 
 
+# Bytes of text that are split and encoded at a time.
+STEP_BYTES = 1 << 20
+
+
+def _encoded(batches, path: str):
+    """(ids of the documents, their token ids, the encoder) for runs of whole
+    documents. What a task has learnt goes with it: a worker outlives its
+    task, and would hold that memory while tasks of other kinds run."""
+    enc = encoder(path)
+    try:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            _, bounds = utf8(b.column(1))
+            for lo, hi in doc_steps(bounds, STEP_BYTES):
+                part = b.slice(lo, hi - lo)
+                yield part.column(0), enc.encode(part.column(1).to_pylist()), enc
+    finally:
+        enc.forget()
+        give_back()
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``ids`` (array<int>). ``path`` is the
     vocabulary file, present on every executor. NULL texts are empty and have
     no ids. No shuffle; recomputed tasks give the same rows."""
     def run(batches):
-        enc = encoder(path)
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in text_groups(texts):
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo),
-                     pa.array(enc.encode(texts[lo:hi]), pa.list_(pa.int32()))], ["doc_id", "ids"])
+        for doc_id, ids, _ in _encoded(batches, path):
+            yield pa.RecordBatch.from_arrays([doc_id, pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
@@ -271,17 +292,12 @@ def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     ``n_tokens``, ``ids_sha256`` (decimal ids joined by commas) and
     ``decoded_sha256`` (UTF-8 of the text decoded from those ids)."""
     def run(batches):
-        enc = encoder(path)
-        decimal = {i: str(i) for i in enc.v.bytes}
+        decimal = {i: str(i) for i in encoder(path).v.bytes}
         sha = hashlib.sha256
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in text_groups(texts):
-                rows = [(len(ids), sha(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest(),
-                         sha(enc.decode(ids).encode()).hexdigest())
-                        for ids in enc.encode(texts[lo:hi])]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), *(pa.array(c) for c in zip(*rows))],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for doc_id, encoded, enc in _encoded(batches, path):
+            rows = [(len(ids), sha(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest(),
+                     sha(enc.decode(ids).encode()).hexdigest()) for ids in encoded]
+            yield pa.RecordBatch.from_arrays([doc_id, *(pa.array(c) for c in zip(*rows))],
+                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return id_and_text(docs, id_col, text_col).mapInArrow(
         run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

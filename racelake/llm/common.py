@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -177,6 +179,16 @@ def utf8(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
+def give_back() -> None:
+    """Returns memory that the worker has freed to the system; called where a
+    task ends that held much of it."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; other C libraries have none
+        if trim is not None:
+            trim(0)
+
+
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Concatenated aranges: starts[i], starts[i]+1, ... counts[i] of each."""
     total = int(counts.sum())

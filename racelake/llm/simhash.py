@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from racelake.llm.common import doc_steps, id_and_text, ranges, stored, utf8
+from racelake.llm.common import doc_steps, give_back, id_and_text, ranges, stored, utf8
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -29,6 +29,7 @@ SEED = 42
 LEAF = 32
 FAN = 8
 SMALL_GROUP = 32
+PAIR_STEP = 1 << 13  # members of small groups compared at a time
 BUCKET_ROWS = 400_000
 GROUP_ROWS = 100_000  # larger groups are split
 MAX_BROADCAST_GROUPS = 1_000_000  # split groups, 12 bytes each
@@ -87,6 +88,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc
                 fps.append(majority_bits(flat, counts))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(np.concatenate(fps).view(np.int64))], ["doc_id", "th", "fp"])
+        give_back()
     return (id_and_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
             .mapInArrow(run, "doc_id bigint, th bigint, fp bigint"))
 
@@ -204,8 +206,8 @@ def bucket_links(key: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.nd
     # Each member against those after it in its group, all small groups at once.
     members = ranges(head[small], size[small])
     after = np.repeat(head[small] + size[small], size[small]) - members - 1
-    for lo in range(0, len(members), 1 << 16):
-        m, n = members[lo:lo + (1 << 16)], after[lo:lo + (1 << 16)]
+    for lo in range(0, len(members), PAIR_STEP):
+        m, n = members[lo:lo + PAIR_STEP], after[lo:lo + PAIR_STEP]
         i, j = np.repeat(m, n), ranges(m + 1, n)
         near = np.bitwise_count(fps[i] ^ fps[j]) <= max_bits
         label = _joined(label, node[i[near]], node[j[near]])
@@ -281,6 +283,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, shared: int | None = No
 
     def run(t: pd.DataFrame) -> pd.DataFrame:
         a, b = bucket_links(t["key"].to_numpy(), t["fp"].to_numpy().view(np.uint64), max_bits)
+        give_back()
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
     return rows.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(run, "a bigint, b bigint")
 

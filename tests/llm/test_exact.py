@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -269,6 +270,24 @@ def test_decontamination(spark, docs, rows):
     assert got == want
 
 
+def test_bpe_tasks_keep_no_words():
+    """What a task has learnt is dropped at its end, also when it is not read
+    to the end; its texts are taken in small steps."""
+    texts = ["some words " * 9, "", "other words, é"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], ["doc_id", "text"])
+    enc = bpe.encoder(tokenizer_path())
+    want = enc.encode(texts)
+    got = [x for ids, rows, _ in bpe._encoded(iter([batch.slice(1, 0), batch.slice(2), batch]), tokenizer_path())
+           for x in rows]
+    assert got == want[2:] + want
+    assert not enc.known and not enc.older
+    half = bpe._encoded(iter([batch, batch]), tokenizer_path())
+    next(half)
+    assert enc.known
+    half.close()
+    assert not enc.known and not enc.older
+
+
 def test_bpe_and_blocks(spark, case):
     from tokenizers import Tokenizer
 
