@@ -3,7 +3,8 @@
 Documents become exact sparse count vectors by CountVectorizer (minDF, the
 largest vocabSize there is), one vocabulary per language: a term is fitted
 with its language behind it, so that one fit serves all languages. It is
-fitted on the distinct terms of every document. Vectors are summed per group
+fitted on rows that have each term as often as a chunk's documents, or minDF
+times if that is less: that decides the same terms. Vectors are summed per group
 (language and source): the terms of a chunk's documents are added up by group
 before they are transformed. Sums become integer shares in
 exact arithmetic, and groups are compared on the entries that are not zero:
@@ -26,12 +27,14 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from racelake.llm.common import STEP_BYTES, doc_steps, mix, powers, ranges, ship_package, stored, text_chunks
+from racelake.llm.common import (STEP_BYTES, doc_steps, mix, powers, ranges, ship_package, stored, text_chunks,
+                                 utf8)
 from racelake.session import scratch_path
 
 MIN_DOCS = 10
@@ -120,13 +123,16 @@ def _distinct_terms(named: DataFrame) -> int:
     return ONE_IN * named.mapInArrow(run, "h bigint").distinct().count()
 
 
-def _terms(named: DataFrame, n: int) -> DataFrame:
+def _terms(named: DataFrame, n: int, most: int | None = None) -> DataFrame:
     """Terms dealt by hash over ``n`` parts, each with its language behind
     it, so that one vocabulary holds all languages apart: ``lang``,
     ``source``, ``weight``, ``part``, ``terms`` (array).
 
-    Rows of ``weight`` 0 are documents: the distinct terms of each, which is
-    what decides whether a term is in enough documents. Rows of other weights
+    Rows of ``weight`` 0 stand for a chunk's documents in what decides
+    whether a term is in enough of them: a term is in as many rows as it has
+    documents in the chunk, or in ``most`` if those are fewer (a sum of
+    chunks reaches ``most`` with them if and only if it does without).
+    Their language and source mean nothing. Rows of other weights
     add up, times the weight, to the vectors of a group's documents: the
     counts of a chunk of documents are added up by group, and a term is in
     the row of every power of two that its sum consists of."""
@@ -137,25 +143,36 @@ def _terms(named: DataFrame, n: int) -> DataFrame:
             letters = np.concatenate([c[0] for _, c in cuts])
             length = np.concatenate([c[2] for _, c in cuts])
             doc = np.concatenate([c[3] + lo for lo, c in cuts])
+            del cuts
+            words = pa.StringArray.from_buffers(
+                len(length), pa.py_buffer(np.r_[0, np.cumsum(length)].astype(np.int32)),
+                pa.py_buffer(letters)).dictionary_encode()
+            width = max(1, len(words.dictionary))
+            pair, count = np.unique(doc * width + words.indices.to_numpy(), return_counts=True)
+            doc, word = np.divmod(pair, width)
+            # From here on terms are words with their language.
             lang = chunk.column(0).dictionary_encode()
-            code = lang.indices.to_numpy()[doc]
-            tails = [b"\x00" + x.as_py().encode() for x in lang.dictionary]
-            words = _with_tails(letters, length, code, tails).dictionary_encode()
-            kinds, word = words.dictionary, words.indices.to_numpy().astype(np.int64)
+            langs = max(1, len(lang.dictionary))
+            key = word * langs + lang.indices.to_numpy()[doc]
+            named_term, docs = _added(key, np.ones(len(key), np.int64), width * langs)
+            term = np.searchsorted(named_term, key)
+            kinds = pc.binary_join_element_wise(words.dictionary.take(pa.array(named_term // langs)),
+                                                lang.dictionary.take(pa.array(named_term % langs)), "\x00")
             part = _part_of(kinds, n)
-            width = max(1, len(kinds))
-            # Rows in the order of part and row, one per document.
-            rows = chunk.num_rows
-            row, item = np.divmod(np.unique((part[word] * rows + doc) * width + word), width)
-            yield _lists(chunk, row // rows, row % rows, np.zeros(len(row), np.int64), kinds.take(pa.array(item)))
+            times = docs if most is None else np.minimum(docs, most)
+            item, row = np.repeat(np.arange(len(kinds)), times), ranges(np.zeros(len(times), np.int64), times)
+            order = np.lexsort((item, row, part[item]))
+            item, row = item[order], row[order]
+            yield _lists(chunk, part[item], row, np.zeros(len(row), np.int64), kinds.take(pa.array(item)))
             # The group of a document is named by the first document it has.
-            seen, named_by, of = {}, [], np.empty(rows, np.int64)
+            seen, named_by, of = {}, [], np.empty(chunk.num_rows, np.int64)
             for k, g in enumerate(zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist())):
                 if g not in seen:
                     seen[g] = len(named_by)
                     named_by.append(k)
                 of[k] = seen[g]
-            pair, count = np.unique(of[doc] * width + word, return_counts=True)
+            width = max(1, len(kinds))
+            pair, count = _added(of[doc] * width + term, count, len(named_by) * width)
             group, item = np.divmod(pair, width)
             for bit in range(int(count.max()).bit_length() if len(count) else 0):
                 has = np.flatnonzero((count >> bit) & 1)
@@ -165,24 +182,29 @@ def _terms(named: DataFrame, n: int) -> DataFrame:
     return named.mapInArrow(run, "lang string, source string, weight bigint, part int, terms array<string>")
 
 
-def _with_tails(letters: np.ndarray, length: np.ndarray, code: np.ndarray, tails: list[bytes]) -> pa.StringArray:
-    """The terms that lie end to end in ``letters``, each with its tail."""
-    whole = length + np.array([len(t) for t in tails], np.int64)[code]
-    ends = np.cumsum(whole)
-    out = np.empty(int(whole.sum()), np.uint8)
-    out[ranges(ends - whole, length)] = letters
-    for k, tail in enumerate(tails):
-        at = (ends - whole + length)[code == k]
-        for j, byte in enumerate(tail):
-            out[at + j] = byte
-    return pa.StringArray.from_buffers(len(ends), pa.py_buffer(np.r_[0, ends].astype(np.int32)), pa.py_buffer(out))
+# Keys below this are added up in a table of all of them, others by sorting.
+TABLE_KEYS = 1 << 22
+
+
+def _added(key: np.ndarray, amount: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys (below ``size``) in order, and the sum of the
+    positive amounts of each."""
+    if size <= TABLE_KEYS:
+        sums = np.bincount(key, amount, size)
+        keys = np.flatnonzero(sums)
+        return keys, sums[keys].astype(np.int64)
+    keys, at = np.unique(key, return_inverse=True)
+    return keys, np.bincount(at, amount, len(keys)).astype(np.int64)
 
 
 def _part_of(kinds: pa.StringArray, n: int) -> np.ndarray:
     """The vocabulary part of each term, by a hash of its bytes."""
-    if n == 1:
+    if n == 1 or not len(kinds):
         return np.zeros(len(kinds), np.int64)
-    return np.array([zlib.crc32(x.as_py().encode()) % n for x in kinds], np.int64)
+    data, bounds = utf8(kinds)  # no term is empty
+    up, down = powers(len(data))
+    begin = bounds[:-1]
+    return (mix(np.add.reduceat(_VALUE[data] * up, begin) * down[begin]) % np.uint64(n)).astype(np.int64)
 
 
 def _lists(chunk: pa.RecordBatch, part: np.ndarray, doc: np.ndarray, weight: np.ndarray,
@@ -200,12 +222,12 @@ def _lists(chunk: pa.RecordBatch, part: np.ndarray, doc: np.ndarray, weight: np.
         ["lang", "source", "weight", "part", "terms"])
 
 
-def _parts(named: DataFrame) -> list[DataFrame]:
+def _parts(named: DataFrame, min_docs: int) -> list[DataFrame]:
     """The documents' terms, written, in one or more parts of the vocabulary."""
     spark = named.sparkSession
     n = max(1, math.ceil(_distinct_terms(named) / PART_TERMS))
     folder = scratch_path(spark, "divergence-terms")
-    rows = _terms(named, n).withColumn("kind", F.when(F.col("weight") == 0, "document").otherwise("group"))
+    rows = _terms(named, n, max(1, min_docs)).withColumn("kind", F.when(F.col("weight") == 0, "document").otherwise("group"))
     rows.write.partitionBy("part", "kind").parquet(folder)
     held = spark.read.schema("lang string, source string, weight bigint, terms array<string>, "
                              "part int, kind string").parquet(folder)
@@ -218,7 +240,7 @@ VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
 def _sums(part: DataFrame, number: int, min_docs: int) -> DataFrame:
     """``lang``, ``source``, ``term``, ``tid`` (unique number), ``n``: one
     part's document vectors summed by group. The vocabulary is fitted on the
-    documents; vectors are made of the groups' rows (see ``_terms``)."""
+    documents' rows; vectors are made of the groups' rows (see ``_terms``)."""
     spark = part.sparkSession
     model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(min_docs),
                             vocabSize=MAX_VOCABULARY).fit(part.filter("kind = 'document'"))
@@ -256,7 +278,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     executor costs only what it held of a later step."""
     named = _named(docs, text_col, lang_col, source_col)
     sums = None
-    for number, part in enumerate(_parts(named)):
+    for number, part in enumerate(_parts(named, min_docs)):
         rows = _sums(part, number, min_docs)
         sums = rows if sums is None else sums.unionByName(rows)
     by_lang = Window.partitionBy("lang", "term")

@@ -103,6 +103,29 @@ def test_divergence_terms_add_up(spark):
         assert len({(t, r.part) for r in got for t in r.terms}) == len(in_docs)  # a term is in one part
 
 
+def test_divergence_fits_no_more_than_min_docs_of_a_chunk(spark):
+    """A term that many documents have is in ``most`` rows of a chunk, one
+    that few have in as many rows as documents; a mark that is not reached
+    by one chunk is reached by the sum of chunks."""
+    rows = [("en", "a", f"often often rare{i % 5}") for i in range(20)] + [("de", "a", "often")]
+    named = divergence._named(spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1),
+                              "text", "lang", "source")
+    for n in (1, 3):
+        docs = Counter(t for r in divergence._terms(named, n, 7).collect() if r.weight == 0 for t in r.terms)
+        assert docs == {"often\x00en": 7, "often\x00de": 1, "rare\x00en": 7}
+    one_by_one = spark.createDataFrame(rows, "lang string, source string, text string").repartition(9)
+    assert divergence.audit(one_by_one, min_docs=20).collect() == divergence.audit(
+        spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1), min_docs=20).collect()
+
+
+def test_sums_by_table_and_by_sorting_agree(monkeypatch):
+    key, amount = np.array([7, 2, 7, 0, 2]), np.array([1, 5, 3, 2, 1])
+    for most in (8, 0):
+        monkeypatch.setattr(divergence, "TABLE_KEYS", most)
+        keys, sums = divergence._added(key, amount, 8)
+        assert keys.tolist() == [0, 2, 7] and sums.tolist() == [2, 6, 4]
+
+
 def test_divergence_of_nothing(spark, empty):
     docs = spark.createDataFrame([], "lang string, source string, text string")
     assert divergence.audit(docs).collect() == []
