@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from racelake.llm.common import mix, ship_package, stored, text_bytes, text_chunks, word_hashes
+from racelake.llm.common import give_back, mix, ship_package, stored, text_bytes, text_chunks, word_hashes
 
 END, BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 MASS = 8.0  # M: context counts that weigh as much as the unigram
@@ -171,16 +171,18 @@ def mapped(raw: bytes):
 def _tokens(data, bounds):
     """Tokens of a chunk's documents: word, word before it, document."""
     words, counts = word_hashes(data, bounds, lower=True)
-    doc = np.repeat(np.arange(len(counts)), counts)
     n = len(words) + len(counts)
     w = np.empty(n, np.uint64)
     ends = np.cumsum(counts + 1) - 1
+    own = np.ones(n, bool)
+    own[ends] = False
+    w[own] = words
     w[ends] = END
-    w[np.arange(len(words)) + doc] = words
+    del words, own
     before = np.empty(n, np.uint64)
     before[1:] = w[:-1]
     before[ends - counts] = BEGIN
-    return w, before, np.repeat(np.arange(len(counts)), counts + 1)
+    return w, before, np.repeat(np.arange(len(counts), dtype=np.uint32), counts + 1)
 
 
 def _print32(u: np.ndarray) -> np.ndarray:
@@ -191,7 +193,36 @@ def _shard(w: np.ndarray, u: np.ndarray, common: np.ndarray, shards: int) -> np.
     """A word's pairs lie in one shard; those of common words are dealt to
     all shards by context."""
     key = np.where(np.isin(w, common), mix(w ^ (u * np.uint64(0x9E3779B97F4A7C15))), w)
-    return ((key >> np.uint64(33)).astype(np.int64) * shards) >> 31
+    return (((key >> np.uint64(33)).astype(np.int64) * shards) >> 31).astype(np.int32)
+
+
+def _freed(run):
+    """``run`` over a task's batches, returning at its end what it freed: a
+    worker outlives its task and would hold that memory beside later ones."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
+def _freed_group(run):
+    def wrapped(rows: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return run(rows)
+        finally:
+            give_back()
+    return wrapped
+
+
+def _freed_cogroup(run):
+    def wrapped(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return run(rows, others)
+        finally:
+            give_back()
+    return wrapped
 
 
 def _train_counts(batches):
@@ -213,8 +244,10 @@ def _train_pairs(shards: int, common):
                 continue
             w, u = w[mine], u[mine]
             shard, ctx = _shard(w, u, common.value[0], shards), _print32(u)
+            del u, doc, mine
             order = np.lexsort((ctx, w, shard))
             w, ctx, shard = w[order], ctx[order], shard[order]
+            del order
             new = np.append(True, (w[1:] != w[:-1]) | (ctx[1:] != ctx[:-1]) | (shard[1:] != shard[:-1]))
             at = np.flatnonzero(new)
             n = np.diff(np.append(at, len(w)))
@@ -279,6 +312,7 @@ def _build_shard(total: int, once: float, mass: float, common):
         del parts
         order = np.lexsort((ctx, w))
         w, ctx, n = w[order], ctx[order], n[order]
+        del order
         at = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (ctx[1:] != ctx[:-1])))
         w, ctx, n = w[at], ctx[at], np.add.reduceat(n.astype(np.int64), at)
         words, per = _grouped(w)
@@ -317,7 +351,7 @@ def train(docs: DataFrame, train_on, mass: float = MASS, id_col: str = "doc_id",
     unknown."""
     d = _fold(docs, train_on, id_col, text_col)
     shards = max(1, -(-text_bytes(d) // SHARD_TEXT_BYTES))
-    counts = stored(d.mapInArrow(_train_counts, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")), "words")
+    counts = stored(d.mapInArrow(_freed(_train_counts), "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")), "words")
     n, v, one, texts = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count("w"), F.count_if(F.col("n") == 1),
         F.coalesce(F.sum(F.when(F.col("w") == int(END.view(np.int64)), F.col("n"))), F.lit(0))).first()
@@ -328,9 +362,9 @@ def train(docs: DataFrame, train_on, mass: float = MASS, id_col: str = "doc_id",
         (spread[order], np.array([r["n"] for r in rows], np.int64)[order]))
     once = min(0.5, max(one, 1) / max(n, 1))
     tries = stored(
-        d.mapInArrow(_train_pairs(shards, common), "shard int, payload binary")
+        d.mapInArrow(_freed(_train_pairs(shards, common)), "shard int, payload binary")
         .repartition(shards, "shard").groupBy("shard")
-        .applyInPandas(_build_shard(n, once, mass, common), "shard int, trie binary"), "tries")
+        .applyInPandas(_freed_group(_build_shard(n, once, mass, common)), "shard int, trie binary"), "tries")
     return Model(tries, shards, n, v, texts, once, mass, common)
 
 
@@ -354,13 +388,15 @@ def _queries(shards: int, common):
             chunk = (part << 32) | seq
             w, u, doc = _tokens(data, bounds)
             shard, ctx = _shard(w, u, common.value[0], shards), _print32(u)
+            del u
             order = np.lexsort((doc, ctx, w, shard))
             w, ctx, shard, doc = w[order], ctx[order], shard[order], doc[order]
+            del order
             pair = np.append(True, (w[1:] != w[:-1]) | (ctx[1:] != ctx[:-1]) | (shard[1:] != shard[:-1]))
             hold = pair.copy()
             hold[1:] |= doc[1:] != doc[:-1]
             at = np.flatnonzero(hold)
-            times = np.diff(np.append(at, len(w)))
+            times = np.diff(np.append(at, len(w))).astype(np.uint32)
             w, ctx, shard, doc, pair = w[at], ctx[at], shard[at], doc[at], pair[at]
             out = []
             for s, lo, hi in _slices(shard):
@@ -369,7 +405,7 @@ def _queries(shards: int, common):
                 words, per = _grouped(w[first])
                 out.append((s, chunk, _join(
                     words, per.astype("<u4"), ctx[first], docs_per.astype("<u4"),
-                    doc[lo:hi].astype("<u4"), times[lo:hi].astype("<u4"))))
+                    doc[lo:hi], times[lo:hi])))
             ids = batch.column("doc_id")
             known = ids.fill_null(0).to_numpy().astype("<i8")
             out.append((-1 - chunk % shards, chunk, _join(
@@ -458,9 +494,9 @@ def score(docs: DataFrame, model: Model, train_on, id_col: str = "doc_id", text_
     blank texts are one end token. Chunks are named by partition and place,
     so ``docs`` should be read from files (a fixed row order)."""
     d = _fold(docs, train_on, id_col, text_col)
-    asked = d.mapInArrow(_queries(model.shards, model.common), "shard int, chunk bigint, payload binary")
+    asked = d.mapInArrow(_freed(_queries(model.shards, model.common)), "shard int, chunk bigint, payload binary")
     parts = (asked.repartition(model.shards, "shard").groupBy("shard")
              .cogroup(model.tries.repartition(model.shards, "shard").groupBy("shard"))
-             .applyInPandas(_answer(model.once, max(model.tokens, 1), model.documents, model.mass, model.common),
-                            "chunk bigint, payload binary"))
-    return parts.groupBy("chunk").applyInPandas(_total(model.tokens, model.vocabulary), SCORES)
+             .applyInPandas(_freed_cogroup(_answer(model.once, max(model.tokens, 1), model.documents, model.mass,
+                                                   model.common)), "chunk bigint, payload binary"))
+    return parts.groupBy("chunk").applyInPandas(_freed_group(_total(model.tokens, model.vocabulary)), SCORES)

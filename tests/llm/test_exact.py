@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -352,3 +353,25 @@ def test_repetitive_text_against_items_that_hold_its_phrase(spark):
     long = row(f"{phrase} " * 12)  # every alignment of the long text occurs in this one
     want = [(1, *long), (2, *long), (2, *long), (3, *row(phrase)), (4, [], 0.0), (None, *long)]
     assert got == ordered(want)
+
+
+def test_trie_tasks_give_back_what_they_freed(monkeypatch):
+    """A worker outlives its task: each of the trie's steps ends by returning
+    memory, also when a task is left early or fails."""
+    returned = []
+    monkeypatch.setattr(lm_trie, "give_back", lambda: returned.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": ["a b a", ""], "train": [True, True]})
+    counts = lm_trie._freed(lm_trie._train_counts)(iter([batch, batch]))
+    next(counts)
+    assert not returned
+    counts.close()
+    assert len(returned) == 1
+
+    def broken(rows):
+        raise ValueError
+
+    rows = pd.DataFrame({"shard": [0]})
+    with pytest.raises(ValueError):
+        lm_trie._freed_group(broken)(rows)
+    assert lm_trie._freed_cogroup(lambda a, b: a)(rows, rows) is rows
+    assert len(returned) == 3
