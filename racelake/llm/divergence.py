@@ -3,10 +3,10 @@
 Documents become exact sparse count vectors by CountVectorizer (minDF, the
 largest vocabSize there is), one vocabulary per language: a term is fitted
 with its language behind it, so that one fit serves all languages. It is
-fitted on rows that have each term as often as a chunk's documents, or minDF
-times if that is less: that decides the same terms. Vectors are summed per group
-(language and source): the terms of a chunk's documents are added up by group
-before they are transformed. Sums become integer shares in
+fitted on rows that have each term as often as the documents of a few chunks,
+or minDF times if that is less: that decides the same terms. Vectors are summed
+per group (language and source): the terms of those documents are added up by
+group before they are transformed. Sums become integer shares in
 exact arithmetic, and groups are compared on the entries that are not zero:
 a pair of sources costs its blocks of terms, and what both lack is one
 product.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import namedtuple
 
 import numpy as np
 import pandas as pd
@@ -33,8 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from racelake.llm.common import (STEP_BYTES, doc_steps, mix, powers, ranges, ship_package, stored, text_chunks,
-                                 utf8)
+from racelake.llm.common import (STEP_BYTES, doc_steps, give_back, mix, powers, ship_package, stored,
+                                 text_chunks, utf8)
 from racelake.session import scratch_path
 
 MIN_DOCS = 10
@@ -79,47 +80,58 @@ _FOLD = np.zeros(256, np.uint8)
 _FOLD[97:123] = _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64))
+_TERM_VALUE = np.where(_FOLD > 0, _VALUE[_FOLD], np.uint64(0))  # 0 parts terms
 # The estimate counts distinct terms whose hash falls below one part in so many.
 ONE_IN = 64
 
 
-def _cut(data: np.ndarray, bounds: np.ndarray, hashed: bool):
-    """Terms of the documents ``data[bounds[i]:bounds[i + 1]]``: their bytes
-    end to end, where each begins there, its length, its document, and its
-    hash (None unless asked for)."""
-    low = _FOLD[data]
-    black = low != 0
+def _starts(black: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where terms begin in the documents ``bounds`` parts."""
     first = black.copy()
     first[1:] &= ~black[:-1]
-    edge = bounds[:-1][bounds[:-1] < len(data)]
+    edge = bounds[:-1][bounds[:-1] < len(black)]
     first[edge] = black[edge]
-    at = np.flatnonzero(first)
-    letters = low[black]
-    begin = (np.cumsum(black) - 1)[at]
-    length = np.diff(np.r_[begin, len(letters)])
-    doc = np.searchsorted(bounds, at, "right") - 1
-    if not hashed:
-        return letters, begin, length, doc, None
-    up, down = powers(len(letters))
-    sums = np.add.reduceat(_VALUE[letters] * up, begin) * down[begin] if len(begin) else np.empty(0, np.uint64)
-    return letters, begin, length, doc, mix(sums)
+    return np.flatnonzero(first)
 
 
-def _steps(batches, hashed: bool):
-    for batch, data, bounds in text_chunks(batches):
-        for lo, hi in doc_steps(bounds, STEP_BYTES):
-            yield batch.slice(lo, hi - lo), _cut(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo], hashed)
+def _cut(data: np.ndarray, bounds: np.ndarray):
+    """Terms of the documents ``data[bounds[i]:bounds[i + 1]]``: their bytes
+    end to end, the length of each, and its document."""
+    low = _FOLD[data]
+    black = low != 0
+    at = _starts(black, bounds)
+    letters = low[black]
+    begin = np.cumsum(black, dtype=np.int32)[at] - 1
+    length = np.diff(np.append(begin, len(letters)))
+    per = np.diff(np.searchsorted(at, bounds))
+    return letters, length, np.repeat(np.arange(len(per)), per)
+
+
+def _sampled(data: np.ndarray, bounds: np.ndarray):
+    """Hashes of those terms whose hash falls below the sample's bound, and
+    the document of each."""
+    values = _TERM_VALUE[data]
+    at = _starts(values != 0, bounds)
+    if not len(at):
+        return np.empty(0, np.uint64), at
+    up, down = powers(len(data))
+    h = mix(np.add.reduceat(values * up, at) * down[at])
+    few = np.flatnonzero(h < 2**64 // ONE_IN)
+    return h[few], np.searchsorted(bounds, at[few], "right") - 1
 
 
 def _distinct_terms(named: DataFrame) -> int:
     """About how many distinct terms there are (per language, summed): the
     number of hashes below a fixed bound, scaled up."""
     def run(batches):
-        for batch, (_, _, _, doc, h) in _steps(batches, True):
+        for batch, data, bounds in text_chunks(batches):
             lang = batch.column(0).dictionary_encode()
             salt = mix(np.array([zlib.crc32(x.as_py().encode()) for x in lang.dictionary], np.uint64))
-            h = mix(h ^ salt[lang.indices.to_numpy()][doc])
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(h[h < 2**64 // ONE_IN]).view(np.int64))], ["h"])
+            salt = salt[lang.indices.to_numpy()]
+            for lo, hi in doc_steps(bounds, STEP_BYTES):
+                h, doc = _sampled(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo])
+                h = np.unique(mix(h ^ salt[lo + doc]))
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
     return ONE_IN * named.mapInArrow(run, "h bigint").distinct().count()
 
 
@@ -128,60 +140,101 @@ def _terms(named: DataFrame, n: int, most: int | None = None) -> DataFrame:
     it, so that one vocabulary holds all languages apart: ``lang``,
     ``source``, ``weight``, ``part``, ``terms`` (array).
 
-    Rows of ``weight`` 0 stand for a chunk's documents in what decides
-    whether a term is in enough of them: a term is in as many rows as it has
-    documents in the chunk, or in ``most`` if those are fewer (a sum of
-    chunks reaches ``most`` with them if and only if it does without).
-    Their language and source mean nothing. Rows of other weights
+    Rows of ``weight`` 0 stand for documents in what decides whether a term
+    is in enough of them: a term is in as many rows as it has documents in a
+    few chunks of a task (``HELD_BYTES``), or in ``most`` if those are fewer
+    (a sum over all chunks reaches ``most`` with them if and only if it does
+    without). They have no language and source. Rows of other weights
     add up, times the weight, to the vectors of a group's documents: the
-    counts of a chunk of documents are added up by group, and a term is in
+    counts of those documents are added up by group, and a term is in
     the row of every power of two that its sum consists of."""
     def run(batches):
-        for chunk, data, bounds in text_chunks(batches):
-            cuts = [(lo, _cut(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo], False))
-                    for lo, hi in doc_steps(bounds, STEP_BYTES)]
-            letters = np.concatenate([c[0] for _, c in cuts])
-            length = np.concatenate([c[2] for _, c in cuts])
-            doc = np.concatenate([c[3] + lo for lo, c in cuts])
-            del cuts
-            words = pa.StringArray.from_buffers(
-                len(length), pa.py_buffer(np.r_[0, np.cumsum(length)].astype(np.int32)),
-                pa.py_buffer(letters)).dictionary_encode()
-            width = max(1, len(words.dictionary))
-            pair, count = np.unique(doc * width + words.indices.to_numpy(), return_counts=True)
-            doc, word = np.divmod(pair, width)
-            # From here on terms are words with their language.
-            lang = chunk.column(0).dictionary_encode()
-            langs = max(1, len(lang.dictionary))
-            key = word * langs + lang.indices.to_numpy()[doc]
-            named_term, docs = _added(key, np.ones(len(key), np.int64), width * langs)
-            term = np.searchsorted(named_term, key)
-            kinds = pc.binary_join_element_wise(words.dictionary.take(pa.array(named_term // langs)),
-                                                lang.dictionary.take(pa.array(named_term % langs)), "\x00")
-            part = _part_of(kinds, n)
-            times = docs if most is None else np.minimum(docs, most)
-            item, row = np.repeat(np.arange(len(kinds)), times), ranges(np.zeros(len(times), np.int64), times)
-            order = np.lexsort((item, row, part[item]))
-            item, row = item[order], row[order]
-            yield _lists(chunk, part[item], row, np.zeros(len(row), np.int64), kinds.take(pa.array(item)))
-            # The group of a document is named by the first document it has.
-            seen, named_by, of = {}, [], np.empty(chunk.num_rows, np.int64)
-            for k, g in enumerate(zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist())):
-                if g not in seen:
-                    seen[g] = len(named_by)
-                    named_by.append(k)
-                of[k] = seen[g]
-            width = max(1, len(kinds))
-            pair, count = _added(of[doc] * width + term, count, len(named_by) * width)
-            group, item = np.divmod(pair, width)
-            for bit in range(int(count.max()).bit_length() if len(count) else 0):
-                has = np.flatnonzero((count >> bit) & 1)
-                has = has[np.lexsort((item[has], group[has], part[item[has]]))]
-                yield _lists(chunk, part[item[has]], np.array(named_by)[group[has]],
-                             np.full(len(has), 1 << bit), kinds.take(pa.array(item[has])))
+        held, size = [], 0
+        try:
+            for chunk, data, bounds in text_chunks(batches):
+                held.append(_counts(chunk, data, bounds))
+                size += sum(x.nbytes for x in held[-1][:-1])
+                if size >= HELD_BYTES:
+                    yield from _rows(held, n, most)
+                    held, size = [], 0
+            if held:
+                yield from _rows(held, n, most)
+        finally:
+            held.clear()
+            give_back()
     return named.mapInArrow(run, "lang string, source string, weight bigint, part int, terms array<string>")
 
 
+# Counts of chunks that a task holds before it adds them up and emits them.
+HELD_BYTES = 64 << 20
+
+# Of a chunk: its terms with their languages (``kinds``) and the documents each
+# is in; per group and term that occur together, the group's place in
+# ``groups`` (language, source), the term's in ``kinds``, and the count.
+Counts = namedtuple("Counts", "kinds docs group item count groups")
+
+
+def _counts(chunk: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> Counts:
+    cuts = [(lo, _cut(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo]))
+            for lo, hi in doc_steps(bounds, STEP_BYTES)]
+    letters = np.concatenate([c[0] for _, c in cuts])
+    length = np.concatenate([c[1] for _, c in cuts])
+    doc = np.concatenate([c[2] + lo for lo, c in cuts])
+    del cuts
+    words = pa.StringArray.from_buffers(
+        len(length), pa.py_buffer(np.append(0, np.cumsum(length)).astype(np.int32)),
+        pa.py_buffer(letters)).dictionary_encode()
+    width = max(1, len(words.dictionary))
+    pair, count = np.unique(doc * width + words.indices.to_numpy(), return_counts=True)
+    doc, word = _divided(pair, width)
+    # From here on terms are words with their language.
+    lang = chunk.column(0).dictionary_encode()
+    langs = max(1, len(lang.dictionary))
+    key = word * langs + lang.indices.to_numpy()[doc]
+    named_term, docs = _added(key, np.ones(len(key), np.int64), width * langs)
+    term = np.searchsorted(named_term, key)
+    kinds = pc.binary_join_element_wise(words.dictionary.take(pa.array(named_term // langs)),
+                                        lang.dictionary.take(pa.array(named_term % langs)), "\x00")
+    groups = {}
+    of = np.array([groups.setdefault(g, len(groups))
+                   for g in zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist())], np.int64)
+    width = max(1, len(kinds))
+    pair, count = _added(of[doc] * width + term, count, len(groups) * width)
+    group, item = _divided(pair, width)
+    return Counts(kinds, docs, group.astype(np.int32), item.astype(np.int32), count, list(groups))
+
+
+def _rows(held: list[Counts], n: int, most: int | None):
+    """The rows of ``_terms`` for the documents of some chunks together."""
+    kinds = pa.concat_arrays([c.kinds for c in held]).dictionary_encode()
+    code, kinds = kinds.indices.to_numpy(), kinds.dictionary
+    # Terms in the order of their parts: what is sorted by group and term
+    # has the terms of one part side by side.
+    part = _part_of(kinds, n)
+    order = np.argsort(part, kind="stable")
+    part, kinds = part[order], kinds.take(pa.array(order))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    code = place[code]
+    docs = np.bincount(code, np.concatenate([c.docs for c in held]), len(kinds)).astype(np.int64)
+    for row in range(int(docs.max(initial=0)) if most is None else most):
+        item = np.flatnonzero(docs > row)
+        if not len(item):
+            break
+        yield _lists(part[item], np.zeros(len(item), np.int64), 0, kinds.take(pa.array(item)), [("", "")])
+    groups, key, start, width = {}, [], 0, max(1, len(kinds))
+    for c in held:
+        number = np.array([groups.setdefault(g, len(groups)) for g in c.groups], np.int64)
+        key.append(number[c.group] * width + code[start + c.item])
+        start += len(c.kinds)
+    key, count = _added(np.concatenate(key), np.concatenate([c.count for c in held]), len(groups) * width)
+    group, item = _divided(key, width)
+    for bit in range(int(count.max(initial=0)).bit_length()):
+        has = np.flatnonzero((count >> bit) & 1)
+        if len(has):
+            yield _lists(part[item[has]], group[has], 1 << bit, kinds.take(pa.array(item[has])), list(groups))
+
+
 # Keys below this are added up in a table of all of them, others by sorting.
 TABLE_KEYS = 1 << 22
 
@@ -193,8 +246,18 @@ def _added(key: np.ndarray, amount: np.ndarray, size: int) -> tuple[np.ndarray,
         sums = np.bincount(key, amount, size)
         keys = np.flatnonzero(sums)
         return keys, sums[keys].astype(np.int64)
-    keys, at = np.unique(key, return_inverse=True)
-    return keys, np.bincount(at, amount, len(keys)).astype(np.int64)
+    if not len(key):
+        return key, amount
+    order = np.argsort(key)
+    key = key[order]
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[at], np.add.reduceat(amount[order], at)
+
+
+def _divided(x: np.ndarray, by: int) -> tuple[np.ndarray, np.ndarray]:
+    """Quotients and remainders; numpy's divmod takes some times as long."""
+    whole = x // by
+    return whole, x - whole * by
 
 
 def _part_of(kinds: pa.StringArray, n: int) -> np.ndarray:
@@ -207,18 +270,16 @@ def _part_of(kinds: pa.StringArray, n: int) -> np.ndarray:
     return (mix(np.add.reduceat(_VALUE[data] * up, begin) * down[begin]) % np.uint64(n)).astype(np.int64)
 
 
-def _lists(chunk: pa.RecordBatch, part: np.ndarray, doc: np.ndarray, weight: np.ndarray,
-           terms: pa.StringArray) -> pa.RecordBatch:
-    """A row per run of entries of one part and document of the chunk, whose
-    language and source it takes; all entries have the same weight."""
+def _lists(part: np.ndarray, group: np.ndarray, weight: int, terms: pa.StringArray,
+           groups: list[tuple[str, str]]) -> pa.RecordBatch:
+    """A row per run of entries of one part and group."""
     new = np.ones(len(part), bool)
-    new[1:] = (part[1:] != part[:-1]) | (doc[1:] != doc[:-1])
+    new[1:] = (part[1:] != part[:-1]) | (group[1:] != group[:-1])
     at = np.flatnonzero(new)
-    take = pa.array(doc[at])
+    lang, source = (pa.array(x, pa.string()).take(pa.array(group[at])) for x in zip(*groups))
     return pa.RecordBatch.from_arrays(
-        [chunk.column(0).take(take), chunk.column(1).take(take), pa.array(weight[at]),
-         pa.array(part[at].astype(np.int32)),
-         pa.ListArray.from_arrays(pa.array(np.r_[at, len(part)].astype(np.int32)), terms)],
+        [lang, source, pa.array(np.full(len(at), weight, np.int64)), pa.array(part[at].astype(np.int32)),
+         pa.ListArray.from_arrays(pa.array(np.append(at, len(part)).astype(np.int32)), terms)],
         ["lang", "source", "weight", "part", "terms"])
 
 

@@ -118,6 +118,31 @@ def test_divergence_fits_no_more_than_min_docs_of_a_chunk(spark):
         spark.createDataFrame(rows, "lang string, source string, text string").coalesce(1), min_docs=20).collect()
 
 
+def test_divergence_adds_up_the_chunks_of_a_task(monkeypatch):
+    """The documents of several chunks make rows together, until what is held
+    reaches its bound; by itself or together, counts are the same."""
+    import pyarrow as pa
+
+    cut = divergence.text_chunks
+    monkeypatch.setattr(divergence, "text_chunks", lambda batches: cut(batches, 1))  # a document is a chunk
+    texts = ["often often", "Often rare", "", "often", "often often often"]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 4 + ["de"], "source": ["a", "b", "a", "a", "a"], "text": texts})
+
+    class Named:
+        mapInArrow = staticmethod(lambda run, schema: run)
+
+    for n, held, in_rows in ((1, 1 << 20, 2), (3, 1 << 20, 2), (2, 1, 3)):
+        monkeypatch.setattr(divergence, "HELD_BYTES", held)
+        rows = [r for b in divergence._terms(Named, n, 2)(iter([batch, batch.slice(0, 0)])) for r in b.to_pylist()]
+        docs = Counter(t for r in rows if r["weight"] == 0 for t in r["terms"])
+        assert docs == {"often\x00en": in_rows, "rare\x00en": 1, "often\x00de": 1}
+        sums = Counter()
+        for r in rows:
+            sums.update({(r["lang"], r["source"], t): r["weight"] for t in r["terms"] if r["weight"]})
+        assert sums == {("en", "a", "often\x00en"): 3, ("en", "b", "often\x00en"): 1, ("en", "b", "rare\x00en"): 1,
+                        ("de", "a", "often\x00de"): 3}
+
+
 def test_sums_by_table_and_by_sorting_agree(monkeypatch):
     key, amount = np.array([7, 2, 7, 0, 2]), np.array([1, 5, 3, 2, 1])
     for most in (8, 0):
