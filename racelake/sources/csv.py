@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -72,9 +72,12 @@ def header_report(spark: SparkSession, path, schema: StructType) -> DataFrame:
     it has no records either."""
     wanted = ",".join(schema.fieldNames())
     line = F.regexp_replace(F.regexp_replace("value", "^\\uFEFF|\"", ""), " *, *", ",")
+    # Tidying only takes characters away: a shorter line is no header.
+    long_enough = F.octet_length("value") >= len(wanted.encode())
     return (spark.read.text(path)
             .select(F.col("_metadata.file_path").alias("file"),
-                    ((F.col("_metadata.file_block_start") == 0) & (F.trim(line) == wanted)).alias("is_header"))
+                    ((F.col("_metadata.file_block_start") == 0) & long_enough & (F.trim(line) == wanted))
+                    .alias("is_header"))
             .groupBy("file").agg(F.max("is_header").alias("conforms")))
 
 
@@ -89,15 +92,26 @@ def checked_options(reader, schema: StructType):
             .option("columnNameOfCorruptRecord", CORRUPT).schema(_with_bad_records(schema)))
 
 
+def read_rows_checked(spark: SparkSession, path, schema: StructType) -> DataFrame:
+    """Batch scan with ``checked_options``; FILE is each row's file."""
+    return checked_options(spark.read, schema).csv(path).withColumn(FILE, F.col("_metadata.file_path"))
+
+
 def split_checked(rows: DataFrame, headers: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, quarantine) of rows read with ``checked_options`` that
-    carry their file in FILE. Quarantine: ``file``, ``reason``, ``record``
-    (the line as it was if Spark kept it, else the fields as JSON)."""
-    fields = [F.col(f"`{n}`") for n in schema.fieldNames()]
+    carry their file in FILE; ``headers`` as ``header_report`` gives them."""
     told = rows.join(headers.select(F.col("file").alias(FILE), "conforms"), FILE, "left")
-    stray = ~F.coalesce("conforms", F.lit(False))
+    return split_told(told, F.col("conforms"), schema)
+
+
+def split_told(rows: DataFrame, conforms: Column, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """``split_checked`` by the verdict ``conforms`` on the header of a row's
+    file. Quarantine: ``file``, ``reason``, ``record`` (the line as it was if
+    Spark kept it, else the fields as JSON)."""
+    fields = [F.col(f"`{n}`") for n in schema.fieldNames()]
+    stray = ~F.coalesce(conforms, F.lit(False))
     reason = F.when(stray, WRONG_HEADER).when(F.col(CORRUPT).isNotNull(), BAD_RECORD)
-    told = told.withColumn("reason", reason)
+    told = rows.withColumn("reason", reason)
     bad = told.filter(F.col("reason").isNotNull()).select(
         F.col(FILE).alias("file"), "reason", F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*fields))).alias("record"))
     return told.filter(F.col("reason").isNull()).select(*fields), bad
@@ -107,8 +121,7 @@ def read_csv_checked(spark: SparkSession, path, schema: StructType) -> tuple[Dat
     """(accepted rows, quarantine) of a batch scan. A file with another
     header goes to quarantine whole, also if its records happen to fit the
     schema's types; nothing is dropped: every record is in one of the two."""
-    rows = checked_options(spark.read, schema).csv(path)
-    rows = rows.withColumn(FILE, F.col("_metadata.file_path"))
+    rows = read_rows_checked(spark, path, schema)
     # Spark converts, and so checks, only the columns a query reads: the
     # metric reads all of them, whatever is selected later.
     fields = [F.col(f"`{n}`") for n in schema.fieldNames()]

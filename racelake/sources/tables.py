@@ -20,6 +20,19 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
                  .select("path", "length", "modificationTime"))
 
 
+def stream_files(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming listing of the files that arrive in a growing folder: the
+    ``path`` to read one by (a path pattern, so signs of patterns in names
+    are escaped) and ``file``, as ``_metadata.file_path`` of its rows has
+    it. Contents are not read; an empty file is not listed."""
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length bigint, content binary")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    literal = F.regexp_replace("path", r"([\\{}\[\]*?])", r"\\$1")
+    return reader.load(folder).select(literal.alias("path"), F.col("_metadata.file_path").alias("file"))
+
+
 def ensure_databases(spark: SparkSession, names, location_root: str | None = None) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` for each name (under a given root
     folder when one is passed)."""

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from racelake import schemas
 from racelake.sinks import write_batch, write_stream_append, write_stream_batches
-from racelake.sources.csv import FILE, checked_options, header_report, read_csv_stream, split_checked
+from racelake.sources.csv import header_report, read_csv_stream, read_rows_checked, split_told
+from racelake.sources.tables import stream_files
 
 # Files per micro-batch. A first run over a large existing folder then
 # commits progress every batch instead of reading everything as one batch
@@ -40,19 +43,23 @@ def ingest_csv_checked(spark: SparkSession, src_dir: str, schema: StructType, si
     that do not fit the schema go to ``quarantine_dir`` (``file``,
     ``reason``, ``record``). Both folders are written per micro-batch and a
     repeated batch replaces itself (read them with ``sinks.read_batches``).
-    The headers of a batch's files are read anew: at most
-    ``max_files_per_trigger`` names pass through the driver."""
-    reader = checked_options(spark.readStream, schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(src_dir).withColumn(FILE, F.col("_metadata.file_path"))
+    The stream is one of files: at most ``max_files_per_trigger`` names pass
+    through the driver, and a batch's files are read by the verdict on their
+    headers, so that no row is joined with it and accepted rows are sought
+    in conforming files only. (Rows of a CSV stream reach a batch as an RDD of
+    unknown size, parsed in full for each use and shuffled by their files.)"""
+    stream = stream_files(spark, src_dir, max_files_per_trigger)
 
-    def write(rows, batch_id):
-        files = [r[0] for r in rows.select(FILE).distinct().collect()]
-        if not files:
+    def write(arrived, batch_id):
+        session = arrived.sparkSession
+        paths = {r.file: r.path for r in arrived.collect()}
+        if not paths or read_rows_checked(session, [*paths.values()], schema).isEmpty():
             return
-        headers = header_report(rows.sparkSession, files, schema)
-        good, bad = split_checked(rows, headers, schema)
+        headers = header_report(session, [*paths.values()], schema).filter("conforms").collect()
+        conforming = {r.file for r in headers}
+        split = [split_told(read_rows_checked(session, some, schema), F.lit(verdict), schema)
+                 for verdict in (True, False) if (some := [p for f, p in paths.items() if (f in conforming) == verdict])]
+        good, bad = (reduce(DataFrame.unionAll, parts) for parts in zip(*split))
         write_batch(good, sink_dir, f"b{batch_id}")
         write_batch(bad, quarantine_dir, f"b{batch_id}")
 

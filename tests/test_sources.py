@@ -1,14 +1,16 @@
 """Checked CSV reads, catalog listings."""
 
+from urllib.parse import unquote
+
 import pytest
 
 from racelake import schemas
 from racelake.session import scratch_path
-from racelake.sinks import read_batches
+from racelake.sinks import folder_exists, read_batches, write_batch
 from racelake.sources import csv as C
 from racelake.sources import tables
 from racelake.sources.fixtures import second_feed
-from racelake.streaming import ingest_csv_checked
+from racelake.streaming import ingest, ingest_csv_checked
 from support import SF0001
 
 SCHEMA = "id int, name string, day date"
@@ -64,6 +66,56 @@ def test_quarantine_as_a_stream_adds_nothing_twice(spark, landing):
     _check(read_batches(spark, sink), read_batches(spark, bad))
 
 
+def test_quarantine_stream_shuffles_no_rows_and_scans_stray_files_once(spark, landing, monkeypatch):
+    path, schema = landing
+    plans, scanned = [], []
+
+    def spy(df, table_dir, load):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        scanned.append({_name(f) for f in df.inputFiles()})
+        write_batch(df, table_dir, load)
+
+    monkeypatch.setattr(ingest, "write_batch", spy)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as where no side's size is known to be small
+    try:
+        sink, bad, ckpt = (scratch_path(spark, n) for n in ("good", "bad", "ckpt"))
+        ingest_csv_checked(spark, path, schema, sink, bad, ckpt, timeout_s=120)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    _check(read_batches(spark, sink), read_batches(spark, bad))
+    assert not [p for p in plans if "SortMergeJoin" in p or "hashpartitioning" in p]
+    conforming = {"good.csv", "quoted.csv", "short.csv", "bare.csv"}
+    assert scanned == [conforming, conforming | {"other.csv", "headless.csv"}]
+
+
+def test_quarantine_stream_without_a_conforming_file_or_a_record(spark, tmp_path, landing):
+    _, schema = landing
+    for name, text in (("stray", "id,day,name\n8,f,2024-01-01\n"), ("bare", "id,name,day\n"), ("none", "")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.csv").write_text(text)
+        sink, bad, ckpt = (scratch_path(spark, n) for n in ("good", "bad", "ckpt"))
+        ingest_csv_checked(spark, str(tmp_path / name), schema, sink, bad, ckpt, timeout_s=120)
+        if name == "stray":
+            assert read_batches(spark, sink).collect() == [] and read_batches(spark, sink).schema == schema
+            assert [r.reason for r in read_batches(spark, bad).collect()] == ["header"]
+        else:  # a batch without records writes nothing
+            assert not folder_exists(spark, sink) and not folder_exists(spark, bad)
+
+
+def test_quarantine_stream_takes_file_names_as_they_are(spark, tmp_path, landing):
+    _, schema = landing
+    names = ["a b.csv", "c%20d.csv", "k1.csv", "k[1].csv", "m{1,2}.csv", "n*.csv", "o?.csv", "p#1.csv", "q\\r.csv"]
+    folder = tmp_path / "odd"
+    folder.mkdir()
+    for i, name in enumerate(names):
+        (folder / name).write_text(f"id,name,day\n{i},a,2024-01-01\nx,b,\n")
+    sink, bad, ckpt = (scratch_path(spark, n) for n in ("good", "bad", "ckpt"))
+    ingest_csv_checked(spark, str(folder), schema, sink, bad, ckpt, timeout_s=120)
+    assert sorted(r.id for r in read_batches(spark, sink).collect()) == list(range(len(names)))
+    assert sorted(unquote(_name(r.file)) for r in read_batches(spark, bad).collect()) == sorted(names)
+
+
 def test_feed_read_with_the_other_schema_is_quarantined_whole(spark):
     path = scratch_path(spark, "stray")
     feed = second_feed(spark, SF0001)
